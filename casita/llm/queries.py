@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import chat as _chat
+from . import mixing as _mixing
 from . import quality as _quality
+from . import secret_scan as _secrets
 from . import simhash as _simhash
-from .common import table
+from .common import scratch, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,8 +24,34 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = _mixing.plan(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    rows = got.select("doc.doc_id", "size", "source_size", "target", "taken", F.get("times", 0).alias("first_time"), F.get("times", 1).alias("second_time"))
+    return rows.orderBy(F.col("first_time").asc_nulls_last(), "doc_id")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _secrets.digest(_secrets.scan(table(spark, sf_dir, "documents")))
+
+
+#: The conversation that op10 adds: control strings of a template inside texts.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return _chat.read_back(scratch(_chat.format_windows(rows), "windows"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_quality_rules": op1_quality_rules, "op2_simhash": op2_simhash}
+    return {
+        "op1_quality_rules": op1_quality_rules,
+        "op2_simhash": op2_simhash,
+        "op4_mixing": op4_mixing,
+        "op9_secret_scan": op9_secret_scan,
+        "op10_chat_windows": op10_chat_windows,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

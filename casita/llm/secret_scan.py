@@ -1,0 +1,140 @@
+r"""Secret scan (built-in functions only): fixed patterns, and sliding-window Shannon entropy.
+
+Three patterns give the base spans. Beyond them, every candidate string (a maximal run of at least 20 letters, digits and
++ / _ = - that has a letter and a digit) is cut into maximal runs of each character class; over each run of at least 20
+characters a window of 20 slides, and its Shannon entropy follows from the last one by the counts of the character that
+enters and the one that leaves. A run's windows above its class's threshold give one span, from the first to the last of
+them. Allow-listed candidates (UUIDs, digit groups, documented example keys, rulers) and runs that touch a base span give none.
+
+Places come from cutting the text at the matches: the lengths of what lies between and of the matches add up. Offsets
+are code points, end exclusive.
+
+Scale: a narrow map over the texts, no shuffle. Texts without a candidate pass by a single scan of each pattern.
+
+Defined results: a null text is empty and has no spans; base_sha256 is then the digest of the empty string. Repeated rows
+are each scanned; an empty table gives an empty table. The result has only its own columns, so extra columns may have any name.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import let
+
+# The base patterns.
+ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA[A-Z0-9]+"
+HEX = r"[0-9a-f]{24,}"
+KINDS = ("assign", "access", "hex", "entropy")
+CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+
+
+@dataclass(frozen=True)
+class Scan:
+    window: int = 20
+    #: Class: its characters and the least entropy in bits of a window that counts.
+    classes: tuple[tuple[str, str, float], ...] = (("hex", "0-9A-Fa-f", 3.0), ("alnum", "0-9A-Za-z", 3.7), ("base64", r"0-9A-Za-z+/_=-", 3.9))
+    #: Whole candidates that match one of these are not secrets.
+    allow: tuple[str, ...] = (
+        r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
+        r"^[0-9]+([-+/_=][0-9]+)*$",
+        r"EXAMPLE",
+        r"^[A-Za-z]+([-/_=+]+[A-Za-z]+)*[-/_=+]*[0-9]{0,4}$",
+        r"(.)\1{7}",
+    )
+
+
+def _placed(text: Column, pattern: str, kind: str, ok) -> Column:
+    """Spans (start, end, rank, kind, match) of the matches that pass ok(match, group 2); leftmost, not overlapping."""
+    rank = KINDS.index(kind)
+    group = 2 if kind == "assign" else 0
+
+    def walk(pieces: Column, matches: Column, values: Column) -> Column:
+        def step(state: Column, match: Column) -> Column:
+            start = state.at + F.length(F.get(pieces, state.i))
+            end = start + F.length(match)
+            span = F.struct(start.alias("start"), end.alias("end"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), match.alias("match"))
+            return F.struct((state.i + 1).alias("i"), end.alias("at"), F.when(ok(match, F.get(values, state.i)), F.array_append(state.out, span)).otherwise(state.out).alias("out"))
+
+        zero = F.struct(F.lit(0).alias("i"), F.lit(0).alias("at"), _none().alias("out"))
+        return F.aggregate(matches, zero, step, lambda s: s.out)
+
+    found = let(F.split(text, pattern, -1), lambda p: let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: let(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda v: walk(p, m, v))))
+    return F.when(text.rlike(pattern), found).otherwise(_none())
+
+
+def _none() -> Column:
+    return F.array().cast("array<struct<start:int,end:int,rank:int,kind:string,match:string>>")
+
+
+def _hot(run: Column, window: int, least: float) -> Column:
+    """(first, last): start of the first and of the last window of a run whose entropy is at least `least`; nulls if none."""
+    weigh = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 1)])
+    f = lambda c: F.get(weigh, c)
+    count = lambda s, x: F.length(s) - F.length(F.replace(s, x, F.lit("")))
+
+    def step(state: Column, i: Column) -> Column:
+        full = i >= window
+        entering = F.substring(run, i + 1, F.lit(1))
+        now = F.substring(run, F.greatest(i - window, F.lit(0)) + 1, F.least(i, F.lit(window)))
+
+        def slid(was: Column) -> Column:
+            gone = F.substring(was, 1, 1)
+            c = count(was, gone)
+            left = F.when(full, F.substring(was, 2, window)).otherwise(was)
+            s = F.when(full, state.s - f(c) + f(c - 1)).otherwise(state.s)
+            return let(F.struct(count(left, entering).alias("c"), s.alias("s")), lambda x: x.s - f(x.c) + f(x.c + 1))
+
+        def judged(s: Column) -> Column:
+            hot = (i >= window - 1) & (math.log2(window) - s / window >= least - 1e-9)
+            start = i - (window - 1)
+            return F.struct(s.alias("s"), F.when(hot, F.coalesce(state.first, start)).otherwise(state.first).alias("first"), F.when(hot, start).otherwise(state.last).alias("last"))
+
+        return let(let(now, slid), judged)
+
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
+    return F.aggregate(F.sequence(F.lit(0), F.length(run) - 1), zero, step, lambda s: F.struct(s.first.alias("first"), s.last.alias("last")))
+
+
+def _entropy_spans(text: Column, base: Column, how: Scan) -> Column:
+    allowed = lambda m: ~m.rlike("[0-9]") | ~m.rlike("[A-Za-z]")
+    for pattern in how.allow:
+        before = allowed
+        allowed = lambda m, before=before, pattern=pattern: before(m) | m.rlike(pattern)
+
+    def of_class(candidates: Column, name: str, chars: str, least: float) -> Column:
+        runs = lambda c: F.transform(_placed(c.match, f"[{chars}]{{{how.window},}}", "entropy", lambda m, _: F.lit(True)), lambda r: F.struct((c.start + r.start).alias("at"), _hot(r.match, how.window, least).alias("hot")))
+        return F.filter(F.flatten(F.transform(candidates, runs)), lambda r: r.hot.first.isNotNull())
+
+    def spans(candidates: Column) -> Column:
+        hot = F.concat(*[of_class(candidates, *c) for c in how.classes])
+        made = F.transform(hot, lambda r: F.struct((r.at + r.hot.first).alias("start"), (r.at + r.hot.last + how.window).alias("end"), F.lit(3).alias("rank"), F.lit("entropy").alias("kind"), F.lit("").alias("match")))
+        return F.array_distinct(F.filter(made, lambda s: ~F.exists(base, lambda b: (b.start < s.end) & (s.start < b.end))))
+
+    candidates = _placed(text, CANDIDATE, "entropy", lambda m, _: ~allowed(m))
+    return let(candidates, lambda c: F.when(F.size(c) == 0, _none()).otherwise(spans(c)))
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat(s.kind, F.lit(":"), s.start.cast("string"), F.lit(":"), s.end.cast("string"))), ",")
+
+
+def scan(docs: DataFrame, how: Scan = Scan()) -> DataFrame:
+    """doc_id, base and spans: arrays of (start, end, rank, kind, match), sorted by start, then kind."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    base = F.concat(
+        _placed(text, ASSIGN, "assign", lambda m, v: F.length(v) >= 6),
+        _placed(text, ACCESS, "access", lambda m, v: F.length(m) >= 20),
+        _placed(text, HEX, "hex", lambda m, v: F.lit(True)),
+    )
+    both = lambda b: F.struct(b.alias("base"), F.sort_array(F.concat(b, _entropy_spans(text, b, how))).alias("spans"))
+    return docs.select("doc_id", let(F.sort_array(base), both).alias("x")).select("doc_id", "x.base", "x.spans")
+
+
+def digest(scanned: DataFrame) -> DataFrame:
+    count = lambda kind: F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return scanned.select("doc_id", *[count(k) for k in KINDS[:3]], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
