@@ -41,13 +41,18 @@ def shared_dir(spark: SparkSession) -> str:
     return told
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/casita/{name}-{uuid.uuid4().hex}"
+
+
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """df written once to a table in the shared folder and read back: this cuts lineage and survives a lost executor.
 
     The tables stay under <shared folder>/casita until clear_scratch().
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/casita/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
