@@ -37,7 +37,7 @@ class Mix:
     slopes: tuple[float, ...] = (-0.5, 0.0, 0.5)
     share: float = 1.5
     max_passes: int = 2
-    bucket_rows: int = 4096
+    bucket_rows: int = 1024
     seed: str = "mix"
 
 

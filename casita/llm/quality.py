@@ -8,8 +8,8 @@ is rejected when its Mahalanobis distance from its group's estimate is above `ma
 
 Scale: the texts are read once and their vectors written to a scratch table; a step is one aggregate over (group, start,
 distance bin) with map-side combine, so a source that holds a third of all rows still sends only its bins. Sums are
-fixed-point integers, so reruns agree whatever the order of addition. Group estimates meet the documents in a plain
-equi-join that AQE may broadcast (when small) or split (when a source is hot).
+fixed-point integers, so reruns agree whatever the order of addition. Group estimates meet the documents in
+an equi-join on group and salt, so a hot source spreads over 32 tasks there as well.
 
 Defined results: a null text has no words (base_failed). Null lang or source is a group of its own. A group below
 `min_docs` is pooled with the small groups of its language; a pool still below it judges nobody. Repeated rows are each
@@ -100,6 +100,16 @@ def _vector(rules: QualityRules) -> list[Column]:
     ]
 
 
+#: Rows of a group are dealt to this many tasks where they meet the group's estimate.
+SALTS = 32
+
+
+def _meet(rows: DataFrame, small: DataFrame, on: Column, how: str = "inner") -> DataFrame:
+    """Join with one row (or two) a group, once for each salt: a source with a third of all rows spreads over the tasks."""
+    salted = small.withColumn("to_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(salted, on & (F.col("salt") == F.col("to_salt")), how).drop("to_salt")
+
+
 def _grouped(vectors: DataFrame, rules: QualityRules) -> DataFrame:
     """vectors with g, the group that judges a document, and its size."""
     count = vectors.groupBy("g_lang", "g_source").agg(F.count("*").alias("n"))
@@ -107,7 +117,7 @@ def _grouped(vectors: DataFrame, rules: QualityRules) -> DataFrame:
     pool = count.groupBy("g_lang", own.alias("g_own")).agg(F.sum("n").alias("g_n"))
     group = count.select("g_lang", "g_source", own.alias("g_own")).join(pool.withColumnRenamed("g_lang", "p_lang").withColumnRenamed("g_own", "p_own"), (F.col("g_lang") == F.col("p_lang")) & F.col("g_own").eqNullSafe(F.col("p_own")))
     group = group.select(F.col("g_lang").alias("j_lang"), F.col("g_source").alias("j_source"), F.struct("g_lang", "g_own").alias("g"), (F.col("g_n") >= rules.min_docs).alias("judged"))
-    return vectors.join(group, (F.col("g_lang") == F.col("j_lang")) & (F.col("g_source") == F.col("j_source")), "left")
+    return _meet(vectors, group, (F.col("g_lang") == F.col("j_lang")) & (F.col("g_source") == F.col("j_source")), "left")
 
 
 def _pairs() -> list[tuple[str, str]]:
@@ -161,12 +171,12 @@ def _median_start(judged: DataFrame, rules: QualityRules) -> DataFrame:
 
 
 def mcd(judged: DataFrame, rules: QualityRules) -> DataFrame:
-    """The minimum-covariance-determinant estimate of each group g of judged (g, x1 to x4)."""
+    """The minimum-covariance-determinant estimate of each group g of judged (g, salt, x1 to x4)."""
     classical = _estimate(judged.groupBy("g").agg(*_moments()).withColumn("start", F.lit(1)), rules, ["g", "start"])
     now = _median_start(judged, rules).unionByName(classical)
     w = Window.partitionBy("g", "start")
     for _ in range(rules.steps):
-        bins = _distance(judged.join(now, "g")).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-6) * BINS_PER_E)).groupBy("g", "start", "bin").agg(*_moments())
+        bins = _distance(_meet(judged, now.withColumnRenamed("g", "now_g"), F.col("g") == F.col("now_g"))).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-6) * BINS_PER_E)).groupBy("g", "start", "bin").agg(*_moments())
         near = bins.withColumn("before", F.sum("n").over(w.orderBy("bin")) - F.col("n")).withColumn("all", F.sum("n").over(w)).where(F.col("before") < F.col("all") * rules.h)
         sums = near.groupBy("g", "start").agg(*[F.sum(c).alias(c) for c in ("n", *[f"s_{a}" for a in FEATURES], *[f"s_{a}{b}" for a, b in _pairs()])])
         now = _estimate(sums, rules, ["g", "start"])
@@ -177,11 +187,11 @@ def mcd(judged: DataFrame, rules: QualityRules) -> DataFrame:
 def quality(docs: DataFrame, rules: QualityRules = QualityRules(), carry: list[str] | None = None) -> DataFrame:
     """doc (a struct of the input's columns, or of those in carry), its counts, base_failed, distance and kept."""
     kept = [F.col(f"doc.`{c}`").alias(c) for c in (carry or docs.columns)]
-    vectors = with_counts(docs).select("*", *_vector(rules)).withColumn("doc", F.struct(*kept))
+    vectors = with_counts(docs).select("*", *_vector(rules)).withColumn("doc", F.struct(*kept)).withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     vectors = scratch(vectors, "quality")
     grouped = _grouped(vectors, rules)
-    best = scratch(mcd(grouped.where("judged").select("g", *FEATURES), rules), "mcd").withColumnRenamed("g", "b_g")
-    scored = _distance(grouped.join(best, F.col("judged") & (F.col("g") == F.col("b_g")), "left"))
+    best = scratch(mcd(grouped.where("judged").select("g", "salt", *FEATURES), rules), "mcd").withColumnRenamed("g", "b_g")
+    scored = _distance(_meet(grouped, best, F.col("judged") & (F.col("g") == F.col("b_g")), "left"))
     distance = F.sqrt(F.col("d2"))
     verdict = ~F.col("base_failed") & F.coalesce(distance <= rules.max_distance, F.lit(True))
     return scored.select("doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", verdict.alias("kept"), F.round(distance, 6).alias("distance"))
