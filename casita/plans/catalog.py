@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casita.plans import stats
+from casita.plans import joins, stats, texts
 
-MODULES = (stats,)
+MODULES = (stats, joins, texts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
