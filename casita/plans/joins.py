@@ -176,7 +176,7 @@ _LABEL = "trim(regexp_replace(upper({0}), '[^A-Z0-9_ .]', ' ', 'g'))"
 
 
 def oracle_sql() -> dict[str, str]:
-    tokens = "list_filter(list_distinct(string_split_regex(" + _LABEL.format("{0}") + ", ' +')), x -> x <> '' AND NOT regexp_full_match(x, '[0-9]+'))"
+    tokens = "[x for x in list_distinct(string_split_regex(" + _LABEL.format("{0}") + ", ' +')) if x <> '' AND NOT regexp_full_match(x, '[0-9]+')]"
     return {
         "j1_monthly_rate": _rate_sql("year_month").replace("o_totalprice * CASE", "(o_totalprice * CASE").replace("END * 100, 0)", "END) * 100, 0)"),
         "j2_daily_rate": _rate_sql("day", "AND l_shipdate < TIMESTAMP '1997-01-01'").replace("o_totalprice * CASE", "(o_totalprice * CASE").replace("END * 100, 0)", "END) * 100, 0)"),
@@ -210,7 +210,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT p_partkey, causes, causes = '' AS accepted FROM c""",
         "j6_contained_alias": """
             WITH a(ord, alias) AS (VALUES (0, 'PUBLIC LICENSE'), (1, 'THE OF'), (2, 'IN THAT'), (3, 'DE LA'), (4, 'DER'), (5, 'ET'), (6, 'THE')),
-                 t AS (SELECT item_id, ' ' || array_to_string(list_filter(string_split_regex(upper(text), '[^\\p{L}\\p{N}]+'), x -> x <> ''), ' ') || ' ' AS w FROM benchmark)
+                 t AS (SELECT item_id, ' ' || array_to_string([x for x in string_split_regex(upper(text), '[^\\p{L}\\p{N}]+') if x <> ''], ' ') || ' ' AS w FROM benchmark)
             SELECT item_id, (SELECT min(ord) FROM a WHERE contains(w, ' ' || alias || ' '))::INTEGER AS alias_ord FROM t""",
         "j8_token_match": f"""
             WITH c AS (SELECT DISTINCT p_name AS raw, {tokens.format("p_name")} AS toks FROM part),

@@ -10,6 +10,11 @@ from casita.operators.dedup import zone_rollup
 from casita.operators.profile import column_profile, missing_report, mode_or_varies, value_counts
 from casita.sources.tables import table
 
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles at a fixed number of digits, so that results of two engines can be held against each other."""
+    return df.select(*[F.round(c, 4 if c.endswith("_std") or "_std_" in c else 6).alias(c) if t == "double" else c for c, t in df.dtypes])
+
+
 KEYS = ["n_name", "c_mktsegment", "year_month", "l_returnflag"]
 
 
@@ -20,7 +25,7 @@ def a1_price_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     rows = item.join(order, F.col("l_orderkey") == F.col("o_orderkey")).join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return price_summary(rows, KEYS, F.col("l_extendedprice"))
+    return rounded(price_summary(rows, KEYS, F.col("l_extendedprice")))
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,19 +37,19 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a2_price_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One year, price and price per quantity by brand and month."""
     price, n = F.col("l_extendedprice"), F.col("l_quantity")
-    return price_summary(_items(spark, sf_dir).where(F.col("year_month").startswith("1995-")), ["p_brand", "year_month"], price, ratios={"price_per_m2": ratio(price, n)}, require=n > 0)
+    return rounded(price_summary(_items(spark, sf_dir).where(F.col("year_month").startswith("1995-")), ["p_brand", "year_month"], price, ratios={"price_per_m2": ratio(price, n)}, require=n > 0))
 
 
 def a3_flexible_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two ratios that may be null."""
     price, size = F.col("l_extendedprice"), F.col("p_size")
-    return price_summary(_items(spark, sf_dir), ["p_brand", "l_returnflag"], price, ratios={"price_per_m2": ratio(price, size - 25), "beds_per_area": ratio(F.col("l_linenumber"), size - 10)})
+    return rounded(price_summary(_items(spark, sf_dir), ["p_brand", "l_returnflag"], price, ratios={"price_per_m2": ratio(price, size - 25), "beds_per_area": ratio(F.col("l_linenumber"), size - 10)}))
 
 
 def a4_by_bedrooms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By a bucket of counts."""
     rows = _items(spark, sf_dir).withColumn("bedrooms_norm", bedrooms_bucket(F.col("l_linenumber") - 1))
-    return price_summary(rows, ["p_brand", "bedrooms_norm"], F.col("l_extendedprice"), min_n=20, ratios={"price_per_bed": ratio(F.col("l_extendedprice"), F.col("l_linenumber") - 1)})
+    return rounded(price_summary(rows, ["p_brand", "bedrooms_norm"], F.col("l_extendedprice"), min_n=20, ratios={"price_per_bed": ratio(F.col("l_extendedprice"), F.col("l_linenumber") - 1)}))
 
 
 def a5_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +79,7 @@ def queries() -> dict:
 
 
 def _block(value: str, name: str, suffix: str = "") -> str:
-    return ", ".join(f"{f}({value}) AS {name}_{k}{suffix}" for k, f in (("min", "min"), ("max", "max"), ("avg", "avg"), ("median", "median"), ("std", "stddev_samp")))
+    return ", ".join(f"round({f}({value}), {4 if k == 'std' else 6}) AS {name}_{k}{suffix}" for k, f in (("min", "min"), ("max", "max"), ("avg", "avg"), ("median", "median"), ("std", "stddev_samp")))
 
 
 _PRICE = _block("l_extendedprice", "price", "_usd")

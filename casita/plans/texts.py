@@ -98,7 +98,8 @@ def x5_rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x7_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X7, X8, N22, N23."""
     a = _advert(spark, sf_dir)
-    got, dual = X.areas(F.col("text")), X.dual_areas(F.col("text"))
+    a = a.withColumn("areas", X.areas(F.col("text")))
+    got, dual = F.col("areas"), X.dual_areas(F.col("text"))
     std = X.standard_area(F.lit(None).cast("double"), X.locale_number(got["at"]), got.at_unit)
     return a.select("p_partkey", got["at"].alias("at_raw"), got.at_unit.alias("at_unit"), got.ac.alias("ac"), dual.built.alias("built"), dual.land.alias("land"), F.round(std.m2, 6).alias("m2"), std.method.alias("method"))
 
@@ -214,7 +215,7 @@ def _score_sql() -> str:
         first = f"(CASE WHEN o = '{kind}' THEN {prior[kind]} ELSE 0 END + CASE WHEN c_price_m2 THEN {(-5, -2, 3, 2)[i]} ELSE 0 END)"
         cols.append(f"({f'CASE WHEN c_plantel THEN 0 ELSE {first} END' if i < 2 else first} + {' + '.join(own)})::INTEGER AS score_{kind.lower()}")
     names = [f"score_{k.lower()}" for k in rules.TYPES]
-    winners = "list_filter([" + ", ".join(f"CASE WHEN {n} = best THEN '{k}' END" for n, k in zip(names, rules.TYPES, strict=True)) + "], x -> x IS NOT NULL)"
+    winners = "[x for x in [" + ", ".join(f"CASE WHEN {n} = best THEN '{k}' END" for n, k in zip(names, rules.TYPES, strict=True)) + "] if x IS NOT NULL]"
     return f"""
         WITH a AS ({_ADVERT}),
              b AS (SELECT p_partkey, {_SQUEEZE.format(f"lower({_FOLD_N.format('text')})")} AS t, ['House', 'Apartment', '', 'Land', 'Dorms'][p_size % 5 + 1] AS o FROM a),
@@ -229,14 +230,18 @@ def _score_sql() -> str:
 
 _ADVERT = """
     SELECT p_partkey, p_name, p_size, p_retailprice, (p_size % 6)::INTEGER AS beds, (p_size % 4 + 1)::INTEGER AS baths,
-           'Colonia ' || array_to_string(list_transform(string_split(p_name, ' '), x -> upper(x[1]) || x[2:]), ' ') || ', ' || ['casa', 'apartamento', 'terreno', 'bodega, local comercial'][(p_partkey % 4 + 1)::INTEGER]
+           'Colonia ' || array_to_string([upper(x[1]) || x[2:] for x in string_split(p_name, ' ')], ' ') || ', ' || ['casa', 'apartamento', 'terreno', 'bodega, local comercial'][(p_partkey % 4 + 1)::INTEGER]
            || ' de ' || (p_size % 6) || ' hab, ' || (p_size % 4 + 1) || ' baños, ' || (p_size * 3) || ' vrs2 y ' || (p_size + 40) || ' mt2, $ ' || format('{:,.2f}', p_retailprice) AS text FROM part"""
 
 
 def oracle_sql() -> dict[str, str]:
-    initcap = "array_to_string(list_transform(string_split(p_name, ' '), x -> upper(x[1]) || x[2:]), ' ')"
-    words = "list_filter(string_split(" + _SQUEEZE.format("regexp_replace(regexp_replace(" + f"upper({_FOLD_N.format('text')})" + ", '[ \\t\\n,;:/|\\-]*$', ''), '[^A-Z0-9_\\s.]', ' ', 'g')") + ", ' '), x -> x <> '' AND x NOT IN ('THE', 'OF', 'IN') AND NOT regexp_full_match(x, '[0-9]+'))"
-    base = words.replace("('text')", "('text')").replace("text", "regexp_replace(text, '\\.', ' ', 'g')").replace("AND NOT regexp_full_match(x, '[0-9]+')", "AND (length(x) > 1 OR regexp_full_match(x, '[0-9]'))")
+    initcap = "array_to_string([upper(x[1]) || x[2:] for x in string_split(p_name, ' ')], ' ')"
+    folded = f"upper(replace({_FOLD_N.format('text')}, 'ß', 'ss'))"
+    label = lambda x: _SQUEEZE.format(f"regexp_replace(regexp_replace({x}, '[ \\t\\n,;:/|\\-]*$', ''), '[^A-Z0-9_\\s.]', ' ', 'g')")
+    kept = "x <> '' AND x NOT IN ('THE', 'OF', 'IN')"
+    words = f"[x for x in string_split({label(folded)}, ' ') if {kept} AND NOT regexp_full_match(x, '[0-9]+')]"
+    dotless = "replace(text, '.', ' ')"
+    base = f"[x for x in string_split({label(folded.replace('(text', '(' + dotless))}, ' ') if {kept} AND (length(x) > 1 OR regexp_full_match(x, '[0-9]'))]"
     decision = """
         WITH l AS (SELECT l_orderkey, l_linenumber, ['HOUSE', 'APARTMENT', 'LAND'][(l_suppkey % 3 + 1)::INTEGER] AS k, CASE l_returnflag WHEN 'R' THEN 'SALE' WHEN 'A' THEN 'RENT' END AS said,
                           ['SALE', 'RENT', NULL, NULL, NULL][(l_partkey % 5 + 1)::INTEGER] AS noted, CASE WHEN l_linenumber <> 7 THEN l_extendedprice / 4 END AS price FROM lineitem),
@@ -250,15 +255,17 @@ def oracle_sql() -> dict[str, str]:
                CASE WHEN rule < 3 THEN 'NONE' WHEN rule = 3 AND said IS NULL THEN 'MEDIUM' ELSE 'HIGH' END AS confidence FROM r"""
     return {
         "n1_fold": f"""
-            SELECT doc_id, md5({_SQUEEZE.format(f"lower({_FOLD_N.format('text')})")}) AS lower, md5(upper({_FOLD_N.format('text')})) AS upper, md5(upper({_FOLD.format('text')})) AS upper_n,
+            SELECT doc_id, md5({_SQUEEZE.format(f"lower({_FOLD_N.format('text')})")}) AS lower, md5(upper(replace({_FOLD_N.format('text')}, 'ß', 'ss'))) AS upper, md5(upper(replace({_FOLD.format('text')}, 'ß', 'ss'))) AS upper_n,
                    md5({_SQUEEZE.format('lower(text)')}) AS cell FROM documents""",
         "n4_join_key": f"""
             WITH s AS (SELECT doc_id, regexp_replace(lower(trim(text)), '[^a-z0-9]+', '-', 'g') AS s, text FROM documents)
-            SELECT doc_id, md5({_SQUEEZE.format("regexp_replace(upper(" + _FOLD_N.format('text') + "), '[^A-ZÑ0-9\\s/.\\-&'']', ' ', 'g')")}) AS key, md5(coalesce(nullif(trim(s, '-'), ''), 'na')) AS slug,
+            SELECT doc_id, md5({_SQUEEZE.format("regexp_replace(upper(replace(" + _FOLD_N.format('text') + ", 'ß', 'ss')), '[^A-ZÑ0-9\\s/.\\-&'']', ' ', 'g')")}) AS key, md5(coalesce(nullif(trim(s, '-'), ''), 'na')) AS slug,
                    md5(regexp_replace(lower({_FOLD_N.format('text')}), '[^a-z0-9]', '', 'g')) AS agency FROM s""",
         "n5_mojibake": "SELECT doc_id, md5(text) AS repaired FROM documents WHERE lang = 'es'",
         "n6_preclean": "SELECT p_partkey, upper(p_name) AS place FROM part",
-        "n11_tokens": f"SELECT item_id, array_to_string(list_distinct_in_order, ' ') AS tokens, base FROM (SELECT item_id, list_filter({words}, (x, i) -> list_position({words}, x) = i) AS list_distinct_in_order, array_to_string(list_sort(list_distinct({base})), ' ') AS base FROM benchmark)",
+        "n11_tokens": f"""
+            WITH w AS (SELECT item_id, {words} AS w, {base} AS b FROM benchmark)
+            SELECT item_id, array_to_string(list_filter(w, lambda x, i: list_position(w, x) = i), ' ') AS tokens, array_to_string(list_sort(list_distinct(b)), ' ') AS base FROM w""",
         "n13_remove_words": f"""
             WITH c AS (SELECT doc_id, {_SQUEEZE.format("regexp_replace(text, '(?i)\\b(and[\\s,.]*that|of[\\s,.]*the|the|in)\\b', '', 'g')")} AS t, {_SQUEEZE.format('text')} AS s FROM documents WHERE lang = 'en')
             SELECT doc_id, md5(t) AS cleaned, t <> s AS changed FROM c""",
@@ -276,8 +283,8 @@ def oracle_sql() -> dict[str, str]:
         "x11_places": f"SELECT p_partkey, 'COL ' || {initcap} AS by_comma, {initcap} AS bare, upper(p_name) AS upper FROM part",
         "l4_line_markers": f"""
             WITH l AS (SELECT conv_id, turn, role, regexp_replace(text, '[ \\t\\n\\v\\f\\r]+', ' ', 'g') AS line FROM conversations),
-                 d AS (SELECT *, ltrim(line, ' ') AS t, strpos(ltrim(line, ' '), '.') AS at FROM l),
-                 c AS (SELECT *, CASE WHEN at BETWEEN 6 AND 31 AND NOT regexp_matches(substr(t, 1, at + 2), '(?i)(US\\$|USD|\\$|LPS?\\b|\\bL)') THEN substr(t, 1, at - 1) || ':' || substr(t, at + 1) ELSE t END AS dotted FROM d)
+                 d AS (SELECT *, ltrim(line, ' ') AS t, strpos(ltrim(line, ' '), '.') AS dot_at FROM l),
+                 c AS (SELECT *, CASE WHEN dot_at BETWEEN 6 AND 31 AND NOT regexp_matches(substr(t, 1, dot_at + 2), '(?i)US\\$|USD|\\$|(?:^|[^\\p{{L}}])L(?:PS?)?(?:[^\\p{{L}}]|$)') THEN substr(t, 1, dot_at - 1) || ':' || substr(t, dot_at + 1) ELSE t END AS dotted FROM d)
             SELECT conv_id, turn, md5('* ' || role || ': ' || line) AS colon,
                    md5(CASE WHEN regexp_matches(line, '^\\s*\\p{{L}}') THEN '* ' || ltrim(line, ' ') ELSE turn || '. ' || line END) AS numbered,
                    md5(CASE WHEN regexp_matches(line, '[^ ]') THEN '* ' || ltrim(line, ' ') ELSE '-- ' || line END) AS any,
