@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +20,11 @@ _ZERO_WIDTH = "​‌‍⁠﻿"
 _SPACES = "   　"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often body uses it; keeps expressions small."""
+    return F.transform(F.array(value), body)[0]
+
+
 def squeeze(x: Column) -> Column:
     """Runs of white space become one space, the ends go."""
     return F.trim(F.regexp_replace(x, r"\s+", " "))
@@ -73,16 +79,19 @@ def null_text(x: Column) -> Column:
 
 def preclean_place(raw: Column) -> Column:
     """The place at the start of a noisy cell: boulevard heads as they are; descriptions, offers, prices and brackets cut off."""
-    s = F.upper(fix_mojibake(F.coalesce(raw, F.lit(""))))
+    return let(F.upper(fix_mojibake(F.coalesce(raw, F.lit("")))), _bare_place)
+
+
+def _bare_place(s: Column) -> Column:
     head = F.regexp_extract(s, r"^BLVD\s+[A-ZÑ]+", 0)
     boulevard = F.regexp_extract(s, r"\bBLVD(\s+[A-ZÑ]+){1,2}", 0)
     described = r"(?iu)\b(CASA|DEPARTAMENTO|CONDO|VENTA|ALQUILER|RENTA)\b"
-    cut, done = s, F.lit(False)
+    cut = None
     for mark in (" - ", " | ", " / "):
-        at = F.instr(s, mark)
-        hit = ~done & (at > 0) & F.coalesce(F.substring(s, at + len(mark), F.lit(2**30)).rlike(described), F.lit(False))
-        cut = F.when(hit, F.substring(s, F.lit(1), at - 1)).otherwise(cut)
-        done = done | hit
+        hit = F.coalesce(F.substring(s, F.instr(s, mark) + len(mark), F.lit(2**30)).rlike(described), F.lit(False)) & F.contains(s, F.lit(mark))
+        bare = F.substring(s, F.lit(1), F.instr(s, mark) - 1)
+        cut = F.when(hit, bare) if cut is None else cut.when(hit, bare)
+    cut = cut.otherwise(s)
     t = squeeze(F.regexp_replace(cut, r"(?iu)\b(VENTA|ALQUILER|RENTA|SALE|PRECIO|PRICE)\b", " "))
     t = F.trim(F.substring_index(t, ":", 1))
     t = F.trim(F.regexp_extract(t, r"^((?:(?!\.-\s)[\s\S])*)", 1))
