@@ -18,6 +18,7 @@ from . import sentence_spans as _sentences
 from . import simhash as _simhash
 from . import token_shards as _shards
 from .common import scratch, scratch_path, table
+from .oracles import oracle_sql as oracle_sql
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +36,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = _mixing.plan(table(spark, sf_dir, "documents"), carry=["doc_id"])
-    rows = got.select("doc.doc_id", "size", "source_size", "target", "taken", F.get("times", 0).alias("first_time"), F.get("times", 1).alias("second_time"))
+    rows = got.select("doc.doc_id", "size", "source_size", "target", "taken", F.round(F.get("times", 0), 9).alias("first_time"), F.round(F.get("times", 1), 9).alias("second_time"))
     return rows.orderBy(F.col("first_time").asc_nulls_last(), "doc_id")
 
 
@@ -74,7 +75,3 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_quality_rules, op2_simhash, op3_pii, op4_mixing, op5_token_shards, op6_sentence_spans, op7_decontamination, op8_line_dedup, op9_secret_scan, op10_chat_windows)
     return {f.__name__: f for f in every}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

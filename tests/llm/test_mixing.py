@@ -58,6 +58,13 @@ def test_query(spark, sf_dir):
     assert sorted(rows) == sorted(op4_mixing(spark, sf_dir).collect())
 
 
+def test_query_matches_sql(spark, sf_dir):
+    from casita.llm.queries import oracle_sql
+    from tests.oracle import compare, connect
+
+    compare(spark, connect(sf_dir), sf_dir, op4_mixing, oracle_sql()["op4_mixing"])
+
+
 def test_odd_inputs(make):
     rows = [(i, "w " * (i % 7 + 1), "en", ["b", "é", None, "B", "\U0001f600"][i % 5]) for i in range(200)]
     rows += [(900, None, "en", "empty"), (901, "", "en", "empty"), (902, "x " * 60_000, "en", "b")]
