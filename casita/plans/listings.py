@@ -1,8 +1,8 @@
 """The fourteen steps from raw issues to published statistics, as functions of DataFrames (2.16).
 
 A step takes a DataFrame and a Context and returns a StepResult: the main table, and side tables (duplicates, rejected
-rows, unmatched rows, reports). Nothing is written between steps: a run is one lazy plan, and Pipeline checks the order of
-steps before it starts. Observed columns are never overwritten.
+rows, unmatched rows, reports). Pipeline checks the order of steps before it starts; between steps nothing is written but
+checkpoints after the costly ones (`cuts`), so that a plan stays small and a lost executor repeats little. Observed columns are never overwritten.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from casita.functions import listing as X
 from casita.functions import text as N
 from casita.operators import aggregate, dedup, lookup, rules, segment
 from casita.operators.profile import value_counts
+from casita.sources.tables import cut
 
 HEADERS = [
     {"pattern": "ALQUILER DE APARTAMENTOS", "transaction": "Rent", "type": "Apartment"},
@@ -188,7 +189,11 @@ STEPS: dict[str, Callable[[DataFrame, Context], StepResult]] = {
 class Pipeline:
     """A run of steps in registry order; `run` gives the results by step."""
 
-    def __init__(self, steps: list[str] | None = None):
+    #: Steps whose main table is checkpointed: field extraction, scores and decisions are costly to plan and to repeat.
+    CUTS = ("parse", "deduplicate", "clean_neighborhoods", "ptype_fix", "gis_match", "transaction_validate", "area_standardize")
+
+    def __init__(self, steps: list[str] | None = None, cuts: tuple[str, ...] = CUTS):
+        self.cuts = cuts
         self.steps = list(STEPS) if steps is None else steps
         if unknown := [s for s in self.steps if s not in STEPS]:
             raise ValueError(f"no such steps: {', '.join(unknown)}")
@@ -199,6 +204,8 @@ class Pipeline:
         out = {}
         for name in self.steps:
             out[name] = STEPS[name](df, context)
+            if name in self.cuts:
+                out[name].main = cut(out[name].main)
             df = out[name].main
         return out
 

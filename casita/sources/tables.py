@@ -2,8 +2,21 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df checkpointed to the folder in spark.checkpoint.dir (our own temporary one in local runs): the plan above it starts anew."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        told = sc.getConf().get("spark.checkpoint.dir", None)
+        if not told and not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(told or tempfile.mkdtemp(prefix="casita-"))
+    return df.checkpoint()
