@@ -1,7 +1,7 @@
 """Benchmark decontamination by BM25 with block-max WAND.
 
 Test items are cut into parts of at most `part_words` = 64 words, which an inverted index holds: per term a posting list
-of (part, BM25 impact) with the greatest impact of each block of 16 parts. Every passage of every text (128 words, a new
+of (part, BM25 impact) with the greatest impact of each block of 4 parts. Every passage of every text (128 words, a new
 one each 64, so that any 64 words in a row lie in one passage) is a query: all parts that score at least `threshold` =
 half of what the part scores against itself are retrieved. First, for all passages of a text at once, the block maxima of
 a passage's words are added up; blocks whose sum stays below the threshold cannot hold a result. Passages with a block
@@ -45,7 +45,7 @@ class Bm25:
     b: float = 0.75
     part_words: int = 64
     passage_words: int = 128
-    block: int = 16
+    block: int = 4
     threshold: float = 0.5
     similarity: float = 0.8
     #: Of the question's and the answer's own shingles.
