@@ -63,6 +63,15 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: A side of a join is sent to all executors up to this size; beyond it the join shuffles.
+SENT_BYTES = 48_000_000
+
+
+def bounded(side: DataFrame, row_bytes: int) -> DataFrame:
+    """A written table, marked for broadcast if its rows, of row_bytes each at most on average, stay below SENT_BYTES."""
+    return F.broadcast(side) if side.count() * row_bytes <= SENT_BYTES else side
+
+
 def packed(df: DataFrame, name: str = "doc") -> DataFrame:
     """df with all columns in one struct, so that no column that an operator adds can clash with one of the input."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))

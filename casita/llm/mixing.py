@@ -11,7 +11,9 @@ Scale: running sums inside a source never need the source in one task. Documents
 `bucket_rows` rows; bucket sizes, added up on the map side, give each bucket's offset, and rows are ordered only within
 their bucket. Source totals are one row per source; the offsets of a source's buckets are one row per bucket. Documents
 that hold over 1/64 of their source (63 at most) are a stratum of their own: in a pass that ends early they are taken in
-proportion first, and the small ones fill up to the target, so the words taken come near it.
+proportion first, and the small ones fill up to the target, so the words taken come near it. All this is done on row
+numbers and sizes; the documents themselves meet their plan at the end (by a broadcast while the plan is small, its rows
+counted first, else by a shuffle) and move once more for the range sort.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in order; equal rows (same doc_id and
 size) are taken one after the other; a source of size 0 has target 0; an empty table gives an empty table. Columns of the
@@ -26,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, scratch, word_array
+from .common import bounded, packed, scratch, word_array
 
 
 @dataclass(frozen=True)
@@ -78,9 +80,10 @@ def plan(docs: DataFrame, mix: Mix = Mix(), carry: list[str] | None = None) -> D
     kept = [F.col(f"doc.`{c}`").alias(c) for c in (carry or docs.columns)]
     key = F.conv(F.substring(F.md5(F.concat(F.lit(mix.seed), F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("")))), 1, 15), 16, 10).cast("long")
     sized = packed(docs).select(
-        F.struct(*kept).alias("doc"), F.col("doc.doc_id").cast("long").alias("id"), F.col("doc.source").cast("string").alias("source"), F.size(word_array(F.col("doc.text").cast("string"))).cast("long").alias("size"), key.alias("key")
+        F.struct(*kept).alias("doc"), F.monotonically_increasing_id().alias("row"), F.col("doc.doc_id").cast("long").alias("id"), F.col("doc.source").cast("string").alias("source"), F.size(word_array(F.col("doc.text").cast("string"))).cast("long").alias("size"), key.alias("key")
     )
-    sized = scratch(sized, "sized")
+    whole = scratch(sized, "sized")  # row numbers are settled here
+    sized = whole.drop("doc")
     n_rows = sized.agg(F.count("*")).first()[0]
     bits = max(0, min(40, math.ceil(math.log2(max(1, n_rows / mix.bucket_rows)))))
     source = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), mix).withColumnRenamed("source", "of")
@@ -111,10 +114,11 @@ def plan(docs: DataFrame, mix: Mix = Mix(), carry: list[str] | None = None) -> D
     rows = rows.join(offset, F.col("source").eqNullSafe(F.col("of")) & (F.col("big") == F.col("of_big")) & (F.col("bucket") == F.col("at")))
     middle = F.col("offset") + F.col("inner") + half
     at = lambda p, of, words: F.coalesce(training_time(F.least(F.lit(1.0), (p * F.col("source_size") + middle / F.nullif(of, F.lit(0)) * words) / F.nullif(F.col("target"), F.lit(0.0))), F.col("slope")), F.lit(0.0))
-    whole = [F.when(F.col("full") > p, at(F.lit(p), F.col("all"), F.col("source_size"))) for p in range(mix.max_passes)]
+    full = [F.when(F.col("full") > p, at(F.lit(p), F.col("all"), F.col("source_size"))) for p in range(mix.max_passes)]
     last = F.when((F.col("rest") > 0) & (middle <= F.col("limit")), at(F.col("full"), F.col("limit"), F.col("rest")))
-    rows = rows.withColumn("times", F.array_compact(F.array(*whole, last)))
-    return rows.select("doc", "id", "key", "size", "source_size", "target", (F.col("size") * F.size("times")).alias("taken"), "times", "rank")
+    rows = rows.withColumn("times", F.array_compact(F.array(*full, last)))
+    planned = rows.select("row", "id", "key", "size", "source_size", "target", (F.col("size") * F.size("times")).alias("taken"), "times", "rank")
+    return whole.select("row", "doc").join(bounded(scratch(planned, "plan"), 120), "row").drop("row")
 
 
 def training_order(planned: DataFrame) -> DataFrame:
