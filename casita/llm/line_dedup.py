@@ -10,9 +10,11 @@ itself and a variant of the longer. The earliest line of a variant is an aggrega
 the earliest line it meets, and that one pair is verified on the words themselves.
 
 Scale: equal lines collapse to one row before anything else (an aggregate that combines on the map side). A line with a
-partner within one edit also shares half of its words at the start or the end with it, so only lines that share such a
-half with another line go on to emit variants; this loses no partner. Joins back to the lines are equi-joins that AQE may
-split where a half or a variant is common. A variant costs O(1) by sums of weighted word hashes, so long lines are linear.
+partner within one edit shares its first or its last five words with it, and half of its words at the start or the end;
+only lines that share these with another line go on to emit variants, which loses no partner. Joins back to the lines are
+equi-joins that AQE may split where an edge, a half or a variant is common. A variant costs O(1) by sums of weighted word
+hashes, so long lines are linear. Texts meet the lists of their lines by a broadcast while a list is small (its rows are
+counted first), else by a shuffle.
 
 Defined results: a null text has no lines and stays null; rows with one doc_id are one document (each of them keeps
 what the document keeps); an empty table gives an empty table. Columns of the input are kept in a struct, so extra columns may have
@@ -30,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, scratch
+from .common import bounded, packed, scratch
 
 #: Odd multipliers of the two hash lanes; their powers weigh the places of a line.
 _BASE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
@@ -39,6 +41,8 @@ _BASE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 @dataclass(frozen=True)
 class Lines:
     min_fuzzy_words: int = 10
+    #: Words at a line's start and end of which one side is shared by lines within one edit; twice that is at most min_fuzzy_words.
+    edge_words: int = 5
 
 
 def line_words(line: str) -> list[str]:
@@ -67,12 +71,6 @@ def variants(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return before[:, n], before[:, :n] + after[:, :n]
 
 
-def _mixed(lanes: np.ndarray, extra: np.ndarray | int) -> np.ndarray:
-    """(2, m) lanes as two signed longs, with a number mixed in (a place, or a length)."""
-    x = lanes ^ (np.asarray(extra, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(0x2545F4914F6CDD1D))
-    return x.view(np.int64)
-
-
 def within_one_edit(a: list[str], b: list[str]) -> bool:
     if abs(len(a) - len(b)) > 1:
         return False
@@ -88,6 +86,11 @@ def _digest(words: list[str]) -> tuple[int, int]:
     return (h >> 64) - 2**63, (h & (2**64 - 1)) - 2**63
 
 
+def _edge_keys(words: list[str], n: int = 5) -> tuple[int, int]:
+    """Hashes of the first and of the last n words: one edit in a line of over 2n words leaves one of them as it is."""
+    return tuple(xxhash.xxh3_64_intdigest(f"{side} {' '.join(part)}".encode("utf-8", "surrogatepass")) - 2**63 for side, part in ((0, words[:n]), (1, words[-n:])))
+
+
 def _half_keys(words: list[str]) -> list[int]:
     """For a line of n words: starts and ends that a partner of n, n - 1 or n + 1 words shares with it, if the edit is elsewhere."""
     out = []
@@ -97,13 +100,13 @@ def _half_keys(words: list[str]) -> list[int]:
     return out
 
 
-_LINE = "doc_id long, pos long, h1 long, h2 long, halves array<long>"
+_LINE = "doc_id long, pos long, h1 long, h2 long, head long, tail long"
 
 
 def _emit(how: Lines):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: list[list] = [[], [], [], [], []]
+            cols: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 seen = set()
                 for pos, line in enumerate(text.split("\n") if text else ()):
@@ -111,37 +114,46 @@ def _emit(how: Lines):
                     key = _digest(words) if words else None
                     if key and key not in seen:
                         seen.add(key)
-                        for c, x in zip(cols, (doc, pos, *key, _half_keys(words) if len(words) >= how.min_fuzzy_words else None), strict=True):
+                        for c, x in zip(cols, (doc, pos, *key, *(_edge_keys(words, how.edge_words) if len(words) >= how.min_fuzzy_words else (None, None))), strict=True):
                             c.append(x)
-            yield pa.record_batch([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.list_(pa.int64()))], names=["doc_id", "pos", "h1", "h2", "halves"])
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "pos", "h1", "h2", "head", "tail"])
 
     return emit
 
 
-_VARIANT = "doc_id long, pos long, h1 long, h2 long, kind int, v1 long, v2 long, words array<string>"
+_WANTED = "doc_id long, pos long, h1 long, h2 long, words array<string>, halves array<long>"
 
 
-def _emit_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per wanted line: kind 0, the whole (v: its hash; the words ride along), kind 1, variants, kind 2, variants with their place."""
+def _emit_wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and half keys of the lines that are wanted of each text."""
     for batch in batches:
         cols: list[list] = [[], [], [], [], [], []]
-        parts: list[np.ndarray] = []
         for doc, text, places in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("places").to_pylist(), strict=True):
             lines = text.split("\n") if text else []
             for place in places:
                 words = line_words(lines[place["pos"]]) if place["pos"] < len(lines) else []
-                if not words or _digest(words) != (place["h1"], place["h2"]):
-                    continue  # another row of this doc_id has the line
-                n = len(words)
-                whole, less = variants(words)
-                parts.append(np.concatenate([_mixed(whole[:, None], 0), _mixed(less, 0), _mixed(less, np.arange(1, n + 1))], axis=1))
-                for c, x in zip(cols, (doc, place["pos"], place["h1"], place["h2"]), strict=False):
-                    c += [x] * (2 * n + 1)
-                cols[4] += [0] + [1] * n + [2] * n
-                cols[5] += [words] + [None] * (2 * n)
-        keys = np.concatenate(parts, axis=1) if parts else np.empty((2, 0), np.int64)
-        made = [pa.array(c, pa.int64()) for c in cols[:4]] + [pa.array(cols[4], pa.int32()), pa.array(keys[0]), pa.array(keys[1]), pa.array(cols[5], pa.list_(pa.string()))]
-        yield pa.record_batch(made, names=["doc_id", "pos", "h1", "h2", "kind", "v1", "v2", "words"])
+                if words and _digest(words) == (place["h1"], place["h2"]):  # else another row of this doc_id has the line
+                    for c, x in zip(cols, (doc, place["pos"], place["h1"], place["h2"], words, _half_keys(words)), strict=True):
+                        c.append(x)
+        yield pa.record_batch([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.list_(pa.string())), pa.array(cols[5], pa.list_(pa.int64()))], names=["doc_id", "pos", "h1", "h2", "words", "halves"])
+
+
+_VARIANT = "doc_id long, spot long, place int, v1 long, v2 long"
+
+
+def _emit_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per line: its own hash with place -1, and the hash of each variant with the place of the word left out."""
+    for batch in batches:
+        words = batch.column("words").to_pylist()
+        sizes = np.array([len(w) + 1 for w in words], np.int64)
+        parts = []
+        for w in words:
+            whole, less = variants(w)
+            parts.append(np.concatenate([whole[:, None], less], axis=1))
+        keys = np.concatenate(parts, axis=1).view(np.int64) if parts else np.empty((2, 0), np.int64)
+        place = np.concatenate([np.arange(-1, n - 1) for n in sizes]) if parts else np.empty(0, np.int64)
+        own = [pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), sizes), pa.int64()) for c in ("doc_id", "spot")]
+        yield pa.record_batch([*own, pa.array(place.astype(np.int32)), pa.array(keys[0]), pa.array(keys[1])], names=["doc_id", "spot", "place", "v1", "v2"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,30 +165,36 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """(h1, h2) of distinct lines that an earlier line comes within one word edit of."""
     place = F.struct("pos", "h1", "h2").alias("place")
-    half = distinct.where("halves IS NOT NULL").select("doc_id", place, F.explode("halves").alias("half"))
+    edge = distinct.where("head IS NOT NULL").select("doc_id", place, F.explode(F.array("head", "tail")).alias("edge"))
+    common = edge.groupBy("edge").agg(F.count("*").alias("n")).where("n > 1").select("edge")
+    wanted = scratch(edge.join(common, "edge").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("place").alias("places")), "wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(bounded(wanted, 200), F.col("doc_id") == F.col("id")).select("doc_id", "text", "places")
+    lines = scratch(texts.mapInArrow(_emit_wanted, _WANTED).dropDuplicates(["h1", "h2"]), "wanted-lines")
+    half = lines.select("h1", "h2", F.explode("halves").alias("half"))
     common = half.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    wanted = half.join(common, "half").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("place").alias("places"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, F.col("doc_id") == F.col("id")).select("doc_id", "text", "places")
-    each = scratch(texts.mapInArrow(_emit_variants, _VARIANT).withColumn("line", F.struct("doc_id", "pos", "h1", "h2")).drop("doc_id", "pos", "h1", "h2"), "variants")
+    close = half.join(common, "half").select("h1", "h2").distinct()
+    # a line's place in order, in one long: its number in the text, then bits of its hash for rows that share a doc_id
+    spot = F.shiftleft("pos", 32).bitwiseOR(F.col("h2").bitwiseAND(F.lit(0xFFFFFFFF)))
+    lines = lines.join(close, ["h1", "h2"]).select("doc_id", spot.alias("spot"), "h1", "h2", "words")
+    each = scratch(lines.select("doc_id", "spot", "words").mapInArrow(_emit_variants, _VARIANT).select(F.struct("doc_id", "spot").alias("line"), "place", "v1", "v2"), "variants")
+    whole, less = each.where("place < 0").select("v1", "v2", F.col("line").alias("w")), each.where("place >= 0")
     # the same place left out, or the whole of the shorter against a variant of the longer
-    same = each.where("kind = 2")
-    low = same.groupBy("v1", "v2").agg(F.min("line").alias("p"), F.max("line").alias("q")).where("p < q").select("v1", "v2", "p")
-    alike = same.join(low, ["v1", "v2"]).select("line", "p")
-    whole, less = each.where("kind = 0").select("v1", "v2", F.col("line").alias("w")).distinct(), each.where("kind = 1")
-    low = less.groupBy("v1", "v2").agg(F.min("line").alias("p"))
-    shorter = whole.join(low, ["v1", "v2"]).select(F.col("w").alias("line"), "p")
-    longer = less.join(whole, ["v1", "v2"]).select("line", F.col("w").alias("p"))
+    low = less.groupBy("v1", "v2", "place").agg(F.min("line").alias("p"), F.max("line").alias("q")).where("p < q").select("v1", "v2", "place", "p")
+    alike = less.join(low, ["v1", "v2", "place"]).select("line", "p")
+    met = less.join(whole, ["v1", "v2"]).select("line", "w")
+    longer, shorter = met.select("line", F.col("w").alias("p")), met.groupBy(F.col("w").alias("line")).agg(F.min("line").alias("p"))
     pairs = alike.unionByName(shorter).unionByName(longer).where("line > p").groupBy("line").agg(F.min("p").alias("p"))
-    text = each.where("kind = 0").select("line", "words")
+    text = lines.select(F.struct("doc_id", "spot").alias("line"), "h1", "h2", "words")
     both = pairs.join(text, "line").join(text.select(F.col("line").alias("p"), F.col("words").alias("p_words")), "p")
-    return both.select("line.h1", "line.h2", "words", "p_words").mapInArrow(_verify, "h1 long, h2 long").distinct()
+    return both.select("h1", "h2", "words", "p_words").mapInArrow(_verify, "h1 long, h2 long").distinct()
 
 
 def duplicate_lines(docs: DataFrame, how: Lines = Lines()) -> DataFrame:
     """(doc_id, h1, h2, all): lines that a document loses: in all its places, or in all but the first."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lines = scratch(plain.mapInArrow(_emit(how), _LINE), "lines")
-    distinct = scratch(lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.max("doc_id").alias("last"), F.first("halves").alias("halves")).select("h1", "h2", "first.doc_id", "first.pos", "last", "halves"), "distinct-lines")
+    distinct = scratch(lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.max("doc_id").alias("last"), F.first("head").alias("head"), F.first("tail").alias("tail")).select("h1", "h2", "first.doc_id", "first.pos", "last", "head", "tail"), "distinct-lines")
     fuzzy = _near(distinct, docs).withColumn("near", F.lit(True))
     # a line goes from every place if it is near an earlier one, else from every document but its first
     verdict = distinct.join(fuzzy, ["h1", "h2"], "left").where("near OR doc_id < last").select("h1", "h2", F.col("doc_id").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
@@ -207,6 +225,6 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def drop_lines(docs: DataFrame, how: Lines = Lines()) -> DataFrame:
     """doc (a struct of the input's columns), n_lines with a word, n_dropped, kept_text."""
-    lost = duplicate_lines(docs, how).groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("lost")).withColumnRenamed("doc_id", "id")
-    rows = packed(docs).withColumn("text", F.col("doc.text").cast("string")).join(lost, F.col("doc.doc_id") == F.col("id"), "left").select("doc", "text", "lost")
+    lost = scratch(duplicate_lines(docs, how).groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("lost")).withColumnRenamed("doc_id", "id"), "lost")
+    rows = packed(docs).withColumn("text", F.col("doc.text").cast("string")).join(bounded(lost, 200), F.col("doc.doc_id") == F.col("id"), "left").select("doc", "text", "lost")
     return rows.mapInArrow(_keep, f"doc {rows.schema['doc'].dataType.simpleString()}, n_lines long, n_dropped long, kept_text string")
