@@ -121,7 +121,7 @@ def _emit(how: Lines):
     return emit
 
 
-_WANTED = "doc_id long, pos long, h1 long, h2 long, words array<string>, halves array<long>"
+_WANTED = "doc_id long, spot long, h1 long, h2 long, words array<string>, halves array<long>"
 
 
 def _emit_wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,12 +130,13 @@ def _emit_wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[list] = [[], [], [], [], [], []]
         for doc, text, places in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("places").to_pylist(), strict=True):
             lines = text.split("\n") if text else []
-            for place in places:
-                words = line_words(lines[place["pos"]]) if place["pos"] < len(lines) else []
-                if words and _digest(words) == (place["h1"], place["h2"]):  # else another row of this doc_id has the line
-                    for c, x in zip(cols, (doc, place["pos"], place["h1"], place["h2"], words, _half_keys(words)), strict=True):
+            for spot in places:
+                words = line_words(lines[spot >> 32]) if spot >> 32 < len(lines) else []
+                key = _digest(words) if words else (0, ~spot)
+                if (key[1] ^ spot) & 0xFFFFFFFF == 0:  # else another row of this doc_id has the line
+                    for c, x in zip(cols, (doc, spot, *key, words, _half_keys(words)), strict=True):
                         c.append(x)
-        yield pa.record_batch([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.list_(pa.string())), pa.array(cols[5], pa.list_(pa.int64()))], names=["doc_id", "pos", "h1", "h2", "words", "halves"])
+        yield pa.record_batch([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.list_(pa.string())), pa.array(cols[5], pa.list_(pa.int64()))], names=["doc_id", "spot", "h1", "h2", "words", "halves"])
 
 
 _VARIANT = "doc_id long, spot long, place int, v1 long, v2 long"
@@ -164,19 +165,18 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """(h1, h2) of distinct lines that an earlier line comes within one word edit of."""
-    place = F.struct("pos", "h1", "h2").alias("place")
-    edge = distinct.where("head IS NOT NULL").select("doc_id", place, F.explode(F.array("head", "tail")).alias("edge"))
+    # a line's place in order, in one long: its number in the text, then bits of its hash for rows that share a doc_id
+    spot = F.shiftleft("pos", 32).bitwiseOR(F.col("h2").bitwiseAND(F.lit(0xFFFFFFFF))).alias("spot")
+    edge = distinct.where("head IS NOT NULL").select("doc_id", spot, F.explode(F.array("head", "tail")).alias("edge"))
     common = edge.groupBy("edge").agg(F.count("*").alias("n")).where("n > 1").select("edge")
-    wanted = scratch(edge.join(common, "edge").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("place").alias("places")), "wanted")
+    wanted = scratch(edge.join(common, "edge").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("spot").alias("places")), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.join(bounded(wanted, 200), F.col("doc_id") == F.col("id")).select("doc_id", "text", "places")
     lines = scratch(texts.mapInArrow(_emit_wanted, _WANTED).dropDuplicates(["h1", "h2"]), "wanted-lines")
     half = lines.select("h1", "h2", F.explode("halves").alias("half"))
     common = half.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     close = half.join(common, "half").select("h1", "h2").distinct()
-    # a line's place in order, in one long: its number in the text, then bits of its hash for rows that share a doc_id
-    spot = F.shiftleft("pos", 32).bitwiseOR(F.col("h2").bitwiseAND(F.lit(0xFFFFFFFF)))
-    lines = lines.join(close, ["h1", "h2"]).select("doc_id", spot.alias("spot"), "h1", "h2", "words")
+    lines = lines.join(close, ["h1", "h2"]).select("doc_id", "spot", "h1", "h2", "words")
     each = scratch(lines.select("doc_id", "spot", "words").mapInArrow(_emit_variants, _VARIANT).select(F.struct("doc_id", "spot").alias("line"), "place", "v1", "v2"), "variants")
     whole, less = each.where("place < 0").select("v1", "v2", F.col("line").alias("w")), each.where("place >= 0")
     # the same place left out, or the whole of the shorter against a variant of the longer
