@@ -1,9 +1,11 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences (after . ! ? and at line breaks; a sentence of over 40 words is cut further after words whose
-hash says so, so that equal stretches are cut alike). From every sentence starts one run: at least `sentences` = 2
-consecutive sentences, and as many more as it takes to reach `min_words` = 15 words. Runs are hashed (128 bits, white
-space made single) and joined over all documents. The first occurrence of a run is the one with the smallest doc_id, then
+hash says so, so that equal stretches are cut alike). From every sentence starts one run, and at every sentence ends one:
+at least `sentences` = 2 consecutive sentences, and as many more as it takes to reach `min_words` = 15 words. So every
+sentence of a repeated passage of that size lies in a run inside the passage, up to its short last ones. A whole text of
+several sentences but fewer words is one run, which only such texts share. Runs are hashed (128 bits, white space made
+single) and joined over all documents. The first occurrence of a run is the one with the smallest doc_id, then
 place; sentences covered by any other occurrence are removed, the rest of the text stays as it is.
 
 Scale: repeats inside a text are settled where the text is read, so a text sends each of its runs once: three longs. The
@@ -69,19 +71,30 @@ def _pieces(text: str, at: int, end: int) -> Iterator[tuple[int, int, str, int]]
         yield start, end, " ".join(held), len(held)
 
 
-def runs(cut: list[tuple[int, int, str, int]], how: Spans) -> list[tuple[int, int, int, int]]:
-    """(first sentence, end sentence, two 64-bit halves of the hash)."""
-    out, j, words = [], 0, 0
-    for i in range(len(cut)):
-        j = max(j, i)
-        while j < len(cut) and (j - i < how.sentences or words < how.min_words):
-            words += cut[j][3]
+def _shortest(words: list[int], how: Spans) -> list[tuple[int, int]]:
+    """(i, j) of the shortest run from each i on, while there is one."""
+    out, j, held = [], 0, 0
+    for i in range(len(words)):
+        while j < len(words) and (j - i < how.sentences or held < how.min_words):
+            held += words[j]
             j += 1
-        if j - i < how.sentences or words < how.min_words:
+        if j - i < how.sentences or held < how.min_words:
             break
+        out.append((i, j))
+        held -= words[i]
+    return out
+
+
+def runs(cut: list[tuple[int, int, str, int]], how: Spans) -> list[tuple[int, int, int, int]]:
+    """(first sentence, end sentence, two 64-bit halves of the hash), in order: the shortest runs from each start and to each end."""
+    words, n = [c[3] for c in cut], len(cut)
+    spans = {*_shortest(words, how), *((n - j, n - i) for i, j in _shortest(words[::-1], how))}
+    if not spans and n >= how.sentences:
+        spans = {(0, n)}
+    out = []
+    for i, j in sorted(spans):
         h = xxhash.xxh3_128_intdigest(" ".join(c[2] for c in cut[i:j]).encode("utf-8", "surrogatepass"))
         out.append((i, j, (h >> 64) - 2**63, (h & (2**64 - 1)) - 2**63))
-        words -= cut[i][3]
     return out
 
 

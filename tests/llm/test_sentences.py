@@ -67,3 +67,21 @@ def test_odd_inputs(make):
     assert sorted((r.doc.doc_id, r.kept_text) for r in got if r.doc.doc_id in (3, 4)) == [(3, same), (3, same), (4, "")]
     assert [r.kept_text for r in got if r.doc.doc_id == 0] == [None]
     assert remove_repeats(make([])).count() == 0
+
+
+def test_copies_and_short_endings_go_completely(make):
+    rng = random.Random(5)
+    sentence = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n)) + "."
+    many = lambda *sizes: " ".join(sentence(n) for n in sizes)
+    shapes = [(20, 5, 5), (3, 3, 20, 2, 2), (9, 9, 9), (16, 1), (1, 16), (5, 5), (2, 30, 1, 1, 1), *[tuple(rng.randrange(1, 25) for _ in range(rng.randrange(2, 9))) for _ in range(20)]]
+    whole = [many(*s) for s in shapes]
+    passage = many(20, 5, 5)
+    hosts = [f"{many(9, 8)} {passage} {many(7, 12)}" for _ in range(4)]
+    texts = whole + hosts + whole
+    got = {r.doc.doc_id: r for r in remove_repeats(make(texts)).collect()}
+    for k, text in enumerate(texts[: len(whole) + 1]):
+        assert got[k].kept_text == text, k
+    for k in range(len(whole) + 1, len(whole) + 4):
+        assert got[k].kept_text == texts[k].replace(passage + " ", ""), k
+    for k in range(len(whole) + 4, len(texts)):
+        assert got[k].kept_text == "" and got[k].n_removed == got[k].n_sentences, k
