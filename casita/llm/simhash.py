@@ -71,12 +71,15 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         got = np.fromiter((fingerprint(x) for x in batch.column("text").to_pylist()), dtype=np.uint64, count=batch.num_rows)
-        yield pa.record_batch([batch.column("doc_id"), pa.array(got.view(np.int64))], names=["doc_id", "fp"])
+        own = [c for c in batch.schema.names if c != "text"]
+        yield pa.record_batch([*[batch.column(c) for c in own], pa.array(got.view(np.int64))], names=[*own, "fp"])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): fp the fingerprint as a signed long."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long")
+def fingerprints(docs: DataFrame, keyed: bool = False) -> DataFrame:
+    """(doc_id, fp), or (doc_id, key, fp): fp the fingerprint as a signed long, key a string of the input."""
+    key = ["key"] if keyed else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *key, F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_fingerprints, f"doc_id long, {'key string, ' if keyed else ''}fp long")
 
 
 def cells(distinct: DataFrame) -> DataFrame:
@@ -199,3 +202,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     label = linked.join(lowest, "root").select(F.col("fp").alias("f"), "component_id")
     joined = prints.join(label, prints.fp == label.f)
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def first_of_each(docs: DataFrame) -> DataFrame:
+    """(key): of rows (doc_id, key, text), the first of each component by doc_id, nulls last, then key.
+
+    Rows are told apart by key alone: a null doc_id, or one doc_id on several texts, joins or loses nothing.
+    """
+    prints = fingerprints(docs, keyed=True)
+    distinct = scratch(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("best")), "distinct")
+    roots = components(links(distinct.select("fp")))
+    linked = distinct.join(roots, distinct.fp == roots.node, "left").select("best", F.coalesce("root", "fp").alias("root"))
+    return linked.groupBy("root").agg(F.min("best").alias("best")).select("best.key")

@@ -24,10 +24,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the row with the smallest doc_id (of rows with that doc_id, the least text)."""
-    keep = simhash.near_duplicates(docs.select("doc_id", "text")).where("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
-    rows = packed(docs).join(keep, F.col("doc.doc_id").cast("long") == F.col("id"))
-    one = rows.groupBy("id").agg(F.min_by("doc", F.struct(F.coalesce(F.col("doc.text"), F.lit("")), F.to_json("doc"))).alias("doc"))
+    """One row of each component: the smallest doc_id, nulls last, then the least digest of the whole row.
+
+    A document without a doc_id counts like any other, and texts that share a doc_id are told apart.
+    """
+    rows = packed(docs).withColumn("key", F.md5(F.to_json("doc")))
+    keep = simhash.first_of_each(rows.select("doc.doc_id", "key", "doc.text")).withColumnRenamed("key", "k")
+    one = rows.join(keep, F.col("key") == F.col("k")).groupBy("key").agg(F.first("doc").alias("doc"))
     return _unpacked(one, docs.columns)
 
 

@@ -1,5 +1,6 @@
 """The pipeline against a brute-force version: each stage on what the last one kept."""
 
+import random
 import re
 from collections import Counter
 
@@ -64,3 +65,23 @@ def test_odd_rows(spark, make, tmp_path):
     spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in got} <= {1, 4, 5} and got
+
+
+def test_null_ids_and_shared_ids_stay(spark, make):
+    """Documents without an id, and texts that share one, are near-duplicates only of what they resemble."""
+    rng = random.Random(11)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(5))
+    rows = [(None, a, "en", "s"), (None, b, "en", "s"), (1, c, "en", "s"), (1, d, "en", "s"), (1, d, "en", "s"), (2, d, "en", "s"), (None, d, "en", "s"), (3, e, "en", "s"), (None, e, None, "s"), (None, None, None, None)]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, make(rows, ("key", "best", "k", "fp")), "").collect()]
+    assert Counter(got) == Counter([(None, a), (None, b), (1, c), (1, d), (3, e), (None, None)])
+
+
+def test_null_and_shared_ids_pass_the_stages(spark, make, tmp_path):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(4)]
+    make([(None, texts[0], "en", "s"), (None, texts[1], "en", "s"), (1, texts[2], "en", "s"), (1, texts[3], "en", "s")]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "a question of other words entirely? yes.")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert sorted(r.text for r in docs.collect()) == sorted(texts), name
