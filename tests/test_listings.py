@@ -81,6 +81,24 @@ def test_linkage(spark):
     assert got[(1, 1)] == "auto" and (3, None) in got and (None, 3) in got
 
 
+def test_linkage_reads_whole_tables(spark, sf_dir):
+    from casita.plans.joins import j10_link_records
+
+    got = j10_link_records(spark, sf_dir).collect()
+    keys = lambda t, k: {r[0] for r in spark.read.parquet(f"{sf_dir}/{t}.parquet").select(k).collect()}
+    assert {r.a_idx for r in got} - {None} == keys("supplier", "s_suppkey")
+    assert {r.b_idx for r in got} - {None} == keys("customer", "c_custkey")
+
+
+def test_linkage_of_high_numbers(spark, tmp_path):
+    from casita.plans.joins import j10_link_records
+
+    spark.createDataFrame([(k, f"Supplier#{k:09d}") for k in (7, 150)], "s_suppkey long, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(k, f"Customer#{k:09d}") for k in (7, 150, 900)], "c_custkey long, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    got = {(r.a_idx, r.b_idx): r.decision for r in j10_link_records(spark, str(tmp_path)).collect()}
+    assert got == {(7, 7): "auto", (150, 150): "auto", (None, 900): "no_match"}
+
+
 def test_explode(spark):
     notes = ["Torre Alfa: $ 900 / 1,200 / 1,500; Torre Beta: $ 700", "Uno: $ 100 / L. 2,000", "nada", None, "2, 3 hab en Lomas por 400 y 500 usd"]
     got = explode_listings(spark.createDataFrame(list(enumerate(notes)), "id int, notes string"), "id", "notes").collect()
