@@ -107,7 +107,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]", re.ASCII)
 #: Where a stretch may lie: digits, or "at" and "dot" written out.
-_SPARK = re.compile(r"[0-9]+|@|[\[({<]\s?(?:at|dot)\s?[\])}>]|\b(?:at|AT)\s+\w+\s+(?:dot|DOT)\b")
+_SPARK = re.compile(r"[0-9]+|@|[\[({<]\s?(?:at|dot)\s?[\])}>]|\b(?:at|AT)\s+\w[\w.-]*\s+(?:dot|DOT)\b")
 _NEAR = 24
 _CUES = {
     "email": ("email", "mail", "e", "contact", "write", "correo", "courriel"),
@@ -120,7 +120,8 @@ _ALL = ("O", *KINDS)
 
 @dataclass(frozen=True)
 class Crf:
-    max_tokens: int = 14
+    #: A name of three parts, marked at, a host of four parts with marked dots and some hyphens take 26.
+    max_tokens: int = 28
     max_stretch: int = 160
     n_train: int = 250
     epochs: int = 30
@@ -275,7 +276,8 @@ def _examples(how: Crf) -> list[tuple[str, list[tuple[str, int, int]]]]:
         if kind == "email":
             left, right = rng.choice([("[", "]"), ("(", ")"), ("{", "}"), (" [", "] "), (" (", ") ")])
             at, dot = rng.choice([("@", "."), (f"{left}at{right}", f"{left}dot{right}"), (f"{left}at{right}", "."), (" at ", " dot "), (" @ ", " . "), ("@", f"{left}dot{right}")])
-            return kind, f"{name()}{at}{host()}{dot}{end()}"
+            more = [rng.choice(["dept", "ac", "edu", "web"]) for _ in range(rng.choice((0, 0, 0, 1, 1, 2)))]
+            return kind, f"{name()}{at}{dot.join([host(), *more])}{dot}{end()}"
         if kind == "ip":
             return kind, rng.choice([".", " . ", "[.]", "(.)", "."]).join(octet() for _ in range(4))
         if kind == "card":
@@ -370,11 +372,16 @@ def _expected(score: list[float], n: int, ents: list[tuple[int, int]]) -> np.nda
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """[start, end) around sparks, merged where they come close; ends lie at white space where there is some."""
+    """[start, end) around sparks, merged where they come close; both ends are moved out to white space."""
     out: list[tuple[int, int]] = []
     for m in _SPARK.finditer(text):
-        a, b = max(0, m.start() - _NEAR), min(len(text), m.end() + _NEAR)
-        if out and a <= out[-1][1]:
+        done = out[-1][1] if out else 0
+        a, b = max(0, m.start() - _NEAR), max(done, min(len(text), m.end() + _NEAR))
+        while a > done and not text[a - 1].isspace():
+            a -= 1
+        while b < len(text) and b > done and not text[b - 1].isspace() and not text[b].isspace():
+            b += 1
+        if out and a <= done:
             out[-1] = (out[-1][0], b)
         else:
             out.append((a, b))

@@ -60,6 +60,18 @@ def test_held_out_forms():
         assert spans(text, model)[1] == base_spans(text), text
 
 
+def test_long_addresses_are_found_whole():
+    model = train()
+    for what in (
+        "christopher.montgomery.junior(at)example(dot)com",
+        "mary [at] department-of-physics.university.example.org",
+        "jo at acme-corp dot com",
+        "ana.maria.lopez [at] mail.example [dot] co [dot] uk",
+    ):
+        text = f"please write to {what} for this"
+        assert (KINDS.index("email"), 16, 16 + len(what)) in spans(text, model)[1], (text, spans(text, model))
+
+
 def test_odd_inputs(make):
     texts = [None, "", "1" * 30_000, "a" * 30_000 + "@", "1 " * 20_000, "+1" + " " * 20_000, "a@b.co " * 2_000, "1.1.1." * 5_000, None]
     start = time.time()
