@@ -1,33 +1,39 @@
 """Token ids in binary shards, compressed by a Re-Pair grammar.
 
 Texts are encoded by a given tokenizers file; each document ends with id 0. A shard holds whole documents in ascending
-doc_id order, about `shard_ids` ids of them. Re-Pair: pairs of neighbours that occur often are replaced by nonterminals,
-round after round, many pairs a round; the rules and the length of what each nonterminal expands to are stored, so a
-reader can step to any id without expanding what lies before it. No rule crosses the end of a document (no pair starts
-with a symbol that ends in id 0), so a document starts at a symbol.
-
-File format, a binary value per shard in a Parquet table (part, shard, n_ids, data), all little-endian: magic "RPG1";
-counts of documents, rules and symbols, base (the first nonterminal) and bytes of a symbol as 5 unsigned 64-bit integers;
-then doc_id (int64), symbols up to the end of each document (uint64), ids up to the end of each document (uint64), rules
-(two uint32 each), expansion lengths (uint32), symbols (uint16 or uint32).
+doc_id order, about `shard_ids` ids of them. Re-Pair: the most frequent pairs of neighbours are replaced by nonterminals
+until no pair is worth a rule; the rules and the length of what each nonterminal expands to are stored, so a reader can
+step to any id without expanding what lies before it. No rule crosses the end of a document (no pair starts with a
+symbol that ends in id 0), so a document starts at a symbol.
+
+Pairs go in rounds. A round takes pairs from the most frequent one down, at most `pairs_a_round` of them, such that no
+symbol is on the right of one and on the left of another: such pairs never overlap, so replacing them together is
+replacing them one by one. Counts are exact and follow from round to round by what the replacements destroy and create.
+The grammar ends when the most frequent pair saves no more bits than its rule takes (two symbols and a length);
+`min_count` = 2 ends where no pair occurs twice, and one pair a round is the textbook order.
+
+File format, a binary value per shard in a Parquet table (part, shard, n_ids, data), all little-endian: magic "RPG2";
+counts of documents, rules and symbols, base (the first nonterminal) and bits of a symbol as 5 unsigned 64-bit integers;
+then doc_id (int64), symbols up to the end of each document (uint64), ids up to the end of each document (uint64),
+expansion lengths (uint32), and in that many bits each, the two symbols of every rule and the symbols.
 
 Scale: one shuffle deals the texts to ranges of (doc_id, hash of text), so rows of one doc_id can spread; every task
 writes its shards through Spark's Parquet writer, so lost tasks are repeated without trace. A document's start is the sum
 over parts, shards and documents before it: running sums over one row a part, then one a shard.
 
-Encoding: a piece of text that begins at a space before a non-space is tokenized by itself, so such pieces are encoded
-once by a worker and their ids kept in a table of bounded size; what does not fit is encoded again. Texts with special
-tokens' strings or rare spaces are encoded whole.
+Encoding: a piece of text that begins at a space before a non-space is tokenized by itself, and so are its runs of letters
+and what follows them; pieces are encoded once by a worker and their ids kept in a table of at most `kept_pieces`; what
+does not fit is encoded anew in each block of text. Texts with special tokens' strings are encoded whole.
 
 Defined results: a null text is empty, its only id the end; rows with one doc_id follow each other, ordered by the hash of
-their text; null doc_ids come first; an empty table gives an empty table. Only doc_id and text are read, so extra columns
-may have any name.
+their text; null doc_ids come first; an empty table gives an empty table; a text longer than a shard is a shard of its
+own, and a worker holds one shard's texts at a time. Only doc_id and text are read, so extra columns may have any name.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -36,12 +42,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-MAGIC = b"RPG1"
+MAGIC = b"RPG2"
 END_ID = 0
 
 
@@ -49,19 +55,15 @@ END_ID = 0
 class Shards:
     tokenizer: str = "byte_bpe_50k.json"
     shard_ids: int = 1_000_000
-    rounds: int = 8
-    pairs_a_round: int = 4096
-    min_count: int = 12
-    kept_pieces: int = 800_000
+    #: Pairs that are replaced in one round, at most.
+    pairs_a_round: int = 8192
+    #: Least count of a pair that becomes a rule; None: as long as the rule saves bits.
+    min_count: int | None = None
+    kept_pieces: int = 500_000
 
 
 # --- encoding
 
-_ODD_SPACE = re.compile(r" (?:\s|$)")
-#: Characters that regular-expression libraries do not all agree on as white space.
-_UNSURE = re.compile(r"[\x1c-\x1f\x85\u180e\u200b\u2060\ufeff]")
-_PIECE = re.compile(r" (?=\S)")
-
 
 def tokenizer_path(name: str) -> str:
     """A path as it is; a bare name is a file of the installed public tokenizers."""
@@ -72,67 +74,234 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def _gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """flat[start : start + length] of each row, end to end."""
+    ends = np.cumsum(length)
+    at = np.repeat(start - (ends - length), length)
+    at += np.arange(len(at), dtype=at.dtype)
+    return flat[at]
+
+
+def _class_table() -> np.ndarray:
+    """What cuts need to know of a byte: 1 may follow the space that begins a piece, 2 an ASCII letter, 4 another ASCII character, 8 ASCII but no space."""
+    out = np.zeros(256, np.uint8)
+    out[0x21:0x7F] |= 1 | 8
+    out[0xC3:0xE0] |= 1  # two-byte characters from U+00C0 on: none is a space
+    letters = np.r_[65:91, 97:123]
+    out[:128] |= 4
+    out[letters] ^= 4 | 2
+    return out
+
+
+_CLASS = _class_table()
+#: Bytes of a space and of ASCII letters.
+_WORD = np.zeros(256, np.uint8)
+_WORD[[32, *range(65, 91), *range(97, 123)]] = 1
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_MIX_TOO = np.uint64(0xC2B2AE3D27D4EB4F)
+_POWER = np.multiply.accumulate(np.full(2**16, _MIX | np.uint64(1)), dtype=np.uint64)
+
+
+def piece_starts(b: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where pieces start in the bytes of texts that begin at `begins`: places where a token ends in any case.
+
+    At a space before a character that is no space; after an ASCII letter, before another ASCII character; and at an ASCII
+    letter after a single line break.
+    """
+    kind = _CLASS[b]
+    cut = np.zeros(len(b), bool)
+    cut[:-1] = (b[:-1] == 32) & (kind[1:] & 1).view(bool)
+    ends = begins[1:] - 1
+    cut[ends[ends >= 0]] = False  # what follows is another text
+    cut[1:] |= ((kind[:-1] >> 1) & (kind[1:] >> 2) & 1).view(bool)
+    cut[2:] |= (b[1:-1] == 10) & ((kind[2:] >> 1) & (kind[:-2] >> 3) & 1).view(bool)
+    cut[begins[begins < len(b)]] = True
+    return np.flatnonzero(cut)
+
+
 class Encoder:
-    """ids of texts as little-endian uint16 or uint32 bytes, by pieces that are kept."""
+    """ids of texts as little-endian uint16 or uint32 arrays, by pieces that are kept.
+
+    A table finds a piece by the hash of its bytes, in one of two places; the bytes themselves are compared, so that
+    nothing depends on the hash. Only a byte-level tokenizer with the common pattern is given pieces, others whole texts.
+    """
+
+    #: Pieces that are tokenized as one string, and bytes of text that are looked up at a time.
+    TOGETHER, BLOCK = 2000, 1 << 21
 
     def __init__(self, path: str, kept: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        told = json.loads(self.tokenizer.to_str())
+        pre = told["pre_tokenizer"] or {}
+        self.by_piece = told["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") is True and not pre.get("add_prefix_space")
+        #: The same merges for words of ASCII letters, spelled as the vocabulary does (a space is U+0120): they need no pattern.
+        self.words = Tokenizer.from_str(json.dumps(told | {"pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": " "}, "added_tokens": [], "post_processor": None}))
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.base = max(vocab.values()) + 1
-        self.dtype = np.dtype("<u2") if self.base <= 2**15 * 2 - 4096 else np.dtype("<u4")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.kept, self.first, self.rest = kept, {}, {}
+        self.dtype = np.dtype("<u2") if self.base <= 2**16 else np.dtype("<u4")
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: Bytes of text that an id stands for; a byte-level vocabulary has one character a byte.
         self.width = np.zeros(self.base, dtype=np.int64)
         for token, i in vocab.items():
             self.width[i] = len(token)
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-
-    def _learn(self, first: set[str], rest: set[str]) -> tuple[dict, dict]:
-        """The tables, with what is missing for this batch; while there is room it stays."""
-        first, rest = first - self.first.keys(), rest - self.rest.keys()
-        new_first = {w: self.whole(w) for w in first}
-        new_rest = {}
-        words = list(rest)
-        for lo in range(0, len(words), 20_000):
-            own = words[lo : lo + 20_000]
-            # pieces that begin with a space before a non-space do not change each other
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(own)], add_special_tokens=False)[0].ids, dtype=self.dtype)
-            ends = np.cumsum(self.width[ids])
-            want = np.cumsum([len(w.encode()) + 1 for w in own])
-            at = np.searchsorted(ends, want) + 1
-            if not (ends[at - 1] == want).all():
-                raise ValueError("the tokenizer joins pieces across spaces")
-            raw, k, lo_ = ids.tobytes(), self.dtype.itemsize, 0
-            for w, hi in zip(own, at.tolist(), strict=True):
-                new_rest[w] = raw[lo_ * k : hi * k]
-                lo_ = hi
-        if len(self.first) + len(self.rest) + len(new_first) + len(new_rest) <= self.kept:
-            self.first |= new_first
-            self.rest |= new_rest
-            return self.first, self.rest
-        return new_first, new_rest
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        for t in texts:
-            if any(s in t for s in self.special) or _UNSURE.search(t):
-                split.append(None)
+        self.kept, self.shift = kept, np.uint64(64 - max(1, (4 * kept).bit_length()))
+        self.table = np.zeros(2 ** (64 - int(self.shift)), np.int32)
+        #: By the number of a piece (0: the end of a text): hash, end of its ids in `ids` and of its bytes in `raw`. The
+        #: first `known` pieces are in the table, later ones are those of the block at hand.
+        self.hash, self.known = np.zeros(1024, np.uint64), 1
+        self.ids, self.ends = np.full(4096, END_ID, self.dtype), np.ones(1024, np.int32)
+        self.raw, self.raw_ends = np.zeros(8192, np.uint8), np.zeros(1024, np.int32)
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _tokenized(self, raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids of pieces (bytes, end to end), also end to end, and how many each has."""
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        second = np.where(sizes > 1, raw[np.minimum(starts + 1, len(raw) - 1)], 0)
+        spaced = (raw[starts] == 32) & (_CLASS[second] & 1).view(bool)
+        word = spaced & (np.bitwise_and.reduceat(_WORD[raw], starts) > 0)  # a space and letters: one token before merges
+        data = raw.tobytes()
+        pieces = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        length, flat, order = np.zeros(len(pieces), np.int64), [np.empty(0, self.dtype)], []
+        for mask, tokenizer, spell in ((word, self.words, lambda x: x.decode().replace(" ", " \u0120")), (spaced & ~word, self.tokenizer, bytes.decode)):
+            own = np.flatnonzero(mask)
+            for lo in range(0, len(own), self.TOGETHER):
+                some = own[lo : lo + self.TOGETHER]
+                ids = np.array(tokenizer.encode_batch_fast([spell(b"".join([pieces[i] for i in some.tolist()]))], add_special_tokens=False)[0].ids, dtype=self.dtype)
+                # pieces that begin with a space before a non-space do not change each other
+                have, want = np.cumsum(self.width[ids]), np.cumsum(sizes[some])
+                at = np.searchsorted(have, want) + 1
+                if at[-1] != len(ids) or not (have[at - 1] == want).all():
+                    raise ValueError("the tokenizer joins pieces across spaces")
+                flat.append(ids)
+                length[some] = np.diff(at, prepend=0)
+            order.append(own)
+        own = np.flatnonzero(~spaced)
+        for i, x in zip(own.tolist(), self.tokenizer.encode_batch_fast([pieces[i].decode() for i in own.tolist()], add_special_tokens=False), strict=True):
+            flat.append(np.array(x.ids, dtype=self.dtype))
+            length[i] = len(x.ids)
+        # from the order in which they were encoded to that of the pieces
+        order = np.concatenate([*order, own])
+        begin = np.empty(len(pieces), np.int64)
+        begin[order] = np.cumsum(length[order]) - length[order]
+        return _gathered(np.concatenate(flat), begin, length), length
+
+    def _found(self, h: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces with these hashes, 0 where there is none."""
+        number = self.table[h >> self.shift]
+        other = np.flatnonzero(self.hash[number] != h)
+        again = self.table[(h[other] * _MIX_TOO) >> self.shift]
+        number[other] = np.where(self.hash[again] == h[other], again, 0)
+        return number
+
+    def _block(self, b: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, ends of the texts in them, texts that are to be encoded whole) of the bytes of some texts."""
+        starts = piece_starts(b, begins)
+        size = np.diff(starts, append=len(b))
+        place = np.arange(len(b), dtype=np.int32)
+        place -= np.repeat(starts.astype(np.int32), size)
+        value = _POWER[place & 0xFFFF]
+        value *= b + np.uint64(1)
+        h = np.add.reduceat(value, starts) if len(starts) else np.empty(0, np.uint64)
+        h ^= h >> np.uint64(29)
+        h *= _MIX
+        h |= np.uint64(1)  # 0 is no piece's hash
+        number = self._found(h)
+        miss = np.flatnonzero(number == 0)
+        new, where, inverse = np.unique(h[miss], return_index=True, return_inverse=True)
+        if len(new):
+            at = miss[where]
+            raw = _gathered(b, starts[at], size[at])
+            number[miss] = self.known + inverse
+            self._add(new, *self._tokenized(raw, size[at]), raw, size[at])
+        raw_start, raw_length = self.raw_ends[number - 1], self.raw_ends[number] - self.raw_ends[number - 1]
+        # the bytes of each piece against those in the table: a hash that two pieces share is found here
+        same = size == raw_length
+        if same.all():
+            place += np.repeat(raw_start, size)
+            same = np.bitwise_and.reduceat(self.raw[place] == b, starts) if len(starts) else same
+        text = np.searchsorted(begins, starts[~same], side="right") - 1
+        own = np.insert(number, first := np.searchsorted(starts, np.append(begins[1:], len(b))), 0)
+        start = self.ends[own - 1] * (own > 0)
+        length = self.ends[own] - start
+        sizes = np.cumsum(length, dtype=np.int64)
+        return _gathered(self.ids, start, length), sizes[first + np.arange(len(first))], np.unique(text)
+
+    def _add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray, raw: np.ndarray, raw_sizes: np.ndarray) -> None:
+        """Writes pieces behind the known ones; as many as there is room for become known."""
+        lo, hi = self.known, self.known + len(hashes)
+
+        def put(name: str, values: np.ndarray, at: int) -> None:
+            held = getattr(self, name)
+            if at + len(values) > len(held):
+                held = np.concatenate([held, np.zeros(at + len(values), held.dtype)])
+                setattr(self, name, held)
+            held[at : at + len(values)] = values
+
+        put("hash", hashes, lo)
+        id_end, raw_end = int(self.ends[lo - 1]), int(self.raw_ends[lo - 1])
+        put("ids", ids, id_end)
+        put("ends", id_end + np.cumsum(sizes), lo)
+        put("raw", raw, raw_end)
+        put("raw_ends", raw_end + np.cumsum(raw_sizes), lo)
+        self.known = max(lo, min(hi, self.kept))
+        number = np.arange(lo, self.known, dtype=np.int32)
+        for mix in (np.uint64(1), _MIX_TOO):
+            slot = (self.hash[number] * mix) >> self.shift
+            free = self.table[slot] == 0
+            self.table[slot[free]] = number[free]
+            number = number[self.table[slot] != number]
+
+    def _begins(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """offsets, and places within texts of over a block at which they can be cut."""
+        more = []
+        for k in np.flatnonzero(np.diff(offsets) > self.BLOCK):
+            at = int(offsets[k])
+            while offsets[k + 1] - at > self.BLOCK:
+                look = data[at + self.BLOCK // 2 : min(int(offsets[k + 1]), at + self.BLOCK)]
+                cut = np.flatnonzero((look[:-1] == 32) & (_CLASS[look[1:]] & 1).view(bool))
+                at += self.BLOCK // 2 + int(cut[-1]) if len(cut) else self.BLOCK
+                if len(cut):
+                    more.append(at)
+        return np.union1d(offsets, more).astype(np.int64) if more else offsets
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """ids of each text, with the end; a null text is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data and len(texts) else np.empty(0, np.uint8)
+        offsets = offsets - offsets[0]
+        whole = set() if self.by_piece else set(range(len(texts)))
+        for s in self.special:
+            whole |= {k for k in np.flatnonzero(pc.match_substring(texts, s.decode()).to_numpy(zero_copy_only=False)).tolist()}
+        parts: list[list[np.ndarray]] = [[] for _ in range(len(texts))]
+        begins = offsets[:-1] if len(offsets) else offsets
+        if len(data) > self.BLOCK:
+            begins = self._begins(data, offsets)[:-1] if np.diff(offsets).max() > self.BLOCK else begins
+        lo = 0
+        while lo < len(begins) and self.by_piece:
+            hi = max(lo + 1, int(np.searchsorted(begins, begins[lo] + self.BLOCK, side="left")))
+            end = int(begins[hi]) if hi < len(begins) else len(data)
+            ids, ends, odd = self._block(data[begins[lo] : end], begins[lo:hi] - begins[lo])
+            # a place where a long text is cut begins no text
+            text = np.arange(lo, hi) if len(begins) == len(texts) else np.searchsorted(offsets[:-1], begins[lo:hi], side="right") - 1
+            whole |= set(text[odd].tolist())
+            for k, x, y in zip(text.tolist(), np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
+                parts[k].append(ids[x:y])
+            lo = hi
+        out = []
+        for k, x in enumerate(parts):
+            if k in whole:
+                out.append(np.array([*self.whole(texts[k].as_py()), END_ID], dtype=self.dtype))
             else:
-                split.append(_PIECE.split(t) if _ODD_SPACE.search(t) else t.split(" "))
-        new_first, new_rest = self._learn({s[0] for s in split if s}, {w for s in split if s for w in s[1:]})
-        first, rest = self.first, self.rest
-        if new_rest is rest:
-            look, look_first = rest.__getitem__, first.__getitem__
-        else:
-            look = lambda w: rest.get(w) or new_rest[w]
-            look_first = lambda w: first[w] if w in first else new_first[w]
-        return [self.whole(t) if s is None else look_first(s[0]) + b"".join(map(look, s[1:])) for t, s in zip(texts, split, strict=True)]
+                out.append(x[0] if len(x) == 1 else np.concatenate([*[y[:-1] for y in x], [END_ID]]).astype(self.dtype))
+        return out
 
 
 @cache
@@ -144,92 +313,215 @@ def encoder(path: str, kept: int) -> Encoder:
 # --- grammar
 
 
+def _codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Pairs of symbols, each a number."""
+    return (left << 32 | right).view(np.uint64)
+
+
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and how often each occurs."""
+    ranked = np.sort(codes)
+    edge = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(ranked) else np.empty(0, np.int64)
+    return ranked[edge], np.diff(np.r_[edge, len(ranked)])
+
+
+def _every_other(at: np.ndarray) -> np.ndarray:
+    """Mask of ascending places: every other one of each stretch of neighbours, from its left end."""
+    n = np.arange(len(at))
+    begin = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, n, 0))
+    return (n - begin) % 2 == 0
+
+
+def _twins(seq: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, counts) of pairs of one symbol with itself, which overlap in runs; counted anew in each round."""
+    at = np.flatnonzero(seq[1:] == seq[:-1])
+    at = at[~ends[seq[at]]]
+    twice = seq[at[_every_other(at)]]
+    return _counted(_codes(twice, twice))
+
+
+_LATE = 2**62
+#: Slots in which the pairs of a round are looked up.
+_SLOT_BITS = 17
+
+
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return ((codes * _MIX) >> np.uint64(64 - _SLOT_BITS)).view(np.int64)
+
+
+def _apart(codes: np.ndarray, first: np.ndarray, room: int) -> np.ndarray:
+    """Of codes in order of choice, those that can be replaced at once: no symbol is left of one and right of another.
+
+    A symbol goes to the side on which it comes first, so the first code always stays. Of two codes that fall in one slot
+    the second one waits for the next round. `first` (2, symbols) holds large numbers, before and after.
+    """
+    a, b, k = (codes >> np.uint64(32)).view(np.int64), (codes & np.uint64(0xFFFFFFFF)).view(np.int64), np.arange(len(codes))
+    first[0, a[::-1]], first[1, b[::-1]] = k[::-1], k[::-1]
+    ok = (first[0, a] < first[1, a]) & (first[1, b] < first[0, b]) | (a == b) & (first[0, a] == k) & (first[1, a] == k)
+    first[0, a], first[1, b] = _LATE, _LATE
+    codes = codes[ok]
+    return codes[np.sort(np.unique(_slot(codes), return_index=True)[1])][:room]
+
+
+def _bits(n: int) -> int:
+    """Bits of a symbol when there are n."""
+    return max(1, (n - 1).bit_length())
+
+
 def compress(ids: np.ndarray, base: int, how: Shards = Shards()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rules (n, 2), expansion lengths (n,), symbols): Re-Pair with many pairs a round."""
-    seq = ids.astype(np.uint32)
-    limit = 2**16 - base if base < 2**16 - 4096 else 2**20
-    rules = np.zeros((0, 2), np.uint32)
-    length = np.ones(base, np.int64)
-    ends = np.zeros(base, bool)
+    """(rules (n, 2), expansion lengths (n,), symbols)."""
+    seq = ids.astype(np.int64)
+    ends = np.zeros(base + len(seq), bool)
     ends[END_ID] = True
-    for _ in range(how.rounds):
-        room = min(how.pairs_a_round, limit - len(rules))
-        if room <= 0 or len(seq) < 2:
+    side, n = np.zeros(len(ends), np.uint8), base  # of the chosen pairs: 1 left, 2 right, 3 both
+    first = np.full((2, len(ends)), _LATE)
+    slots = np.zeros(2**_SLOT_BITS, np.int64)  # number of the chosen pair of a slot, to be checked against the pair itself
+    rules: list[np.ndarray] = []
+    twin_bound = len(seq)  # no pair of a symbol with itself is more frequent
+    plain = (seq[:-1] != seq[1:]) & ~ends[seq[:-1]]
+    known, counts = _counted(_codes(seq[:-1], seq[1:])[plain])
+    while len(seq) > 1:
+        # a rule takes two symbols and a length of 32 bits, and saves a symbol in each place
+        least = how.min_count or 2 + 32 // _bits(n + 1) + 1
+        keep = counts >= least
+        known, counts = known[keep], counts[keep]
+        twin, twin_counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        if twin_bound >= least:  # else none would be chosen
+            twin, twin_counts = _twins(seq, ends)
+            twin_bound = int(twin_counts.max(initial=0))
+        codes, many = np.concatenate([known, twin]), np.concatenate([counts, twin_counts])
+        if many.max(initial=0) < least:
             break
-        pairs = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        # places where a pair may stand; ordered counting by a sort
-        free = ~ends[seq[:-1]]
-        ranked = np.sort(pairs[free])
-        if not len(ranked):
-            break
-        edge = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-        count = np.diff(np.r_[edge, len(ranked)])
-        often = np.flatnonzero(count >= how.min_count)
-        often = often[np.lexsort((ranked[edge[often]], -count[often]))][:room]
-        if not len(often):
-            break
-        chosen = ranked[edge[often]]
-        # a table by hash; where two pairs fall on one place the more frequent one stays for this round
-        slot = ((chosen * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(47)).astype(np.int64)
-        _, lead = np.unique(slot, return_index=True)
-        lead.sort()
-        chosen, slot = chosen[lead], slot[lead]
-        held = np.zeros(2**17, np.uint64)
-        rule = np.zeros(2**17, np.uint32)
-        held[slot] = chosen
-        rule[slot] = base + len(rules) + np.arange(len(chosen), dtype=np.uint32)
-        place = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(47)).astype(np.int64)
-        hit = np.flatnonzero((held[place] == pairs) & free & (rule[place] > 0))
-        # pairs that overlap: from the left, every other one of a run
-        fresh = np.r_[True, hit[1:] != hit[:-1] + 1]
-        start = np.maximum.accumulate(np.where(fresh, np.arange(len(hit)), 0))
-        hit = hit[(np.arange(len(hit)) - start) % 2 == 0]
-        symbol = rule[place[hit]]
+        often = np.flatnonzero(many >= least)
+        often = often[np.lexsort((codes[often], -many[often]))][: 4 * how.pairs_a_round]
+        chosen = np.sort(_apart(codes[often], first, how.pairs_a_round))
+        a, b = (chosen >> np.uint64(32)).astype(np.int64), (chosen & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        # places of the chosen pairs
+        side[a] |= 1
+        side[b] |= 2
+        flag = side.take(seq)
+        hit = np.flatnonzero((flag[:-1] & (flag[1:] >> 1)).view(bool))
+        side[a], side[b] = 0, 0
+        found = _codes(seq[hit], seq[hit + 1])
+        slots[at := _slot(chosen)] = np.arange(len(chosen))
+        which = slots.take(_slot(found))
+        slots[at] = 0
+        real = chosen[which] == found
+        hit, which = hit[real], which[real]
+        if (a == b).any():
+            real = _every_other(hit)
+            hit, which = hit[real], which[real]
+        # pairs that go: at the hits and on both sides of them, where two hits meet once
+        apart = np.diff(hit, prepend=0) != 2
+        apart[:1] = hit[:1] > 0
+        gone = np.concatenate([hit, hit[hit < len(seq) - 2] + 1, hit[apart] - 1])
+        lost, by = _counted(_codes(seq[gone], seq[gone + 1]))
+        if len(known):
+            at = np.minimum(np.searchsorted(known, lost), len(known) - 1)
+            real = known[at] == lost
+            counts[at[real]] -= by[real]
+        seq[hit] = n + which
         stay = np.ones(len(seq), bool)
         stay[hit + 1] = False
-        seq[hit] = symbol
         seq = seq[stay]
-        new = np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
-        rules = np.concatenate([rules, new])
-        length = np.r_[length, length[new[:, 0]] + length[new[:, 1]]]
-        ends = np.r_[ends, ends[new[:, 1]]]
-        if len(hit) < 0.01 * len(seq):
-            break
-    return rules, length[base:].astype(np.uint32), seq
+        rules.append(np.stack([a, b], axis=1))
+        ends[n : n + len(a)] = ends[b]
+        # pairs that come: next to a new symbol
+        fresh = hit - np.arange(len(hit))
+        apart = np.diff(fresh, prepend=0) != 1
+        apart[:1] = fresh[:1] > 0
+        came = np.concatenate([fresh[fresh < len(seq) - 1], fresh[apart] - 1])
+        x, y = seq[came], seq[came + 1]
+        twin_bound = max(twin_bound, int((x == y).sum()))
+        real = (x != y) & ~ends[x]
+        more, by = _counted(_codes(x[real], y[real]))
+        keep = by >= (how.min_count or 2)
+        at = np.searchsorted(known, more[keep])
+        known, counts = np.insert(known, at, more[keep]), np.insert(counts, at, by[keep])
+        n += len(a)
+    out = np.concatenate(rules).astype(np.uint32) if rules else np.zeros((0, 2), np.uint32)
+    return out, _lengths(rules, base), seq.astype(np.uint32)
+
+
+def _lengths(rounds: list[np.ndarray], base: int) -> np.ndarray:
+    """How many ids each nonterminal stands for."""
+    length = np.ones(base, np.int64)
+    for r in rounds:
+        length = np.concatenate([length, length[r[:, 0]] + length[r[:, 1]]])
+    return length[base:].astype(np.uint32)
+
+
+def _sizes(symbols: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
+    out = np.ones(len(symbols), np.int64)
+    big = symbols >= base
+    out[big] = lengths[symbols[big] - base]
+    return out
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
-    """All ids of symbols: each round splits the nonterminals left into their two sides."""
-    out = symbols.astype(np.uint32)
-    while len(big := np.flatnonzero(out >= base)):
-        pair = rules[out[big] - base]
-        out[big] = pair[:, 0]
-        out = np.insert(out, big + 1, pair[:, 1])
+    """All ids of symbols: each round splits the nonterminals left, whose places follow from the expansion lengths."""
+    own = symbols.astype(np.uint32)
+    at = np.cumsum(sizes := _sizes(own, lengths, base)) - sizes
+    out = np.empty(int(sizes.sum()), np.uint32)
+    while len(own):
+        plain = own < base
+        out[at[plain]] = own[plain]
+        pair, at = rules[own[~plain] - base], at[~plain]
+        first = pair[:, 0]
+        own, at = np.concatenate([first, pair[:, 1]]), np.concatenate([at, at + _sizes(first, lengths, base)])
     return out
 
 
+def expand_all(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
+    """The same for many symbols: every rule is expanded once, and the symbols take what theirs stand for."""
+    size = np.concatenate([np.ones(base, np.int64), lengths.astype(np.int64)])
+    start = np.cumsum(size) - size
+    flat = np.concatenate([np.arange(base, dtype=np.uint32), expand(np.arange(base, base + len(rules)), rules, lengths, base)])
+    return _gathered(flat, start[symbols], size[symbols])
+
+
 def id_at(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int, n: int) -> int:
     """The n-th id: walks by expansion lengths, then down one branch of the grammar."""
-    width = np.where(symbols >= base, lengths[np.maximum(symbols.astype(np.int64) - base, 0)] if len(lengths) else 1, 1)
-    ends = np.cumsum(width)
+    ends = np.cumsum(sizes := _sizes(symbols, lengths, base))
     k = int(np.searchsorted(ends, n, side="right"))
-    n -= int(ends[k] - width[k])
+    n -= int(ends[k] - sizes[k])
     s = int(symbols[k])
     while s >= base:
-        left, right = (int(x) for x in rules[s - base])
-        size = int(lengths[left - base]) if left >= base else 1
-        s, n = (left, n) if n < size else (right, n - size)
+        first, second = (int(x) for x in rules[s - base])
+        size = int(lengths[first - base]) if first >= base else 1
+        s, n = (first, n) if n < size else (second, n - size)
     return s
 
 
-def pack(doc_ids: list[int], ends: np.ndarray, ids: np.ndarray, base: int, how: Shards = Shards()) -> bytes:
+def _packed(values: np.ndarray, bits: int) -> bytes:
+    """values in so many bits each, lowest first; 8 values begin at a whole byte."""
+    out = []
+    for lo in range(0, len(values), 2**16):
+        raw = np.ascontiguousarray(values[lo : lo + 2**16], "<u4").view(np.uint8).reshape(-1, 4)
+        out.append(np.packbits(np.unpackbits(raw, axis=1, count=bits, bitorder="little"), bitorder="little").tobytes())
+    return b"".join(out)
+
+
+def _unpacked(data: np.ndarray, first: int, n: int, bits: int) -> np.ndarray:
+    """n values from the first-th on."""
+    out = []
+    for lo in range(first, first + n, 2**16):
+        k = min(2**16, first + n - lo)
+        at, skip = divmod(lo * bits, 8)
+        raw = np.unpackbits(data[at : (lo + k) * bits // 8 + 1], bitorder="little")[skip : skip + k * bits].reshape(k, bits)
+        wide = np.zeros((k, 32), np.uint8)
+        wide[:, :bits] = raw
+        out.append(np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel())
+    return np.concatenate(out) if out else np.empty(0, np.uint32)
+
+
+def pack(doc_ids: list[int | None], ends: np.ndarray, ids: np.ndarray, base: int, how: Shards = Shards()) -> bytes:
     rules, lengths, seq = compress(ids, base, how)
-    width = np.where(seq >= base, lengths[np.maximum(seq.astype(np.int64) - base, 0)] if len(lengths) else 1, 1)
-    symbol_ends = np.searchsorted(np.cumsum(width), ends) + 1
-    kind = "<u2" if base + len(rules) <= 2**16 else "<u4"
-    head = MAGIC + struct.pack("<5Q", len(doc_ids), len(rules), len(seq), base, np.dtype(kind).itemsize)
+    symbol_ends = np.searchsorted(np.cumsum(_sizes(seq, lengths, base)), ends) + 1
+    bits = _bits(base + len(rules))
+    head = MAGIC + struct.pack("<5Q", len(doc_ids), len(rules), len(seq), base, bits)
     known = [-(2**63) if i is None else i for i in doc_ids]
-    return b"".join([head, np.array(known, "<i8").tobytes(), symbol_ends.astype("<u8").tobytes(), ends.astype("<u8").tobytes(), rules.astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), seq.astype(kind).tobytes()])
+    return b"".join([head, np.array(known, "<i8").tobytes(), symbol_ends.astype("<u8").tobytes(), ends.astype("<u8").tobytes(), lengths.astype("<u4").tobytes(), _packed(rules.ravel(), bits), _packed(seq, bits)])
 
 
 class Shard:
@@ -238,7 +530,7 @@ class Shard:
     def __init__(self, data: bytes):
         if data[:4] != MAGIC:
             raise ValueError("not a shard")
-        n_docs, n_rules, n_symbols, self.base, width = struct.unpack_from("<5Q", data, 4)
+        n_docs, n_rules, self.n_symbols, self.base, self.bits = struct.unpack_from("<5Q", data, 4)
         at = 44
 
         def take(kind: str, n: int) -> np.ndarray:
@@ -249,20 +541,27 @@ class Shard:
 
         self.doc_ids = take("<i8", n_docs)
         self.symbol_ends, self.ends = take("<u8", n_docs).astype(np.int64), take("<u8", n_docs).astype(np.int64)
-        self.rules, self.lengths = take("<u4", 2 * n_rules).reshape(-1, 2), take("<u4", n_rules)
-        self.symbols = take(f"<u{width}", n_symbols)
+        self.lengths = take("<u4", n_rules)
+        self.rules = _unpacked(take("u1", -(-2 * n_rules * self.bits // 8)), 0, 2 * n_rules, self.bits).reshape(-1, 2)
+        self.data = take("u1", -(-self.n_symbols * self.bits // 8))
+
+    def symbols(self, lo: int, hi: int) -> np.ndarray:
+        return _unpacked(self.data, lo, hi - lo, self.bits)
 
     def documents(self) -> Iterator[np.ndarray]:
-        ids = expand(self.symbols, self.rules, self.lengths, self.base)
+        ids = expand_all(self.symbols(0, self.n_symbols), self.rules, self.lengths, self.base)
         for lo, hi in zip(np.r_[0, self.ends[:-1]].tolist(), self.ends.tolist(), strict=True):
             yield ids[lo:hi]
 
     def document(self, k: int) -> np.ndarray:
         lo = int(self.symbol_ends[k - 1]) if k else 0
-        return expand(self.symbols[lo : int(self.symbol_ends[k])], self.rules, self.lengths, self.base)
+        return expand(self.symbols(lo, int(self.symbol_ends[k])), self.rules, self.lengths, self.base)
 
     def id(self, n: int) -> int:
-        return id_at(self.symbols, self.rules, self.lengths, self.base, n)
+        """The n-th id: finds its document by the ends, then steps by expansion lengths."""
+        k = int(np.searchsorted(self.ends, n, side="right"))
+        lo = int(self.symbol_ends[k - 1]) if k else 0
+        return id_at(self.symbols(lo, int(self.symbol_ends[k])), self.rules, self.lengths, self.base, n - (int(self.ends[k - 1]) if k else 0))
 
 
 # --- tables
@@ -273,26 +572,23 @@ def _write(how: Shards):
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, how.kept_pieces)
-        end = np.array([END_ID], own.dtype).tobytes()
         part, shard = TaskContext.get().partitionId(), 0
-        docs: list[int] = []
-        held: list[bytes] = []
+        docs: list[int | None] = []
+        held: list[np.ndarray] = []
         size = 0
 
         def made() -> pa.RecordBatch:
-            sizes = np.array([len(x) // own.dtype.itemsize for x in held], np.int64)
-            ids = np.frombuffer(b"".join(held), own.dtype)
-            data = pack(docs, np.cumsum(sizes), ids, own.base, how)
+            ids = np.concatenate(held)
+            data = pack(docs, np.cumsum([len(x) for x in held]), ids, own.base, how)
             return pa.record_batch([pa.array([part], pa.int64()), pa.array([shard], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([data], pa.binary())], names=["part", "shard", "n_ids", "data"])
 
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids = batch.column("doc_id").to_pylist()
-            for lo in range(0, len(texts), 500):
-                for doc, raw in zip(ids[lo : lo + 500], own.encode(texts[lo : lo + 500]), strict=True):
+            for lo in range(0, batch.num_rows, 1000):
+                some = batch.slice(lo, 1000)
+                for doc, own_ids in zip(some.column("doc_id").to_pylist(), own.encode(some.column("text")), strict=True):
                     docs.append(doc)
-                    held.append(raw + end)
-                    size += len(held[-1]) // own.dtype.itemsize
+                    held.append(own_ids)
+                    size += len(own_ids)
                     if size >= how.shard_ids:
                         yield made()
                         docs, held, size, shard = [], [], 0, shard + 1
@@ -313,7 +609,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, shard, data in zip(batch.column("part").to_pylist(), batch.column("shard").to_pylist(), batch.column("data").to_pylist(), strict=True):
             got = Shard(data)
-            crc = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in got.documents()]
+            crc = [zlib.crc32(np.ascontiguousarray(ids, "<u4")) for ids in got.documents()]
             sizes = np.diff(np.r_[0, got.ends])
             n = len(crc)
             doc = pa.array(got.doc_ids, mask=got.doc_ids == -(2**63))
