@@ -18,9 +18,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What a null doc_id counts as where documents have an order: the last one.
+NO_ID = 2**63 - 1
+
+
+def doc_key(name: str = "doc_id") -> Column:
+    """doc_id as a long; rows without one are together the last document."""
+    return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once, however often body uses it."""
-    return F.transform(F.array(value), body)[0]
+    return F.transform(F.array(value), lambda x: body(x))[0]
+
+
+#: Lists that grow by one element at a time are kept in pieces of this size, so that a long one is not copied again and again.
+CHUNK = 256
+
+
+def running(values: Column, op: Callable[[Column, Column], Column], kind: str = "int") -> Column:
+    """Running values of an array of `kind`: op over each element and all before it."""
+
+    def step(state: Column, value: Column) -> Column:
+        total = F.when(state.total.isNull(), value).otherwise(op(state.total, value))
+        full = F.size(state.part) == CHUNK
+        done = F.when(full, F.array_append(state.done, state.part)).otherwise(state.done)
+        part = F.array_append(F.when(full, F.slice(state.part, 1, 0)).otherwise(state.part), total)
+        return F.struct(total.alias("total"), done.alias("done"), part.alias("part"))
+
+    zero = F.struct(F.lit(None).cast(kind).alias("total"), F.array().cast(f"array<array<{kind}>>").alias("done"), F.array().cast(f"array<{kind}>").alias("part"))
+    return F.aggregate(values, zero, step, lambda s: F.concat(F.flatten(s.done), s.part))
 
 
 def word_array(text: Column) -> Column:

@@ -50,22 +50,56 @@ def test_round_trip(spark, rows):
         assert told(read_back(format_windows(df, how))) == want(rows)
 
 
-def test_windows(spark):
-    rows = [(1, 0, "system", "be kind")] + [(1, k, "assistant" if k % 2 == 0 else "user", "w " * (5 + k % 3)) for k in range(1, 40)]
-    rows += [(1, 40, "user", "long " * 30_000), (2, 0, "system", "alone"), (None, 0, "assistant", "x")]
-    df = spark.createDataFrame([(*r, "c") for r in rows], SCHEMA + ", window string")
-    how = Windows(budget=60, history=2, history_budget=40)
-    got = format_windows(df, how).withColumn("turns", read_turns(F.col("formatted"))).where("conv_id = 1").orderBy("window").collect()
-    assert len(got) > 3
-    for r in got:
-        own = r.turns[r.repeated :]
-        assert r.turns[0].role == "system"
-        assert r.repeated <= 3
-        tokens = sum(len(t.text.split()) + 4 for t in own)
-        assert tokens <= how.budget + 6 or len(own) == 1
-        assert len(r.loss) == sum(t.role == "assistant" for t in own)
-    assert any(r.repeated == 3 for r in got)
-    assert told(read_back(format_windows(df, how))) == want(rows)
+def plain_windows(tokens, has_system, how):
+    """(first, after, repeated) of each window, a turn at a time."""
+    own = int(has_system and tokens[0] < how.budget)
+    system = tokens[0] if own else 0
+    out, first = [], own
+    while first < len(tokens) or not out:
+        back = 0
+        while first < len(tokens) and out and back < how.history and first - back - 1 >= own and sum(tokens[first - back - 1 : first]) <= min(how.history_budget, how.budget - system - tokens[first]):
+            back += 1
+        after = min(first + 1, len(tokens))
+        while after < len(tokens) and system + sum(tokens[first - back : after + 1]) <= how.budget:
+            after += 1
+        out.append((first, after, own + back if out else 0))
+        first = after
+    return out
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.booleans(), st.lists(st.integers(0, 30), min_size=1, max_size=30)), min_size=1, max_size=12))
+def test_windows(spark, convs):
+    how = Windows(budget=60, history=2, history_budget=30)
+    rows = [(c, k, "system" if k == 0 and has else "assistant" if k % 2 else "user", "w " * n, "x") for c, (has, sizes) in enumerate(convs) for k, n in enumerate(sizes)]
+    got = format_windows(spark.createDataFrame(rows, SCHEMA + ", window string"), how).withColumn("turns", read_turns(F.col("formatted"))).orderBy("conv_id", "window").collect()
+    for c, (has, sizes) in enumerate(convs):
+        tokens = [n + how.control_tokens for n in sizes]
+        want = plain_windows(tokens, has, how)
+        mine = [r for r in got if r.conv_id == c]
+        assert [(len(r.turns), r.repeated) for r in mine] == [(after - first + (rep if k else int(has and tokens[0] < how.budget)), rep) for k, (first, after, rep) in enumerate(want)]
+        for r in mine:
+            used = sum(len(t.text.split()) + how.control_tokens for t in r.turns)
+            assert used <= how.budget or len(r.turns) - r.repeated - int(r.window == 0 and has) <= 1
+            assert len(r.loss) == sum(t.role == "assistant" for t in r.turns[r.repeated :])
+
+
+def test_budget_holds_the_system_turn(spark):
+    how = Windows(budget=60, history=2, history_budget=30)
+    rows = [(1, 0, "system", "s " * 40)] + [(1, k, "user", "w " * 4) for k in range(1, 9)]
+    rows += [(2, 0, "system", "s " * 2_000)] + [(2, k, "assistant", "w " * 4) for k in range(1, 9)]
+    rows += [(3, 0, "system", "alone")]
+    got = format_windows(spark.createDataFrame(rows, SCHEMA), how).withColumn("turns", read_turns(F.col("formatted"))).orderBy("conv_id", "window").collect()
+    used = lambda r: sum(len(t.text.split()) + how.control_tokens for t in r.turns)
+    assert all(used(r) <= how.budget and r.turns[0].role == "system" for r in got if r.conv_id == 1)
+    two = [r for r in got if r.conv_id == 2]
+    assert len(two[0].turns) == 1 and all(used(r) <= how.budget and r.turns[0].role == "assistant" for r in two[1:])
+    assert [len(r.turns) for r in got if r.conv_id == 3] == [1]
+
+
+def test_long_roles_and_conversations(spark):
+    rows = [(1, 0, "r:\\" * 35_000, "x:" * 1_000_000), (1, 1, "assistant", "\\" * 300_000)] + [(2, k, "assistant" if k % 2 else "user", f"turn {k}") for k in range(50_000)]
+    assert told(read_back(format_windows(spark.createDataFrame(rows, SCHEMA)))) == want(rows)
 
 
 def test_empty(spark):

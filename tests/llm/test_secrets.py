@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
@@ -88,3 +89,35 @@ def test_repeats_examples_and_words_hide_no_key(make):
     places = lambda i: [tuple(map(int, s.split(":")[1:])) for s in got[i].split(",")]
     assert [(a - 8, b - 8) for a, b in places(1)] == places(4)
     assert all("entropy" not in got[len(loud) + i] for i in range(len(quiet))), [got[len(loud) + i] for i in range(len(quiet))]
+
+
+def test_long_structured_texts(make):
+    """Long candidates neither recurse nor take more than linear time; long lists of matches are placed."""
+    rng = random.Random(9)
+    blob = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(1_000_000))
+    texts = ["ab-" * 3000 + "9zz9zz", "ab-" * 333_000 + "9zz9zz", "1-" * 50_000 + "1a", "A_" * 50_000 + "=" * 9 + "7", blob, "token: abcdef, " * 20_000, ("token: abcdef " + blob[:40] + " ") * 2_000]
+    begun = time.time()
+    got = {r.doc_id: r for r in digest(scan(make(texts))).collect()}
+    assert time.time() - begun < 120
+    for i, t in enumerate(texts):
+        assert (got[i].n_assign, got[i].n_access, got[i].n_hex, got[i].base_sha256) == told(t)
+    assert any(s.startswith("entropy") and int(s.split(":")[2]) - int(s.split(":")[1]) > 999_000 for s in got[4].spans.split(","))
+    assert got[6].spans.count("entropy:14:") >= 1 and got[6].spans.count("entropy") >= 2_000
+
+
+def test_windows_against_direct_counts(make):
+    """First and last hot window of runs of each class, counted anew for every window."""
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(a) for _ in range(rng.randrange(20, 70))) + "a1" for a in ["abcde0123", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz0123456789", "aB3+/-_=xYz7890qrst"] for _ in range(12)]
+    got = {r.doc_id: r.spans for r in scan(make(texts)).collect()}
+    for i, t in enumerate(texts):
+        if re.search(r"(.)\1{7}", t) or any(k != "entropy" for k in [s.kind for s in got[i]]):
+            continue
+        want = set()
+        for chars, least in (("0-9A-Fa-f", 3.0), ("0-9A-Za-z", 3.7), ("0-9A-Za-z+/_=-", 3.9)):
+            for m in re.finditer(f"[{chars}]{{20,}}", t):
+                hot = [j for j in range(len(m[0]) - 19) if entropy(m[0][j : j + 20]) >= least - 1e-9]
+                if hot:
+                    want.add((m.start() + hot[0], m.start() + hot[-1] + 20))
+        assert {(s.start, s.end) for s in got[i]} in (want, set()), t
+    assert sum(bool(x) for x in got.values()) > 20
