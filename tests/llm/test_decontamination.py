@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from casita.llm.decontamination import Bm25, Index, decontaminate, find_leaks, leaks, passages, question_length, shingles, wand, words_of
+from casita.llm.decontamination import Bm25, Index, _may_find, decontaminate, find_leaks, leaks, passages, question_length, shingles, slices, wand, words_of
 from casita.llm.queries import op7_decontamination
 
 SCHEMA = "item_id long, text string"
@@ -105,8 +105,40 @@ def test_near_leaks_and_slices(spark, make):
     want = {(k, k) for k in range(40) if k % 4 < 2} | {(40, 40)}
     for how in (Bm25(), Bm25(slice_parts=9, block=2)):
         assert {(r.doc_id, r.item_id) for r in find_leaks(make(texts, ("item_id", "start")), bench, how).collect()} == want
-    kept = decontaminate(make(texts, ("item_id",)), bench)
-    assert {r.doc_id for r in kept.collect()} == set(range(41)) - {d for d, _ in want}
+        kept = decontaminate(make(texts, ("item_id", "digest", "key", "bad")), bench, how)
+        assert {r.doc_id for r in kept.collect()} == set(range(41)) - {d for d, _ in want}
+        assert kept.columns[-1] == "bad"
+
+
+def test_many_slices_find_the_same(spark, make):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 6)))
+    items = [(i, " ".join(word() for _ in range(rng.randrange(20, 60))) + ".") for i in range(400)]
+    texts = [" ".join([word() for _ in range(60)] + (items[k * 7][1].split() if k % 2 else []) + [word() for _ in range(40)]) for k in range(50)]
+    bench = spark.createDataFrame(items, SCHEMA)
+    one = {tuple(r)[:3] for r in find_leaks(make(texts), bench).collect()}
+    index, many = slices(bench, how := Bm25(slice_parts=8))
+    assert many == 50 and len(one) == 25
+    assert {tuple(r)[:3] for r in find_leaks(make(texts), bench, how).collect()} == one
+    # what the heavy terms let through is far less than every text for every slice
+    assert _may_find(make(texts).select("doc_id", "text").withColumnRenamed("doc_id", "key"), index, many).count() < len(texts) * many
+
+
+def test_short_items_and_items_without_an_id(spark, make):
+    item = "the quick brown fox jumps over the lazy dog near the river bank today"
+    bench = spark.createDataFrame([(1, "Lisbon, 1755"), (None, item), (None, "other words of an item that has no number at all"), (2, " ")], SCHEMA)
+    texts = ["it was\nlisbon 1755.\nyes", "lisbon 1755 was a bad year", "1755 lisbon", f"so {item} and", "clean"]
+    assert sorted((r.doc_id, r.item_id) for r in find_leaks(make(texts), bench).collect()) == [(0, 1), (3, None)]
+    assert [r.doc_id for r in decontaminate(make(texts), bench).orderBy("doc_id").collect()] == [1, 2, 4]
+
+
+def test_one_edit_fails_no_item(spark, make):
+    """Wherever one word changes, an item of 40 words keeps 0.8 of its shingles, and is found."""
+    words = [f"w{i}" for i in range(40)]
+    item = " ".join(words[:39]) + ". " + words[39]
+    bench = spark.createDataFrame([(1, item)], SCHEMA)
+    texts = [item.replace(f"w{k} ", "changed ") if k < 38 else item.replace("w38.", "changed.") if k == 38 else item.replace("w39", "changed") for k in range(40)]
+    assert find_leaks(make(texts), bench).count() == 40
 
 
 def test_odd_inputs(spark, make):
