@@ -10,8 +10,9 @@ The weights are trained here, by gradient ascent on the conditional likelihood (
 `n_train` = 250 generated stretches from a fixed seed: a bounded, documented sample that does not depend on the corpus.
 
 Scale: a narrow map over the texts, no shuffle; the weights are a broadcast of fixed size. Every pattern is searched from
-places that can start a match, so long runs cost linear time. Stretches are cut at `max_stretch` tokens with an overlap of
-`max_tokens`, so memory stays bounded and no span is lost.
+places that can start a match, so long runs cost linear time. A stretch is labelled as a whole, whatever its length; every
+`settle` tokens the paths that are still open are followed back to the place where they meet, and what lies before it is
+settled. A worker holds the tokens of one stretch at a time.
 
 Defined results: a null text is empty; base_sha256 is then the digest of the empty string; repeated rows are each
 searched; an empty table gives an empty table. Only doc_id and text are read, so extra columns may have any name. Offsets
@@ -20,7 +21,9 @@ are code points, end exclusive.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -122,7 +125,7 @@ _ALL = ("O", *KINDS)
 class Crf:
     #: A name of three parts, marked at, a host of four parts with marked dots and some hyphens take 26.
     max_tokens: int = 28
-    max_stretch: int = 160
+    settle: int = 256
     n_train: int = 250
     epochs: int = 30
     rate: float = 0.5
@@ -228,25 +231,48 @@ def _outside(seq: list[Token], k: int) -> list[str]:
 def decode(seq: list[Token], text: str, model: Model, how: Crf) -> list[tuple[str, int, int]]:
     """The best segmentation: (kind, first token, end token) of its entities. An entity may not follow another directly."""
     n = len(seq)
-    found = segments(seq, text, how)
-    best = [[0.0, -math.inf]] + [[-math.inf, -math.inf] for _ in range(n)]  # state 0: after an outside token, 1: after an entity
-    back: list[list] = [[None, None] for _ in range(n + 1)]
+    best = [[0.0, -math.inf]]  # state 0: after an outside token, 1: after an entity
+    back: dict[tuple[int, int], tuple[int, int, str]] = {}
+    out: list[tuple[str, int, int]] = []
+    settled = (0, 0)
+
+    def settle(at: tuple[int, int]) -> None:
+        """What leads to a state that every open path passes is decided."""
+        nonlocal settled
+        path, end = [], at
+        while at != settled:
+            i, s, label = back[at]
+            if label != _OUTSIDE:
+                path.append((label, i, at[0]))
+            at = (i, s)
+        settled = end
+        out.extend(reversed(path))
+        for key in [k for k in back if k[0] <= end[0]]:
+            del back[key]
+
     for j in range(1, n + 1):
         s = 0 if best[j - 1][0] >= best[j - 1][1] else 1
-        best[j][0] = best[j - 1][s] + model.score(_OUTSIDE, _outside(seq, j - 1))
-        back[j][0] = (j - 1, s, _OUTSIDE)
-        for i, names in found[j]:
-            for label in KINDS:
-                x = best[i][0] + model.score(label, names)
-                if x > best[j][1]:
-                    best[j][1], back[j][1] = x, (i, 0, label)
-    out, j, s = [], n, 0 if best[n][0] >= best[n][1] else 1
-    while j:
-        i, before, label = back[j][s]
-        if label != _OUTSIDE:
-            out.append((label, i, j))
-        j, s = i, before
-    return out[::-1]
+        back[j, 0] = (j - 1, s, _OUTSIDE)
+        state = [best[j - 1][s] + model.score(_OUTSIDE, _outside(seq, j - 1)), -math.inf]
+        for i in range(max(0, j - how.max_tokens), j):
+            if can_be(seq, i, j):
+                names = features(seq, i, j, text)
+                for label in KINDS:
+                    x = best[i][0] + model.score(label, names)
+                    if x > state[1]:
+                        state[1], back[j, 1] = x, (i, 0, label)
+        best.append(state)
+        if j % how.settle == 0:
+            # later segments start at one of the last max_tokens places, all others follow (j, 0) or (j, 1)
+            paths = {(i, 0) for i in range(max(settled[0], j - how.max_tokens), j + 1) if (i, 0) in back or (i, 0) == settled} | ({(j, 1)} & back.keys())
+            while len(paths) > 1 and settled not in paths:
+                late = max(paths)
+                paths.remove(late)
+                paths.add(back[late][:2])
+            if len(paths) == 1:
+                settle(paths.pop())
+    settle((n, 0 if best[n][0] >= best[n][1] else 1))
+    return out
 
 
 # --- training
@@ -392,17 +418,17 @@ def spans(text: str, model: Model, how: Crf = Crf()) -> tuple[list[tuple[int, in
     """(base spans, all spans), each (kind, start, end) by kind, then start."""
     base = base_spans(text)
     taken = sorted((a, b) for _, a, b in base)
+    starts, ends = [a for a, _ in taken], list(itertools.accumulate((b for _, b in taken), max))
     more = set()
     for lo, hi in stretches(text):
         seq = tokens(text, lo, hi)
         if sum(len(t[0]) for t in seq if t[0].isdigit()) < 4 and not any(t[0] in _AT for t in seq):
             continue  # too few digits for any type, and no address
-        for at in range(0, max(1, len(seq) - how.max_tokens), how.max_stretch - how.max_tokens):
-            own = seq[at : at + how.max_stretch]
-            for kind, i, j in decode(own, text, model, how):
-                a, b = own[i][1], own[j - 1][2]
-                if not any(x < b and a < y for x, y in taken):
-                    more.add((KINDS.index(kind), a, b))
+        for kind, i, j in decode(seq, text, model, how):
+            a, b = seq[i][1], seq[j - 1][2]
+            k = bisect.bisect_left(starts, b)  # base spans of different kinds may overlap; ends[k] is the last end of the first k
+            if not k or ends[k - 1] <= a:
+                more.add((KINDS.index(kind), a, b))
     return base, sorted({*base, *more})
 
 

@@ -1,13 +1,16 @@
 """op3: base spans against re; the field finds what the patterns miss in held-out forms."""
 
 import hashlib
+import math
+import random
 import re
 import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from casita.llm.pii import KINDS, base_spans, find_pii, luhn, mask, spans, train
+from casita.llm.pii import KINDS, Crf, _expected, _shape, base_spans, decode, find_pii, luhn, mask, segments, spans, tokens, train
 from casita.llm.queries import op3_pii
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
@@ -72,6 +75,92 @@ def test_long_addresses_are_found_whole():
         assert (KINDS.index("email"), 16, 16 + len(what)) in spans(text, model)[1], (text, spans(text, model))
 
 
+def every_segmentation(n, found):
+    """All labellings of n tokens: lists of (label, i, j), single outside tokens and entities that do not touch."""
+
+    def go(i, after):
+        if i == n:
+            yield []
+            return
+        for rest in go(i + 1, False):
+            yield [("O", i, i + 1), *rest]
+        if not after:
+            for j in range(i + 1, n + 1):
+                if any(a == i for a, _ in found[j]):
+                    for rest in go(j, True):
+                        for kind in KINDS:
+                            yield [(kind, i, j), *rest]
+
+    return go(0, False)
+
+
+def test_decoding_and_sums_against_every_segmentation():
+    rng = random.Random(3)
+    model, how = train(), Crf(settle=3)
+    pool = ["call", "(415)", "555-0199", "ana", "(at)", "hill", "dot", "net", "4539", "1.2", "12,", "@"]
+    for _ in range(40):
+        text = " ".join(rng.choice(pool) for _ in range(rng.randrange(2, 4)))
+        seq = tokens(text, 0, len(text))[:7]
+        found = segments(seq, text, how)
+        names = {(i, j): fs for j in found for i, fs in found[j]}
+        worth = lambda x: sum(model.score(k, [f"tok:{_shape(seq[i][0])}"] if k == "O" else names[i, j]) for k, i, j in x)  # noqa: B023, E731
+        every = list(every_segmentation(len(seq), found))
+        top = max(map(worth, every))
+        got = decode(seq, text, model, how)
+        inside = {k for _, i, j in got for k in range(i, j)}
+        assert worth([*got, *[("O", k, k + 1) for k in range(len(seq)) if k not in inside]]) == pytest.approx(top)
+        # probabilities of all segments by summing over all labellings
+        ents = [(i, j, kind) for j in range(1, len(seq) + 1) for i, _ in found[j] for kind in KINDS]
+        weight = [math.exp(worth(x)) for x in every]
+        want = [sum(w for w, x in zip(weight, every) if ("O", k, k + 1) in x) / sum(weight) for k in range(len(seq))]
+        want += [sum(w for w, x in zip(weight, every) if (kind, i, j) in x) / sum(weight) for i, j, kind in ents]
+        score = [worth([("O", k, k + 1)]) for k in range(len(seq))] + [worth([(kind, i, j)]) for i, j, kind in ents]
+        assert _expected(score, len(seq), [(i, j) for i, j, _ in ents]) == pytest.approx(want, abs=1e-9)
+
+
+def test_settling_changes_nothing_and_spans_never_overlap():
+    rng = random.Random(4)
+    model = train()
+    form = lambda: rng.choice(["(415) 555-0{}", "page {} of", "ana{} (at) hill (dot) net", "{} 10.0.0.{}", "v{}.2", "total {},500"]).replace("{}", str(rng.randrange(100, 999)))
+    for _ in range(6):
+        text = " ".join(form() for _ in range(60))
+        seq = tokens(text, 0, len(text))
+        assert len(seq) > 200
+        assert decode(seq, text, model, Crf(settle=16)) == decode(seq, text, model, Crf(settle=10**9))
+        found = sorted((a, b) for _, a, b in set(spans(text, model)[1]) - set(base_spans(text)))
+        assert all(x[1] <= y[0] for x, y in zip(found, found[1:])) and len(found) > 10
+
+
+def test_recall_and_precision_on_planted_entities():
+    """Names, hosts, numbers and sentences that the training sample does not have."""
+    rng = random.Random(77)
+    model = train()
+    num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    word = lambda: "".join(rng.choice("abcdefghiklmnoprstuvw") for _ in range(rng.randrange(3, 9)))
+
+    def card():
+        body = rng.choice("45") + num(14)
+        digits = next(body + str(c) for c in range(10) if luhn(body + str(c)))
+        return rng.choice([".", " - "]).join(digits[k : k + 4] for k in range(0, 16, 4))
+
+    made = {
+        "email": lambda: rng.choice(["{}.{} [at] {} [dot] com", "{}{}(at){}(dot)org", "{}_{} at {} dot net"]).format(word(), word(), word()),
+        "ip": lambda: rng.choice(["[.]", "(.)"]).join(str(rng.randrange(1, 256)) for _ in range(4)),
+        "card": card,
+        "phone": lambda: rng.choice(["({}) {}-{}", "{}-{}-{}", "1-{}-{}-{}"]).format(num(3), num(3), num(4)),
+    }
+    hit = said = total = 0
+    for k in range(400):
+        kind = KINDS[k % 4]
+        what, before = made[kind](), " ".join(word() for _ in range(6))
+        text = f"{before} {what} {' '.join(word() for _ in range(6))}."
+        found = spans(text, model)[1]
+        said += len(found)
+        hit += (k % 4, len(before) + 1, len(before) + 1 + len(what)) in found
+        total += 1
+    assert hit / total >= 0.9 and hit / said >= 0.9, (hit, said, total)
+
+
 def test_odd_inputs(make):
     texts = [None, "", "1" * 30_000, "a" * 30_000 + "@", "1 " * 20_000, "+1" + " " * 20_000, "a@b.co " * 2_000, "1.1.1." * 5_000, None]
     start = time.time()
