@@ -2,23 +2,31 @@
 
 Every text gets plain counts and a vector of four transformed statistics. Per language and source, the minimum
 covariance determinant is estimated by concentration steps over all documents: in each step the 75 % of a group's
-documents that lie nearest to the current centre give the next centre and covariance. Two starts run side by side (median
-with scaled deviations, and mean with full covariance) and a group keeps the one with the smaller determinant. A document
-is rejected when its Mahalanobis distance from its group's estimate is above `max_distance`.
-
-Scale: the texts are read once and their vectors written to a scratch table; a step is one aggregate over (group, start,
-distance bin) with map-side combine, so a source that holds a third of all rows still sends only its bins. Sums are
-fixed-point integers, so reruns agree whatever the order of addition. Group estimates meet the documents in
-an equi-join on group and salt, so a hot source spreads over 32 tasks there as well.
-
-Defined results: a null text has no words (base_failed). Null lang or source is a group of its own. A group below
-`min_docs` is pooled with the small groups of its language; a pool still below it judges nobody. Repeated rows are each
-judged and returned. An empty table gives an empty table. Columns of the input are kept apart in a struct, so extra
-columns may have any name.
+documents that lie nearest to the current centre give the next centre and covariance. Four starts run side by side (around
+the coordinatewise median: scaled deviations, spatial signs, squashed deviations; and the classical estimate) for two
+steps; the one with the smallest determinant goes on until its determinant settles. A document is rejected when its
+squared Mahalanobis distance from its group's estimate is above the chi-square quantile of `tail`.
+
+The estimate is a regularized one: `floors` are added to the variances, as without them a statistic that is 0 for most
+texts has no variance and rejects all the others. The nearest documents are found by counts of binned distances: a bin is
+1/1024 of a factor of e wide, and documents of the last bin, which agree to 0.1 % in squared distance, count as ties and
+go together.
+
+Scale: the texts are read once and their vectors written to a scratch table; a step is two aggregates over it, counts by
+(group, start, bin) and sums by (group, start), with map-side combine, so a source that holds a third of all rows still
+sends only its bins. Sums are fixed-point integers, so reruns agree whatever the order of addition. Group estimates meet
+the documents in an equi-join on group and salt, so a hot source spreads over 32 tasks there as well. The driver sees how
+many groups have not settled, nothing else.
+
+Defined results: a null text has no words (base_failed). Very long texts are counted whole. Null lang or source is a group
+of its own. A group below `min_docs` is pooled with the small groups of its language, a pool still below it with those of
+all languages; a last pool still below it judges nobody. Repeated rows are each judged and returned. An empty table gives
+an empty table. Columns of the input are kept apart in a struct, so extra columns may have any name.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -31,8 +39,23 @@ from .common import let, packed, scratch, word_array
 SYMBOLS = "#*$%&|<>"
 FEATURES = ("x1", "x2", "x3", "x4")
 FIXED_POINT = 1_000_000
-#: Bins of a squared distance: 48 to a factor of e.
-BINS_PER_E = 48
+#: Bins of a squared distance to a factor of e.
+BINS_PER_E = 1024
+DIMENSIONS = len(FEATURES)
+
+
+def chi_square_tail(x: float, df: int) -> float:
+    """P(X > x) for an even number of degrees of freedom."""
+    return math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(df // 2))
+
+
+def chi_square_above(tail: float, df: int = DIMENSIONS) -> float:
+    """x with P(X > x) = tail, by bisection."""
+    lo, hi = 0.0, 1000.0
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if chi_square_tail(mid, df) > tail else (lo, mid)
+    return lo
 
 
 @dataclass(frozen=True)
@@ -41,13 +64,25 @@ class QualityRules:
     max_repeat_percent: int = 20
     min_docs: int = 50
     h: float = 0.75
-    steps: int = 3
-    #: 1.486 makes the covariance of the nearest 75 % consistent at the normal distribution in four dimensions.
-    consistency: float = 1.486
-    max_distance: float = 6.0
+    #: Steps of all starts before the best one goes on by itself, and most steps in all (documents that tie could swap for ever).
+    first_steps: int = 2
+    max_steps: int = 100
+    #: A group has settled when the log of its determinant falls by less.
+    settled: float = 1e-4
+    #: Share of a normal sample that would be rejected.
+    tail: float = 1e-6
     #: Least standard deviation of each statistic: without it a statistic that is 0 for most texts rejects all the others.
     floors: tuple[float, ...] = (0.05, 0.05, 0.12, 0.1)
 
+    @property
+    def consistency(self) -> float:
+        """Makes the covariance of the nearest share h consistent at the normal distribution."""
+        return self.h / (1 - chi_square_tail(chi_square_above(1 - self.h), DIMENSIONS + 2))
+
+    @property
+    def max_distance(self) -> float:
+        return math.sqrt(chi_square_above(self.tail))
+
 
 def _repeat_words(words: Column) -> Column:
     """Words that lie in a 5-word window found twice or more in the text, the first one included."""
@@ -113,10 +148,14 @@ def _meet(rows: DataFrame, small: DataFrame, on: Column, how: str = "inner") ->
 def _grouped(vectors: DataFrame, rules: QualityRules) -> DataFrame:
     """vectors with g, the group that judges a document, and its size."""
     count = vectors.groupBy("g_lang", "g_source").agg(F.count("*").alias("n"))
-    own = F.when(F.col("n") >= rules.min_docs, F.col("g_source"))
-    pool = count.groupBy("g_lang", own.alias("g_own")).agg(F.sum("n").alias("g_n"))
-    group = count.select("g_lang", "g_source", own.alias("g_own")).join(pool.withColumnRenamed("g_lang", "p_lang").withColumnRenamed("g_own", "p_own"), (F.col("g_lang") == F.col("p_lang")) & F.col("g_own").eqNullSafe(F.col("p_own")))
-    group = group.select(F.col("g_lang").alias("j_lang"), F.col("g_source").alias("j_source"), F.struct("g_lang", "g_own").alias("g"), (F.col("g_n") >= rules.min_docs).alias("judged"))
+    enough = F.col("n") >= rules.min_docs
+    # a group is (language, source), (language, null) or (null, null)
+    small = count.where(~enough).groupBy(F.col("g_lang").alias("s_lang")).agg((F.sum("n") >= rules.min_docs).alias("s_enough"))
+    group = count.join(small, F.col("g_lang") == F.col("s_lang"), "left")
+    group = group.select(F.col("g_lang").alias("j_lang"), F.col("g_source").alias("j_source"), "n", F.struct(F.when(enough | F.col("s_enough"), F.col("g_lang")).alias("g_lang"), F.when(enough, F.col("g_source")).alias("g_own")).alias("g"))
+    total = group.groupBy("g").agg(F.sum("n").alias("g_n")).select(F.col("g.g_lang").alias("t_lang"), F.col("g.g_own").alias("t_own"), "g_n")
+    group = group.join(total, F.col("g.g_lang").eqNullSafe(F.col("t_lang")) & F.col("g.g_own").eqNullSafe(F.col("t_own")))
+    group = group.select("j_lang", "j_source", "g", (F.col("g_n") >= rules.min_docs).alias("judged"))
     return _meet(vectors, group, (F.col("g_lang") == F.col("j_lang")) & (F.col("g_source") == F.col("j_source")), "left")
 
 
@@ -156,8 +195,12 @@ def _distance(df: DataFrame) -> DataFrame:
     return df.withColumn("d2", reduce(lambda s, i: s + F.col(f"z_{i}") * F.col(f"z_{i}"), range(1, len(FEATURES)), F.col("z_0") * F.col("z_0")))
 
 
-def _median_start(judged: DataFrame, rules: QualityRules) -> DataFrame:
-    """Coordinatewise median with a diagonal of squared deviations: exact quantiles of values binned to 1/1000."""
+def _starts(judged: DataFrame, rules: QualityRules) -> DataFrame:
+    """Estimates (g, start) around the coordinatewise median, and the classical one.
+
+    Medians and quartiles are exact for values rounded to 1/1000. With z, a document's deviations over those of its group:
+    0 is a diagonal of squared deviations, 1 the covariance of z over its length, 2 that of tanh(z), both scaled back.
+    """
     value = F.explode(F.array(*[F.struct(F.lit(a).alias("x"), F.round(F.col(a) * 1000).cast("long").alias("v")) for a in FEATURES]))
     counts = judged.select("g", value.alias("o")).groupBy("g", "o.x", "o.v").agg(F.count("*").alias("n"))
     w = Window.partitionBy("g", "x")
@@ -165,23 +208,51 @@ def _median_start(judged: DataFrame, rules: QualityRules) -> DataFrame:
     at = lambda q: F.min(F.when(F.col("upto") >= F.col("all") * q, F.col("v"))) / 1000.0
     stat = run.groupBy("g", "x").agg(at(0.5).alias("m"), ((at(0.75) - at(0.25)) / 1.349).alias("s"))
     pick = lambda a, c: F.max(F.when(F.col("x") == a, F.col(c)))
-    df = stat.groupBy("g").agg(*[pick(a, "m").alias(f"m_{a}") for a in FEATURES], *[(pick(a, "s") * pick(a, "s") + rules.floors[i] ** 2).alias(f"c_{a}{a}") for i, a in enumerate(FEATURES)])
-    df = df.withColumns({f"c_{a}{b}": F.lit(0.0) for a, b in _pairs() if a != b} | {"start": F.lit(0)})
-    return _factor(df, ["g", "start"])
+    spread = lambda i, a: F.sqrt(pick(a, "s") * pick(a, "s") + rules.floors[i] ** 2)
+    centre = scratch(stat.groupBy("g").agg(*[pick(a, "m").alias(f"m_{a}") for a in FEATURES], *[spread(i, a).alias(f"d_{a}") for i, a in enumerate(FEATURES)]), "centre")
+    plain = centre.withColumns({f"c_{a}{b}": F.col(f"d_{a}") * F.col(f"d_{a}") if a == b else F.lit(0.0) for a, b in _pairs()})
+
+    z = _meet(judged, centre.withColumnRenamed("g", "c_g"), F.col("g") == F.col("c_g"))
+    z = z.select("g", *[((F.col(a) - F.col(f"m_{a}")) / F.col(f"d_{a}")).alias(a) for a in FEATURES])
+    size = F.sqrt(reduce(lambda s, a: s + F.col(a) * F.col(a), FEATURES, F.lit(0.0)))
+    kinds = [(1, lambda a: F.when(size > 0, F.col(a) / size).otherwise(0.0)), (2, lambda a: F.tanh(a))]
+    each = z.select("g", F.explode(F.array(*[F.struct(F.lit(k).alias("start"), *[f(a).alias(a) for a in FEATURES]) for k, f in kinds])).alias("o")).select("g", "o.*")
+    sums = each.groupBy("g", "start").agg(*_moments()).withColumnRenamed("g", "c_g")
+    n = F.col("n") * float(FIXED_POINT)
+    shaped = centre.join(sums, F.col("g") == F.col("c_g"))
+    scaled = lambda a, b: F.col(f"s_{a}{b}") / n * F.col(f"d_{a}") * F.col(f"d_{b}") + (F.pow(F.col(f"d_{a}"), 2) * 0.01 if a == b else F.lit(0.0))
+    shaped = shaped.withColumns({f"c_{a}{b}": scaled(a, b) for a, b in _pairs()})
+    classical = _estimate(judged.groupBy("g").agg(*_moments()).withColumn("start", F.lit(3)), rules, ["g", "start"])
+    return _factor(plain.withColumn("start", F.lit(0)), ["g", "start"]).unionByName(_factor(shaped, ["g", "start"])).unionByName(classical)
 
 
-def mcd(judged: DataFrame, rules: QualityRules) -> DataFrame:
-    """The minimum-covariance-determinant estimate of each group g of judged (g, salt, x1 to x4)."""
-    classical = _estimate(judged.groupBy("g").agg(*_moments()).withColumn("start", F.lit(1)), rules, ["g", "start"])
-    now = _median_start(judged, rules).unionByName(classical)
+def _step(judged: DataFrame, now: DataFrame, rules: QualityRules) -> DataFrame:
+    """One concentration step: (g, start) estimates from the nearest share h of each group, with `fall`, what the log determinant lost."""
+    est = now.withColumnRenamed("g", "now_g").drop("fall")
+    binned = _distance(_meet(judged, est, F.col("g") == F.col("now_g"))).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-6) * BINS_PER_E))
     w = Window.partitionBy("g", "start")
-    for _ in range(rules.steps):
-        bins = _distance(_meet(judged, now.withColumnRenamed("g", "now_g"), F.col("g") == F.col("now_g"))).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-6) * BINS_PER_E)).groupBy("g", "start", "bin").agg(*_moments())
-        near = bins.withColumn("before", F.sum("n").over(w.orderBy("bin")) - F.col("n")).withColumn("all", F.sum("n").over(w)).where(F.col("before") < F.col("all") * rules.h)
-        sums = near.groupBy("g", "start").agg(*[F.sum(c).alias(c) for c in ("n", *[f"s_{a}" for a in FEATURES], *[f"s_{a}{b}" for a, b in _pairs()])])
-        now = _estimate(sums, rules, ["g", "start"])
+    counts = binned.groupBy("g", "start", "bin").agg(F.count("*").alias("n"))
+    near = counts.withColumn("before", F.sum("n").over(w.orderBy("bin")) - F.col("n")).withColumn("all", F.sum("n").over(w)).where(F.col("before") < F.col("all") * rules.h)
+    last = near.groupBy("g", "start").agg(F.max("bin").alias("last")).select(F.col("g").alias("l_g"), F.col("start").alias("l_start"), "last")
+    est = est.join(last, (F.col("now_g") == F.col("l_g")) & (F.col("start") == F.col("l_start"))).drop("l_g", "l_start")
+    binned = _distance(_meet(judged, scratch(est, "limits"), F.col("g") == F.col("now_g")))
+    sums = binned.where(F.floor(F.log(F.col("d2") + 1e-6) * BINS_PER_E) <= F.col("last")).groupBy("g", "start").agg(*_moments(), F.first("logdet").alias("was"))
+    found = _estimate(sums, rules, ["g", "start", "was"])
+    return scratch(found.withColumn("fall", F.col("was") - F.col("logdet")).drop("was"), "step")
+
+
+def mcd(judged: DataFrame, rules: QualityRules, keep_det: bool = False) -> DataFrame:
+    """The minimum-covariance-determinant estimate of each group g of judged (g, salt, x1 to x4), on request with logdet."""
+    now = scratch(_starts(judged, rules), "starts")
+    for _ in range(rules.first_steps):
+        now = _step(judged, now, rules)
     best = Window.partitionBy("g").orderBy("logdet", "start")
-    return now.withColumn("rank", F.row_number().over(best)).where("rank = 1").drop("rank", "start", "logdet")
+    now = now.withColumn("rank", F.row_number().over(best)).where("rank = 1").drop("rank")
+    for _ in range(rules.max_steps - rules.first_steps):
+        now = _step(judged, now, rules)
+        if now.where(F.abs(F.col("fall")) > rules.settled).isEmpty():
+            break
+    return now.drop("start", "fall", *([] if keep_det else ["logdet"]))
 
 
 def quality(docs: DataFrame, rules: QualityRules = QualityRules(), carry: list[str] | None = None) -> DataFrame:
@@ -190,7 +261,8 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules(), carry: list[s
     vectors = with_counts(docs).select("*", *_vector(rules)).withColumn("doc", F.struct(*kept)).withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     vectors = scratch(vectors, "quality")
     grouped = _grouped(vectors, rules)
-    best = scratch(mcd(grouped.where("judged").select("g", "salt", *FEATURES), rules), "mcd").withColumnRenamed("g", "b_g")
+    judged = scratch(grouped.where("judged").select("g", "salt", *FEATURES), "judged")
+    best = mcd(judged, rules).withColumnRenamed("g", "b_g")
     scored = _distance(_meet(grouped, best, F.col("judged") & (F.col("g") == F.col("b_g")), "left"))
     distance = F.sqrt(F.col("d2"))
     verdict = ~F.col("base_failed") & F.coalesce(distance <= rules.max_distance, F.lit(True))
