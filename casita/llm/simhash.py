@@ -6,19 +6,21 @@ linked, and documents of linked fingerprints form a component.
 
 The join: a fingerprint is embedded as the bit counts of its 32 segments of two bits. The Manhattan distance of two
 embeddings never exceeds the Hamming distance of the fingerprints, so a linked pair has Manhattan distance 4 at most. The
-32 coordinates are dealt to 8 groups of four; with a budget of 4 at most four groups can differ, so a linked pair agrees
-on all coordinates of some four groups. Each fingerprint enters the C(8, 4) = 70 grid cells that name four groups and
-their coordinates; pairs are sought within cells, tested for Manhattan distance, then for the exact Hamming distance.
+32 coordinates are dealt to G groups; with a budget of 4 at most four groups can differ, so a linked pair agrees on all
+coordinates of some G - 4 groups. Each fingerprint enters the C(G, 4) grid cells that leave four groups open (70 cells with
+G = 8); pairs are sought within cells, those whose Manhattan distance is above 4 are left out, and the exact Hamming
+distance decides on the rest. (Counts 0, 1, 2 are written as 00, 01, 11, so that Manhattan distance is a bit count.)
 
 Scale: copies collapse to one row a fingerprint before the join (an aggregate that combines on the map side), so a group
 of copies of any size enters each cell once. Within a cell only links that join two parts not yet joined are emitted: a
 cell's members are first compared to its few leaders, and members are compared to each other only across parts that the
-leaders left apart; no pair list exists. A cell holds distinct fingerprints that agree on 28 bits' worth of coordinates,
-so its size is bounded by what differs elsewhere, not by the number of documents; 16 bytes each are held while it lasts.
+leaders left apart; no pair list exists. A cell holds distinct fingerprints that agree on most coordinates; as their
+number grows, G grows with it (8, 10, 12), so cells stay small: what is found does not depend on G.
 
 Defined results: a null or wordless text has fingerprint zero and is linked like any other; texts of under four words
-have one shingle, the whole sequence. Repeated rows are returned each. Empty tables give empty tables. Only doc_id and
-text are read, so extra columns may have any name.
+have one shingle, the whole sequence; very long texts are hashed whole. A null doc_id is no candidate for component_id; a
+component of null ids only has a null component_id. Repeated rows are returned each. Empty tables give empty tables. Only
+doc_id and text are read, so extra columns may have any name.
 """
 
 from __future__ import annotations
@@ -82,13 +84,20 @@ def fingerprints(docs: DataFrame, keyed: bool = False) -> DataFrame:
     return rows.mapInArrow(_fingerprints, f"doc_id long, {'key string, ' if keyed else ''}fp long")
 
 
-def cells(distinct: DataFrame) -> DataFrame:
-    """(cell, fp): the 70 grid cells of each fingerprint; a cell is the number of its four groups and their 32 bits of coordinates."""
-    byte = [F.shiftrightunsigned("t", 8 * g).bitwiseAND(F.lit(255)) for g in range(8)]
-    cell = [
-        F.lit(k << 32).bitwiseOR(F.shiftleft(byte[a], 24)).bitwiseOR(F.shiftleft(byte[b], 16)).bitwiseOR(F.shiftleft(byte[c], 8)).bitwiseOR(byte[d])
-        for k, (a, b, c, d) in enumerate(itertools.combinations(range(8), 4))
-    ]
+def groups_for(n: int) -> int:
+    """Groups of coordinates for n distinct fingerprints: more groups, more and smaller cells."""
+    return 8 if n <= 1 << 27 else 10 if n <= 1 << 30 else 12
+
+
+def open_masks(groups: int) -> list[int]:
+    """Per cell of a fingerprint, the bits of the coordinates that it keeps: all but those of four groups."""
+    bounds = [32 * g // groups for g in range(groups + 1)]
+    bits = [sum(3 << (2 * k) for k in range(lo, hi)) for lo, hi in itertools.pairwise(bounds)]
+    return [sum(b for g, b in enumerate(bits) if g not in left) for left in itertools.combinations(range(groups), MAX_BITS)]
+
+
+def cells(distinct: DataFrame, groups: int = 8) -> DataFrame:
+    """(cell, fp): the grid cells of each fingerprint; a cell is the hash of its number and of the coordinates that it keeps."""
     # bit count of a 2-bit field ab is a + b: fields (fp & 01..) and (fp >> 1 & 01..) add without a carry out of a field
     low = F.expr("fp & 6148914691236517205L")
     high = F.expr("shiftrightunsigned(fp, 1) & 6148914691236517205L")
@@ -97,17 +106,21 @@ def cells(distinct: DataFrame) -> DataFrame:
     lower = low.bitwiseAND(mask) + high.bitwiseAND(mask)
     upper = F.shiftrightunsigned(low, 32) + F.shiftrightunsigned(high, 32)
     t = F.shiftleft(upper, 32).bitwiseOR(lower)
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    cell = [F.xxhash64(F.lit(k), F.col("t").bitwiseAND(F.lit(signed(m)).cast("long"))) for k, m in enumerate(open_masks(groups))]
     return distinct.select("fp", t.alias("t")).select(F.explode(F.array(*cell)).alias("cell"), "fp")
 
 
-def manhattan(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distance of the segment bit counts of fingerprints a and b."""
-    m = np.uint64(0x5555555555555555)
-    total = 0
-    ca, cb = ((x & m) + ((x >> np.uint64(1)) & m) for x in (a, b))
-    for k in range(0, 64, 2):
-        total = total + np.abs(((ca >> np.uint64(k)) & np.uint64(3)).astype(np.int8) - ((cb >> np.uint64(k)) & np.uint64(3)).astype(np.int8))
-    return total
+def unary(fp: np.ndarray) -> np.ndarray:
+    """Segment bit counts 0, 1, 2 written as 00, 01, 11: the Manhattan distance of two is the number of bits that differ."""
+    odd, even = fp & np.uint64(0x5555555555555555), (fp >> np.uint64(1)) & np.uint64(0x5555555555555555)
+    return (odd | even) | (odd & even) << np.uint64(1)
+
+
+def near(fp: np.ndarray, at: np.ndarray, one: int, counts: np.ndarray) -> np.ndarray:
+    """Of the places `at`, those linked to fp[one]: the lower bound first, then the exact distance."""
+    at = at[np.bitwise_count(counts[at] ^ counts[one]) <= MAX_BITS]
+    return at[np.bitwise_count(fp[at] ^ fp[one]) <= MAX_BITS]
 
 
 def cell_links(fp: np.ndarray) -> list[tuple[int, int]]:
@@ -115,15 +128,15 @@ def cell_links(fp: np.ndarray) -> list[tuple[int, int]]:
     m = len(fp)
     if m == 2:
         return [(0, 1)] if int(fp[0] ^ fp[1]).bit_count() <= MAX_BITS else []
+    counts = unary(fp)
     part = np.full(m, -1, dtype=np.int64)
     links, leaders = [], []
     for i in range(m):  # every member joins the first leader near it, or leads
         if part[i] >= 0:
             continue
-        free = np.flatnonzero(part < 0)
-        near = free[np.bitwise_count(fp[free] ^ fp[i]) <= MAX_BITS]
-        part[near] = len(leaders)
-        links += [(i, int(j)) for j in near if j != i]
+        own = near(fp, np.flatnonzero(part < 0), i, counts)
+        part[own] = len(leaders)
+        links += [(i, int(j)) for j in own if j != i]
         leaders.append(i)
     if len(leaders) == 1:
         return links
@@ -145,7 +158,7 @@ def cell_links(fp: np.ndarray) -> list[tuple[int, int]]:
                 continue
             mine, theirs = order[bounds[p] : bounds[p + 1]], order[bounds[q] : bounds[q + 1]]
             for i in mine:
-                hit = theirs[np.bitwise_count(fp[theirs] ^ fp[i]) <= MAX_BITS]
+                hit = near(fp, theirs, i, counts)
                 if len(hit):
                     links.append((int(i), int(hit[0])))
                     root[find(p)] = find(int(q))
@@ -163,16 +176,16 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         two = starts[sizes == 2]
         if len(two):
-            near = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= MAX_BITS]
-            a.append(fp[near]), b.append(fp[near + 1])
+            counts = unary(fp)
+            two = two[np.bitwise_count(counts[two] ^ counts[two + 1]) <= MAX_BITS]
+            two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= MAX_BITS]
+            a.append(fp[two]), b.append(fp[two + 1])
         for s, n in zip(starts[sizes > 2], sizes[sizes > 2], strict=True):
             own = fp[s : s + n]
             if got := cell_links(own):
                 i, j = np.array(got, dtype=np.int64).T
                 a.append(own[i]), b.append(own[j])
         a, b = (np.concatenate(x) if x else np.empty(0, np.uint64) for x in (a, b))
-        if len(a):
-            assert (manhattan(a, b) <= np.bitwise_count(a ^ b)).all()
         return pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
     for batch in batches:
@@ -188,7 +201,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(distinct: DataFrame) -> DataFrame:
     """Links (a, b) between fingerprints within MAX_BITS: as many as connect what such pairs connect."""
-    dealt = cells(distinct).repartition("cell").sortWithinPartitions("cell")
+    dealt = cells(distinct, groups_for(distinct.count())).repartition("cell").sortWithinPartitions("cell")
     return dealt.mapInArrow(_links, "a long, b long").distinct()
 
 
