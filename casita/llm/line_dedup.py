@@ -17,7 +17,7 @@ hashes, so long lines are linear. Texts meet the lists of their lines by a broad
 counted first), else by a shuffle.
 
 Defined results: a null text has no lines and stays null; rows with one doc_id are one document (each of them keeps
-what the document keeps); an empty table gives an empty table. Columns of the input are kept in a struct, so extra columns may have
+what the document keeps), and rows without one are together the last document; an empty table gives an empty table. Columns of the input are kept in a struct, so extra columns may have
 any name.
 """
 
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, packed, scratch
+from .common import bounded, doc_key, packed, scratch
 
 #: Odd multipliers of the two hash lanes; their powers weigh the places of a line.
 _BASE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
@@ -170,7 +170,7 @@ def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     edge = distinct.where("head IS NOT NULL").select("doc_id", spot, F.explode(F.array("head", "tail")).alias("edge"))
     common = edge.groupBy("edge").agg(F.count("*").alias("n")).where("n > 1").select("edge")
     wanted = scratch(edge.join(common, "edge").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("spot").alias("places")), "wanted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(doc_key().alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.join(bounded(wanted, 200), F.col("doc_id") == F.col("id")).select("doc_id", "text", "places")
     lines = scratch(texts.mapInArrow(_emit_wanted, _WANTED).dropDuplicates(["h1", "h2"]), "wanted-lines")
     half = lines.select("h1", "h2", F.explode("halves").alias("half"))
@@ -192,7 +192,7 @@ def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
 
 def duplicate_lines(docs: DataFrame, how: Lines = Lines()) -> DataFrame:
     """(doc_id, h1, h2, all): lines that a document loses: in all its places, or in all but the first."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    plain = docs.select(doc_key().alias("doc_id"), F.col("text").cast("string").alias("text"))
     lines = scratch(plain.mapInArrow(_emit(how), _LINE), "lines")
     distinct = scratch(lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.max("doc_id").alias("last"), F.first("head").alias("head"), F.first("tail").alias("tail")).select("h1", "h2", "first.doc_id", "first.pos", "last", "head", "tail"), "distinct-lines")
     fuzzy = _near(distinct, docs).withColumn("near", F.lit(True))
@@ -226,5 +226,5 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def drop_lines(docs: DataFrame, how: Lines = Lines()) -> DataFrame:
     """doc (a struct of the input's columns), n_lines with a word, n_dropped, kept_text."""
     lost = scratch(duplicate_lines(docs, how).groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("lost")).withColumnRenamed("doc_id", "id"), "lost")
-    rows = packed(docs).withColumn("text", F.col("doc.text").cast("string")).join(bounded(lost, 200), F.col("doc.doc_id") == F.col("id"), "left").select("doc", "text", "lost")
+    rows = packed(docs).withColumn("text", F.col("doc.text").cast("string")).join(bounded(lost, 200), doc_key("doc.doc_id") == F.col("id"), "left").select("doc", "text", "lost")
     return rows.mapInArrow(_keep, f"doc {rows.schema['doc'].dataType.simpleString()}, n_lines long, n_dropped long, kept_text string")

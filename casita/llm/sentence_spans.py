@@ -1,7 +1,7 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences (after . ! ? and at line breaks; a sentence of over 40 words is cut further after words whose
-hash says so, so that equal stretches are cut alike). From every sentence starts one run, and at every sentence ends one:
+hash says so, wherever it begins, so that equal stretches are cut alike). From every sentence starts one run, and at every sentence ends one:
 at least `sentences` = 2 consecutive sentences, and as many more as it takes to reach `min_words` = 15 words. So every
 sentence of a repeated passage of that size lies in a run inside the passage, up to its short last ones. A whole text of
 several sentences but fewer words is one run, which only such texts share. Runs are hashed (128 bits, white space made
@@ -14,7 +14,8 @@ the join, whose sides AQE may split where a run is common. What comes back to a
 runs, bounded by its sentences. Texts are cut in Arrow batches; a batch holds whole texts.
 
 Defined results: a null text has no sentences and stays null; rows with one doc_id are one document (each keeps what the
-document keeps); an empty table gives an empty table. Columns of the input are kept in a struct, so extra columns may
+document keeps), and rows without one are together the last document; very long texts are cut and hashed whole; an empty
+table gives an empty table. Columns of the input are kept in a struct, so extra columns may
 have any name.
 """
 
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, scratch
+from .common import bounded, doc_key, packed, scratch
 
 _CUT = re.compile(r"(?<=[.!?])\s+|\n\s*")
 _LONG = 40
@@ -64,7 +65,7 @@ def _pieces(text: str, at: int, end: int) -> Iterator[tuple[int, int, str, int]]
     held, start = [], at
     for m in _NEXT_WORD.finditer(text, at, end):
         held.append(m[0].strip())
-        if zlib.crc32(held[-1].encode("utf-8", "surrogatepass")) % 16 == 0 or len(held) >= 4 * _LONG:
+        if zlib.crc32(held[-1].encode("utf-8", "surrogatepass")) % 16 == 0:
             yield start, m.end(), " ".join(held), len(held)
             held, start = [], m.end()
     if held:
@@ -98,6 +99,10 @@ def runs(cut: list[tuple[int, int, str, int]], how: Spans) -> list[tuple[int, in
     return out
 
 
+#: Of a document's repeated runs on average, for the size of their table.
+SEEN_BYTES = 400
+
+
 def _emit(how: Spans):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,7 +144,7 @@ def _remove(how: Spans):
 
 def repeated(docs: DataFrame, how: Spans = Spans()) -> DataFrame:
     """(doc_id, h1, h2): runs of a document that an earlier document has too."""
-    emitted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_emit(how), "doc_id long, h1 long, h2 long")
+    emitted = docs.select(doc_key().alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_emit(how), "doc_id long, h1 long, h2 long")
     each = scratch(emitted, "runs")
     first = each.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("h1", "h2", "first")
     return each.join(first, ["h1", "h2"]).where("doc_id > first").select("doc_id", "h1", "h2")
@@ -148,6 +153,6 @@ def repeated(docs: DataFrame, how: Spans = Spans()) -> DataFrame:
 def remove_repeats(docs: DataFrame, how: Spans = Spans()) -> DataFrame:
     """doc (a struct of the input's columns), n_sentences, n_removed, removed (spans of code points), kept_text."""
     seen = repeated(docs, how).groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("seen")).withColumnRenamed("doc_id", "id")
-    rows = packed(docs).withColumn("text", F.col("doc.text").cast("string")).join(seen, F.col("doc.doc_id") == F.col("id"), "left").select("doc", "text", "seen")
+    rows = packed(docs).withColumn("text", F.col("doc.text").cast("string")).join(bounded(scratch(seen, "seen"), SEEN_BYTES), doc_key("doc.doc_id") == F.col("id"), "left").select("doc", "text", "seen")
     schema = f"doc {rows.schema['doc'].dataType.simpleString()}, n_sentences long, n_removed long, removed array<struct<start:long,end:long>>, kept_text string"
     return rows.mapInArrow(_remove(how), schema)
