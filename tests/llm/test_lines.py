@@ -2,7 +2,7 @@
 
 import random
 
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from casita.llm.line_dedup import Lines, drop_lines, line_words, variants, within_one_edit
@@ -24,10 +24,10 @@ def _next(row, i, x, b):
 
 
 def brute(rows, how=Lines()):
-    """Lines in order; a line goes if an earlier one equals it or, both long enough, is within one edit."""
+    """Lines in order, rows without an id last; a line goes if an earlier one equals it or, both long enough, is within one edit."""
     earlier, out = [], {}
     by_words = {}
-    for doc, text in sorted(rows, key=lambda r: r[0]):
+    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0])):
         kept, n, gone = [], 0, 0
         for line in text.split("\n") if text else ():
             w = tuple(line_words(line))
@@ -75,7 +75,7 @@ def test_query(spark, sf_dir):
 def test_families(make):
     rng = random.Random(8)
     texts = []
-    base = [[f"w{rng.randrange(40)}" for _ in range(rng.randrange(8, 14))] for _ in range(6)]
+    base = [[f"w{rng.randrange(40)}" for _ in range(rng.randrange(4, 15))] for _ in range(12)]
     for _ in range(60):
         lines = []
         for _ in range(3):
@@ -98,3 +98,17 @@ def test_odd_inputs(make):
     rows = sorted((r.doc.doc_id, r.kept_text) for r in drop_lines(make(twice)).collect())
     assert rows == [(1, long), (1, long), (1, "other"), (2, "")]
     assert drop_lines(make([])).count() == 0
+
+
+def test_rows_without_an_id_come_last(make):
+    """A null id shields no line of others, and is compared like them."""
+    line, other = "one two three four five six seven eight nine ten", "a b c d e f"
+    rows = [(None, f"{line}\n{other}", "", ""), (2, line, "", ""), (3, f"{line}\nmore", "", ""), (None, other, "", "")]
+    got = sorted(((r.doc.doc_id, r.kept_text) for r in drop_lines(make(rows)).collect()), key=str)
+    assert got == sorted([(None, other), (2, line), (3, "more"), (None, other)], key=str)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.lists(st.sampled_from("abc"), min_size=3, max_size=13).map(" ".join), min_size=1, max_size=4).map("\n".join), min_size=2, max_size=40))
+def test_short_lines(make, texts):
+    assert told(drop_lines(make(texts))) == brute(list(enumerate(texts)))

@@ -1,22 +1,59 @@
 """op6: against a direct scan in document order."""
 
 import random
+import zlib
 
 from casita.llm.queries import op6_sentence_spans
-from casita.llm.sentence_spans import Spans, remove_repeats, runs, sentences
+from casita.llm.sentence_spans import Spans, remove_repeats, sentences
+
+
+def plain_sentences(text):
+    """Places between sentences found character by character; long ones cut after words whose checksum ends in four zero bits."""
+    ends, n = [], len(text)
+    for i in range(n):
+        if text[i] == "\n" or (text[i].isspace() and i and text[i - 1] in ".!?"):
+            j = i + 1
+            while j < n and text[j].isspace():
+                j += 1
+            ends.append(j)
+    out, at = [], 0
+    for end in [*sorted(set(ends)), n]:
+        words = text[at:end].split()
+        if len(words) > 40:
+            start, k, held = at, at, []
+            for w in words:
+                k = text.index(w, k) + len(w)
+                held.append(w)
+                if zlib.crc32(w.encode()) % 16 == 0:
+                    while k < end and text[k].isspace():
+                        k += 1
+                    out.append((start, k, held))
+                    start, held = k, []
+            if held:
+                out.append((start, end, held))
+        elif words:
+            out.append((at, end, words))
+        elif out:
+            out[-1] = (out[-1][0], end, out[-1][2])
+        at = max(at, end)
+    return out
 
 
 def brute(rows, how=Spans()):
-    """Documents in order, every run of all places: what was seen before goes."""
+    """Every run of consecutive sentences that counts, in document order: what was seen before goes. Runs of up to
+    min_words + 1 sentences do: a longer one is made of such, as every sentence has a word."""
     first, out = {}, {}
-    for doc, text in sorted(rows, key=lambda r: r[0]):
-        cut = sentences(text or "")
+    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+        cut = plain_sentences(text or "")
         drop, own = set(), set()
-        for i, j, a, b in runs(cut, how):
-            key = " ".join(c[2] for c in cut[i:j])
-            if first.get(key, doc) != doc or key in own:
-                drop |= set(range(i, j))
-            own.add(key)
+        whole = sum(len(c[2]) for c in cut) < how.min_words
+        for i in range(len(cut)):
+            for j in range(i + how.sentences, min(len(cut), i + how.min_words + 1) + 1):
+                if sum(len(c[2]) for c in cut[i:j]) >= how.min_words or (whole and (i, j) == (0, len(cut))):
+                    key = " ".join(w for c in cut[i:j] for w in c[2])
+                    if first.get(key, doc) != doc or key in own:
+                        drop |= set(range(i, j))
+                    own.add(key)
         for key in own:
             first.setdefault(key, doc)
         kept = None if text is None else (text[: cut[0][0]] if cut else text) + "".join(text[c[0] : c[1]] for k, c in enumerate(cut) if k not in drop)
@@ -85,3 +122,20 @@ def test_copies_and_short_endings_go_completely(make):
         assert got[k].kept_text == texts[k].replace(passage + " ", ""), k
     for k in range(len(whole) + 4, len(texts)):
         assert got[k].kept_text == "" and got[k].n_removed == got[k].n_sentences, k
+
+
+def test_rows_without_an_id_come_last(make):
+    """Copies among rows with and without an id: the first one with an id stays."""
+    same = "This sentence has some eight words in it. And this one that follows has just as many."
+    rows = [(None, same, "en", "s"), (5, same, "en", "s"), (7, same, "en", "s"), (None, same + " More here.", "en", "s")]
+    got = sorted(((r.doc.doc_id, r.kept_text) for r in remove_repeats(make(rows)).collect()), key=str)
+    assert got == sorted([(None, ""), (5, same), (7, ""), (None, "More here.")], key=str)
+
+
+def test_shifted_copies_of_an_endless_sentence(make):
+    """Places to cut depend on the words alone, so a copy that starts elsewhere is cut alike."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(900)]
+    texts = [" ".join(words), " ".join(["other", "words", "before"] + words[37:])]
+    got = {r.doc.doc_id: r for r in remove_repeats(make(texts)).collect()}
+    assert got[0].kept_text == texts[0] and sum(w in words for w in got[1].kept_text.split()) < 60
