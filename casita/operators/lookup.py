@@ -55,14 +55,15 @@ def without_partner(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
     return df.select(on).distinct().join(other.select(on).distinct(), on, "left_anti").orderBy(on)
 
 
-def contained_alias(texts: DataFrame, text: str, aliases: DataFrame, max_words: int = 4) -> DataFrame:
+def contained_alias(texts: DataFrame, text: str, aliases: DataFrame) -> DataFrame:
     """Texts with `alias_ord`, the first (by ord) of the aliases (ord, alias) that stands in the text as whole words.
 
-    Aliases of up to max_words words are met by an equi-join on the word runs of the texts, so no text is compared to
-    the whole list.
+    Aliases are met by an equi-join on the word runs of the texts, of the lengths that the list has, so no text is compared
+    to the whole list. Whole words only: an alias inside a longer word is no match.
     """
     words = F.filter(F.split(F.upper(F.trim(F.col(text))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(max_words)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size("__w") - n + 1, F.lit(1))), lambda i: F.array_join(F.slice("__w", i, n), " "))))
+    lengths = [r.n for r in aliases.select(F.size(F.filter(F.split(F.trim("alias"), r"[^\p{L}\p{N}]+"), lambda w: w != "")).alias("n")).where("n > 0").distinct().collect()]
+    runs = F.flatten(F.transform(F.array(*[F.lit(n) for n in sorted(lengths) or [1]]), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size("__w") - n + 1, F.lit(1))), lambda i: F.array_join(F.slice("__w", i, n), " "))))
     key = F.array_join(F.filter(F.split(F.upper(F.trim("alias")), r"[^\p{L}\p{N}]+"), lambda w: w != ""), " ")
     rows = texts.withColumn("__id", F.xxhash64(F.col(text))).withColumn("__w", words)
     each = rows.select(F.col(text).alias("__text"), "__id", F.explode(F.array_distinct(runs)).alias("run")).distinct()

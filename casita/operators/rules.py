@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casita.functions.text import cell, fold_lower
+from casita.functions.text import cell, fold_lower, let
 
 # Words and patterns of the property-type rules.
 TERMS = {
@@ -43,7 +43,7 @@ PATTERNS = {
     "dim_x": r"\b\d{1,3}\s*[x×]\s*\d{1,3}\s*m(?:t|ts|trs)?\b",
     "unit_price_x": r"(?:u\$|usd|\$)\s*\d+(?:[.,]\d+)?(?:\s*\+\s*[a-z]{1,10})?\s*[x×]\s*(?:mts?\s*2|metros?\s*2|metros|mts?|m\s*2|m)\.?(?:[^a-z0-9]|$)",
     "land_unit_price": r"\b\d+(?:[.,]\d+)?\s*(?:por|/|x|×)\s*(?:v(?:rs)?\s*2|vara(?:s)?(?:\s+cuadrada(?:s)?)?)|\b\d+(?:[.,]\d+)?\s*(?:v(?:rs)?\s*2|vara(?:s)?(?:\s+cuadrada(?:s)?)?)\s*(?:a|x|×)\s*(?:\$|l\.?)?\s*\d+",
-    "bodega_text": r"bodega",
+    "bodega_text": r"\bbodega\b",
 }
 TYPES = ("House", "Apartment", "Commercial", "Land")
 #: Points by cue: (House, Apartment, Commercial, Land).
@@ -61,6 +61,11 @@ def _any_word(words: list[str]) -> str:
     return r"\b(?:" + "|".join(re.escape(w) for w in sorted(words, key=lambda w: (-len(w), w))) + r")\b"
 
 
+def _capitalized(x: Column) -> Column:
+    """The first letter upper, the rest lower."""
+    return F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, F.lit(2), F.length(x))))
+
+
 def property_scores(df: DataFrame, text: Column, original: Column) -> DataFrame:
     """df with property_type_new, _reason, _changed, the four scores, margin and tie.
 
@@ -69,7 +74,7 @@ def property_scores(df: DataFrame, text: Column, original: Column) -> DataFrame:
     the original type; so do dormitories and buildings that are not finished.
     """
     searched = {**{k: _any_word(v) for k, v in TERMS.items()}, **PATTERNS}
-    df = df.withColumn("__text", fold_lower(text)).withColumn("__original", F.initcap(F.lower(F.trim(F.coalesce(original, F.lit(""))))))
+    df = df.withColumn("__text", fold_lower(text)).withColumn("__original", _capitalized(F.trim(F.coalesce(original, F.lit("")))))
     df = df.withColumns({f"__{k}": F.col("__text").rlike(p) for k, p in searched.items()})
     cue = lambda k: F.col(f"__{k}")
     point = lambda hit, n: F.when(hit, n).otherwise(0)
@@ -114,32 +119,48 @@ class TransactionRules:
 
 def notes_signal(notes: Column, rules: TransactionRules) -> Column:
     """SALE, RENT, AMBIGUOUS or NONE."""
-    t = F.lower(F.trim(F.coalesce(notes, F.lit(""))))
-    words = lambda ws: t.rlike(_any_word(list(ws)))
-    sale, rent = words(rules.sale_words), words(rules.rent_words)
-    return F.when(t.rlike("|".join(rules.ambiguous)) | (sale & rent), "AMBIGUOUS").when(sale, "SALE").when(rent, "RENT").otherwise("NONE")
+
+    def found(t: Column) -> Column:
+        words = lambda ws: t.rlike(_any_word(list(ws)))
+        return F.struct(words(rules.sale_words).alias("sale"), words(rules.rent_words).alias("rent"), t.alias("t"))
+
+    def named(f: Column) -> Column:
+        return F.when((f.sale & f.rent) | f.t.rlike("|".join(rules.ambiguous)), "AMBIGUOUS").when(f.sale, "SALE").when(f.rent, "RENT").otherwise("NONE")
+
+    return let(let(F.lower(F.trim(F.coalesce(notes, F.lit("")))), found), named)
 
 
 def transaction_decision(ptype: Column, declared: Column, notes: Column, price: Column, rules: TransactionRules = TransactionRules()) -> Column:
     """F16: (final, flag, polarity, source, confidence); the first rule that applies decides."""
-    kind, said = F.upper(F.trim(ptype)), F.upper(F.trim(declared))
-    bound = lambda d: F.coalesce(*[F.when(kind == k, F.lit(float(v))) for k, v in d.items()])
+    bound = lambda kind, d: F.coalesce(*[F.when(kind == k, F.lit(float(v))) for k, v in d.items()])
     row = lambda *v: F.struct(*[x.alias(n) if isinstance(x, Column) else F.lit(x).cast("string").alias(n) for n, x in zip(("final", "flag", "polarity", "source", "confidence"), v, strict=True)])
-    signal = notes_signal(notes, rules)
-    has = F.coalesce(said.isin("SALE", "RENT"), F.lit(False))
-    noted = signal.isin("SALE", "RENT")
-    hint = F.when(has, said).when(noted, signal)
-    source, confidence = F.when(has, "declared").when(noted, "notes").otherwise("none"), F.when(has, "HIGH").when(noted, "MEDIUM").otherwise("LOW")
-    rent_ok, sale_ok = price <= bound(rules.rent_max), price >= bound(rules.sale_min)
     corrected = ("CORRECTED_PRICE_BOUNDARY", "POSITIVE", "price+ptype", "HIGH")
-    return (
-        F.when(~F.coalesce(kind.isin(*rules.min_price), F.lit(False)), row(None, "FLAG_OUT_OF_SCOPE", "NEGATIVE", "scope", "NONE"))
-        .when(price.isNull() | (price < bound(rules.min_price)), row(None, "REMOVED_INVALID_PRICE", "NEGATIVE", "price_min", "NONE"))
-        .when(((hint == "RENT") & rent_ok) | ((hint == "SALE") & sale_ok), row(hint, "OK_DECLARED", "POSITIVE", source, confidence))
-        .when((hint == "SALE") & rent_ok, row("RENT", *corrected))
-        .when((hint == "RENT") & sale_ok, row("SALE", *corrected))
-        .otherwise(row(None, "REMOVED_PRICE_OUT_OF_RANGE", "NEGATIVE", "price+ptype", "HIGH"))
-    )
+    read = F.struct(F.upper(F.trim(ptype)).alias("kind"), F.upper(F.trim(declared)).alias("said"), notes_signal(notes, rules).alias("signal"), price.alias("price"))
+
+    def weighed(x: Column) -> Column:
+        has, noted = F.coalesce(x.said.isin("SALE", "RENT"), F.lit(False)), x.signal.isin("SALE", "RENT")
+        return F.struct(
+            F.when(has, x.said).when(noted, x.signal).alias("hint"),
+            F.when(has, "declared").when(noted, "notes").otherwise("none").alias("source"),
+            F.when(has, "HIGH").when(noted, "MEDIUM").otherwise("LOW").alias("confidence"),
+            (x.price <= bound(x.kind, rules.rent_max)).alias("rent_ok"),
+            (x.price >= bound(x.kind, rules.sale_min)).alias("sale_ok"),
+            F.coalesce(x.kind.isin(*rules.min_price), F.lit(False)).alias("in_scope"),
+            (x.price.isNull() | (x.price < bound(x.kind, rules.min_price))).alias("no_price"),
+        )
+
+    def decided(y: Column) -> Column:
+        rent, sale = y.hint == "RENT", y.hint == "SALE"
+        return (
+            F.when(~y.in_scope, row(None, "FLAG_OUT_OF_SCOPE", "NEGATIVE", "scope", "NONE"))
+            .when(y.no_price, row(None, "REMOVED_INVALID_PRICE", "NEGATIVE", "price_min", "NONE"))
+            .when((rent & y.rent_ok) | (sale & y.sale_ok), row(y.hint, "OK_DECLARED", "POSITIVE", y.source, y.confidence))
+            .when(sale & y.rent_ok, row("RENT", *corrected))
+            .when(rent & y.sale_ok, row("SALE", *corrected))
+            .otherwise(row(None, "REMOVED_PRICE_OUT_OF_RANGE", "NEGATIVE", "price+ptype", "HIGH"))
+        )
+
+    return let(let(read, weighed), decided)
 
 
 def with_causes(df: DataFrame, checks: dict[str, Column]) -> DataFrame:

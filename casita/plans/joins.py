@@ -77,10 +77,10 @@ def j6_contained_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def j8_token_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each part name with the brand-1 part name that shares most tokens."""
+    """Names of parts with a number divisible by 100, each with the name of another part that shares most tokens."""
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("raw"))
-    official = part.where("p_partkey <= 40").select(F.col("p_partkey").alias("gid"), F.col("p_partkey").alias("ord"), F.col("raw").alias("glabel"))
-    cand = part.select("raw").distinct().withColumn("toks", label_tokens(F.col("raw")))
+    official = part.where("p_partkey % 100 <> 0").select(F.col("p_partkey").alias("gid"), F.col("p_partkey").alias("ord"), F.col("raw").alias("glabel"))
+    cand = part.where("p_partkey % 100 = 0").select("raw").distinct().withColumn("toks", label_tokens(F.col("raw")))
     return fuzzy.best_by_tokens(cand, official).select("raw", "gid", F.round("confidence", 9).alias("confidence"))
 
 
@@ -101,7 +101,9 @@ def j10_link_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def j11_without_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup.without_partner(table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "k"), table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "k"), "k")
+    """Customers without an order that is still open."""
+    open_ = table(spark, sf_dir, "orders").where("o_orderstatus = 'O'").withColumnRenamed("o_custkey", "k")
+    return lookup.without_partner(table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "k"), open_, "k")
 
 
 def j13_mnemonic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,12 +215,12 @@ def oracle_sql() -> dict[str, str]:
                  t AS (SELECT item_id, ' ' || array_to_string([x for x in string_split_regex(upper(text), '[^\\p{L}\\p{N}]+') if x <> ''], ' ') || ' ' AS w FROM benchmark)
             SELECT item_id, (SELECT min(ord) FROM a WHERE contains(w, ' ' || alias || ' '))::INTEGER AS alias_ord FROM t""",
         "j8_token_match": f"""
-            WITH c AS (SELECT DISTINCT p_name AS raw, {tokens.format("p_name")} AS toks FROM part),
-                 g AS (SELECT p_partkey AS gid, {tokens.format("p_name")} AS g_toks FROM part WHERE p_partkey <= 40),
+            WITH c AS (SELECT DISTINCT p_name AS raw, {tokens.format("p_name")} AS toks FROM part WHERE p_partkey % 100 = 0),
+                 g AS (SELECT p_partkey AS gid, {tokens.format("p_name")} AS g_toks FROM part WHERE p_partkey % 100 <> 0),
                  s AS (SELECT raw, gid, len(list_intersect(toks, g_toks)) / len(list_distinct(list_concat(toks, g_toks))) AS confidence
                        FROM c, g WHERE len(list_intersect(toks, g_toks)) > 0)
             SELECT raw, gid, round(confidence, 9) AS confidence FROM s QUALIFY row_number() OVER (PARTITION BY raw ORDER BY confidence DESC, gid) = 1""",
-        "j11_without_orders": "SELECT c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+        "j11_without_orders": "SELECT c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')",
         "j13_mnemonic": """
             SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN lower(substr(n_name, 1, 3))
                    ELSE trim(regexp_replace(lower(n_name), '[^a-z0-9]+', '-', 'g'), '-') END AS mnemonic FROM nation""",

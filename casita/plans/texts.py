@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casita.functions import listing as X
@@ -16,6 +16,11 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _file() -> Column:
+    """Documents as files of lines: a source has one for each 50 numbers, so that files stay small however large it is."""
+    return F.concat_ws("/", "source", F.floor(F.col("doc_id") / 50).cast("string")).alias("file")
+
+
 def n1_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Folded texts, by digest."""
     t = F.col("text")
@@ -31,7 +36,7 @@ def n4_join_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def n5_mojibake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts made wrong, then repaired."""
     broken = F.replace(F.replace(F.col("text"), F.lit("ñ"), F.lit("Ã±")), F.lit("ó"), F.lit("Ã³"))
-    return _docs(spark, sf_dir).where("lang = 'es'").select("doc_id", F.md5(N.fix_mojibake(broken)).alias("repaired"))
+    return _docs(spark, sf_dir).select("doc_id", F.md5(N.fix_mojibake(broken)).alias("repaired"))
 
 
 def n6_preclean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,9 +53,10 @@ def n11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def n13_remove_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words and phrases go."""
-    t = N.remove_words(F.col("text"), ["the", "of the", "in", "and that"])
-    return _docs(spark, sf_dir).where("lang = 'en'").select("doc_id", F.md5(t).alias("cleaned"), (t != N.squeeze(F.col("text"))).alias("changed"))
+    """Words and phrases go from folded texts."""
+    text = F.replace(N.fold_n(F.col("text")), F.lit("ß"), F.lit("ss"))
+    t = N.remove_words(text, ["the", "of the", "in", "and that", "de la", "der"])
+    return _docs(spark, sf_dir).select("doc_id", F.md5(t).alias("cleaned"), (t != N.squeeze(text)).alias("changed"))
 
 
 def n17_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,8 +133,8 @@ def g1_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def g15_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Header context carried forward over the lines of a source."""
-    d = _docs(spark, sf_dir).select(F.col("source").alias("file"), F.col("doc_id").alias("line_no"), "n_chars")
+    """Header context carried forward over the lines of a file: 50 numbers of a source."""
+    d = _docs(spark, sf_dir).select(_file(), F.col("doc_id").alias("line_no"), "n_chars")
     head = F.when(F.col("n_chars") % 7 == 0, "# ALQUILER DE CASAS").when(F.col("n_chars") % 7 == 1, "# VENTA DE CASAS NUEVAS").when(F.col("n_chars") % 7 == 2, "# LOTES FOR SALE").otherwise(F.concat(F.lit("* item "), F.col("line_no").cast("string")))
     headers = [{"pattern": "VENTA", "transaction": "Sale"}, {"pattern": "VENTA DE CASAS", "transaction": "Sale", "type": "House"}, {"pattern": "ALQUILER DE CASAS", "transaction": "Rent", "type": "House"}]
     blocks = segment.listings(d.select("file", "line_no", head.alias("line")), segment.literal_start(F.col("line")))
@@ -137,7 +143,7 @@ def g15_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def g4_uppercase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts by upper-case titles (every second of a chain of open ones is not) and by jumps in length."""
-    d = _docs(spark, sf_dir).select(F.col("source").alias("file"), F.col("doc_id").alias("line_no"), "n_chars")
+    d = _docs(spark, sf_dir).select(_file(), F.col("doc_id").alias("line_no"), "n_chars")
     line = F.when(F.col("n_chars") % 3 == 0, "RES LOMAS").when(F.col("n_chars") % 3 == 1, "COL CENTRO. casa").otherwise("casa amplia con todo lo que hace falta")
     lines = d.select("file", "line_no", line.alias("line"))
     up = segment.with_uppercase_starts(lines).select("file", "line_no", F.col("start").alias("upper_start"))
@@ -242,6 +248,9 @@ def oracle_sql() -> dict[str, str]:
     words = f"[x for x in string_split({label(folded)}, ' ') if {kept} AND NOT regexp_full_match(x, '[0-9]+')]"
     dotless = "replace(text, '.', ' ')"
     base = f"[x for x in string_split({label(folded.replace('(text', '(' + dotless))}, ' ') if {kept} AND (length(x) > 1 OR regexp_full_match(x, '[0-9]'))]"
+    repaired = "replace(replace(text, 'ñ', 'Ã±'), 'ó', 'Ã³')"
+    for bad, good in (("√±", "ñ"), ("√ë", "Ñ"), ("Ã±", "ñ"), ("Ã‘", "Ñ"), ("Ã¡", "á"), ("Ã©", "é"), ("Ãí", "í"), ("Ã³", "ó"), ("Ãú", "ú"), ("ÃÁ", "Á"), ("Ã‰", "É"), ("ÃÍ", "Í"), ("Ã“", "Ó"), ("Ãš", "Ú"), ("Â", "")):
+        repaired = f"replace({repaired}, '{bad}', '{good}')"
     decision = """
         WITH l AS (SELECT l_orderkey, l_linenumber, ['HOUSE', 'APARTMENT', 'LAND'][(l_suppkey % 3 + 1)::INTEGER] AS k, CASE l_returnflag WHEN 'R' THEN 'SALE' WHEN 'A' THEN 'RENT' END AS said,
                           ['SALE', 'RENT', NULL, NULL, NULL][(l_partkey % 5 + 1)::INTEGER] AS noted, CASE WHEN l_linenumber <> 7 THEN l_extendedprice / 4 END AS price FROM lineitem),
@@ -261,13 +270,14 @@ def oracle_sql() -> dict[str, str]:
             WITH s AS (SELECT doc_id, regexp_replace(lower(trim(text)), '[^a-z0-9]+', '-', 'g') AS s, text FROM documents)
             SELECT doc_id, md5({_SQUEEZE.format("regexp_replace(upper(replace(" + _FOLD_N.format('text') + ", 'ß', 'ss')), '[^A-ZÑ0-9\\s/.\\-&'']', ' ', 'g')")}) AS key, md5(coalesce(nullif(trim(s, '-'), ''), 'na')) AS slug,
                    md5(regexp_replace(lower({_FOLD_N.format('text')}), '[^a-z0-9]', '', 'g')) AS agency FROM s""",
-        "n5_mojibake": "SELECT doc_id, md5(text) AS repaired FROM documents WHERE lang = 'es'",
+        "n5_mojibake": f"SELECT doc_id, md5({repaired}) AS repaired FROM documents",
         "n6_preclean": "SELECT p_partkey, upper(p_name) AS place FROM part",
         "n11_tokens": f"""
             WITH w AS (SELECT item_id, {words} AS w, {base} AS b FROM benchmark)
             SELECT item_id, array_to_string(list_filter(w, lambda x, i: list_position(w, x) = i), ' ') AS tokens, array_to_string(list_sort(list_distinct(b)), ' ') AS base FROM w""",
         "n13_remove_words": f"""
-            WITH c AS (SELECT doc_id, {_SQUEEZE.format("regexp_replace(text, '(?i)\\b(and[\\s,.]*that|of[\\s,.]*the|the|in)\\b', '', 'g')")} AS t, {_SQUEEZE.format('text')} AS s FROM documents WHERE lang = 'en')
+            WITH f AS (SELECT doc_id, replace({_FOLD_N.format('text')}, 'ß', 'ss') AS x FROM documents),
+                 c AS (SELECT doc_id, {_SQUEEZE.format("regexp_replace(x, '(?i)\\b(and[\\s,.]*that|of[\\s,.]*the|de[\\s,.]*la|der|the|in)\\b', '', 'g')")} AS t, {_SQUEEZE.format('x')} AS s FROM f)
             SELECT doc_id, md5(t) AS cleaned, t <> s AS changed FROM c""",
         "n17_dates": """
             SELECT o_orderkey, CASE WHEN o_orderkey % 9 < 7 THEN o_orderdate::DATE END AS date,
@@ -296,14 +306,14 @@ def oracle_sql() -> dict[str, str]:
                        FROM b WHERE block > 0 AND line <> '' GROUP BY 1, 2)
             SELECT file, row_number() OVER (PARTITION BY file ORDER BY block) AS listing_no, CASE WHEN first = 'system' THEN 'header' ELSE 'listing' END AS kind, md5(text) AS text FROM t""",
         "g15_context": """
-            WITH l AS (SELECT source AS file, doc_id, n_chars % 7 AS k FROM documents),
+            WITH l AS (SELECT concat_ws('/', source, (doc_id // 50)::VARCHAR) AS file, doc_id, n_chars % 7 AS k FROM documents),
                  c AS (SELECT *, CASE k WHEN 0 THEN 'Rent' WHEN 1 THEN 'Sale' WHEN 2 THEN 'venta' END AS tx, CASE WHEN k < 2 THEN 'House' END AS ty,
                               CASE k WHEN 0 THEN 'ALQUILER DE CASAS' WHEN 1 THEN 'VENTA DE CASAS' WHEN 2 THEN 'LOTES FOR SALE' END AS ca FROM l),
                  f AS (SELECT file, doc_id, k, last_value(tx IGNORE NULLS) OVER w AS transaction, last_value(ty IGNORE NULLS) OVER w AS type, last_value(ca IGNORE NULLS) OVER w AS category
                        FROM c WINDOW w AS (PARTITION BY file ORDER BY doc_id ROWS UNBOUNDED PRECEDING))
             SELECT file, '* item ' || doc_id AS text, transaction, type, category FROM f WHERE k > 2""",
         "g4_uppercase": """
-            WITH l AS (SELECT source AS file, doc_id AS line_no, n_chars % 3 AS k FROM documents),
+            WITH l AS (SELECT concat_ws('/', source, (doc_id // 50)::VARCHAR) AS file, doc_id AS line_no, n_chars % 3 AS k FROM documents),
                  p AS (SELECT *, lag(k) OVER (PARTITION BY file ORDER BY line_no) AS before FROM l),
                  j AS (SELECT *, k < 2 AND coalesce(before = 0, false) AS joined FROM p),
                  c AS (SELECT *, sum(CASE WHEN joined THEN 0 ELSE 1 END) OVER (PARTITION BY file ORDER BY line_no) AS chain FROM j),
