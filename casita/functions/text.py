@@ -17,7 +17,7 @@ MOJIBAKE = (("√±", "ñ"), ("√ë", "Ñ"), ("Ã±", "ñ"), ("Ã‘", "Ñ"), (
 _TYPOGRAPHIC = "‘’‚“”„–—−…•"
 _ASCII = "'''\"\"\"---.*"
 _ZERO_WIDTH = "​‌‍⁠﻿"
-_SPACES = "   　"
+_SPACES = "\u00a0\u2007\u202f\u3000"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

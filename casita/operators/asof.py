@@ -52,3 +52,32 @@ def resolve_rates(rows: DataFrame, quotes: DataFrame, row_id: str, base: str, qu
         usable = a.rate.isNotNull() & b.rate.isNotNull() & (F.col(base) != p) & (F.col(quote) != p)
         found = found.when(usable, pick(a.rate * b.rate, "pivot", F.greatest(a.date, b.date)))
     return rows.join(got, row_id, "left").withColumn("__x", found).select(*rows.columns, "__x.rate", "__x.method", "__x.rate_date")
+
+
+# Digits after the point that a currency has; two for any other.
+MINOR_UNITS = {"USD": 2, "EUR": 2, "HNL": 2}
+
+
+def enrich_prices(rows: DataFrame, quotes: DataFrame, row_id: str, price: str = "price", currency: str = "currency", at: str = "date", to: str = "USD", pivots: tuple[str, ...] = ("USD",), on_missing: str = "empty") -> DataFrame:
+    """Rows with std_price (half up to the currency's smallest unit), std_currency, fx_rate_used, fx_base_date, fx_pair,
+    fx_method and fx_source, the last from the quotes' `source` if they have one and the rate is direct. Rows without
+    price, currency, date or rate have nulls, or are an error on request."""
+    own = rows.withColumn("__to", F.lit(to))
+    complete = F.col(price).isNotNull() & F.col(currency).isNotNull() & F.col(at).isNotNull()
+    got = resolve_rates(own.where(complete).select(row_id, F.col(currency).alias("__from"), "__to", F.col(at).alias("__at")), quotes, row_id, "__from", "__to", "__at", pivots)
+    if "source" in quotes.columns:
+        said = quotes.groupBy(F.col("base").alias("s_base"), F.col("quote").alias("s_quote"), F.col("date").alias("s_date")).agg(F.max(F.struct("rate", "source")).alias("s"))
+        got = got.join(said, (F.col("__from") == F.col("s_base")) & (F.col("__to") == F.col("s_quote")) & (F.col("rate_date") == F.col("s_date")) & (F.col("method") == "direct"), "left").withColumn("source", F.col("s.source"))
+    else:
+        got = got.withColumn("source", F.lit(None).cast("string"))
+    value = (F.col(price).cast("decimal(28,10)") * F.col("rate").cast("decimal(28,10)")).alias("v")
+    out = own.drop("__to").join(got.select(F.col(row_id).alias("__id"), "rate", "method", "rate_date", "source"), F.col(row_id) == F.col("__id"), "left")
+    if on_missing == "error":
+        missing = F.raise_error(F.concat(F.lit("no rate for row "), F.col(row_id).cast("string"))).cast("double")
+        out = out.withColumn("rate", F.when(complete, F.coalesce("rate", missing)))
+    found = F.col("rate").isNotNull()
+    new = {
+        "std_price": F.round(value, MINOR_UNITS.get(to.upper(), 2)).cast("double"), "std_currency": F.when(found, to), "fx_rate_used": F.col("rate"), "fx_base_date": F.col("rate_date"),
+        "fx_pair": F.when(found, F.concat(F.col(currency), F.lit(f"/{to}"))), "fx_method": F.col("method"), "fx_source": F.col("source"),
+    }
+    return out.withColumns(new).select(*rows.columns, *new)

@@ -1,11 +1,11 @@
-"""Lookup joins: validated rates, last-wins dictionaries, mnemonics, containment."""
+"""Lookup joins: validated rates, last-wins dictionaries, mnemonics, containment, ids by configuration."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casita.functions.text import half_even
+from casita.functions.text import date, fold_lower, half_even, squeeze
 
 
 def unique_by(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -69,3 +69,35 @@ def contained_alias(texts: DataFrame, text: str, aliases: DataFrame) -> DataFram
     each = rows.select(F.col(text).alias("__text"), "__id", F.explode(F.array_distinct(runs)).alias("run")).distinct()
     hit = each.join(aliases.select("ord", key.alias("run")).where("run <> ''"), "run").groupBy("__text").agg(F.min("ord").alias("alias_ord"))
     return rows.drop("__id", "__w").join(hit, F.col(text) == F.col("__text"), "left").drop("__text")
+
+
+def agency_mnemonic(df: DataFrame, agency: str, configs: DataFrame, stop: tuple[str, ...] = ("inmobiliaria", "agencia", "agency")) -> DataFrame:
+    """Df with `mnemonic`, upper, of the configuration (name, mnemonic) of its agency; an error names agencies without one.
+
+    Names are compared without accents, lower, with single spaces, with and without "agency_" or "cfg_" before them and
+    with hyphens as spaces; then without the words in stop. Of configurations with one key the first by name counts.
+    """
+    key = lambda c: squeeze(fold_lower(c))
+    name = F.lower("name")
+    forms = F.array(name, F.regexp_replace(name, "^agency_", ""), F.regexp_replace(name, "^cfg_", ""), F.replace(name, F.lit("-"), F.lit(" ")))
+    known = configs.select("name", "mnemonic", F.explode(F.array_distinct(F.transform(forms, key))).alias("key")).groupBy("key").agg(F.min_by(F.upper(F.trim("mnemonic")), "name").alias("m"))
+    rows = df.withColumn("__key", key(F.coalesce(F.col(agency).cast("string"), F.lit(""))))
+    short = key(F.regexp_replace("__key", r"\b(?:" + "|".join(stop) + r")\b", " "))
+    first = known.select(F.col("key").alias("__k1"), F.col("m").alias("__m1"))
+    second = known.select(F.col("key").alias("__k2"), F.col("m").alias("__m2"))
+    out = rows.withColumn("__short", short).join(first, F.col("__key") == F.col("__k1"), "left").join(second, F.col("__short") == F.col("__k2"), "left")
+    found = F.coalesce("__m1", "__m2")
+    missing = F.raise_error(F.concat(F.lit("no configuration for agency "), F.col("__key")))
+    return out.withColumn("mnemonic", F.coalesce(found, missing.cast("string"))).drop("__key", "__short", "__k1", "__k2", "__m1", "__m2")
+
+
+def sequence_uid(df: DataFrame, agency: str, day: str, number: str, configs: DataFrame, name: str = "listing_uid") -> DataFrame:
+    """T4: df with the id MNEMONIC-yyyymmdd-number, from a number that the rows bring, first; empty without a number. A
+    table that has the id already stays as it is; a date that cannot be read is an error."""
+    if name in df.columns:
+        return df
+    rows = agency_mnemonic(df, agency, configs)
+    own = F.trim(F.coalesce(F.col(number).cast("string"), F.lit("")))
+    text = F.date_format(date(F.col(day).cast("string")), "yyyyMMdd")
+    text = F.coalesce(text, F.raise_error(F.concat(F.lit("no date: "), F.coalesce(F.col(day).cast("string"), F.lit("null")))).cast("string"))
+    return rows.select(F.when(own == "", "").otherwise(F.concat_ws("-", "mnemonic", text, own)).alias(name), *df.columns)

@@ -1,4 +1,4 @@
-"""Lines to listings (G1 to G16, X15): marks on lines, then blocks by a running count of starts within a file.
+"""Lines to listings (G1 to G11, G13 to G16, G18, G19, X15): marks on lines, then blocks by a running count of starts within a file.
 
 Every segmenter marks headers and starts with built-in expressions; one window over a file's lines numbers the blocks and
 one aggregate joins them. A file is one issue, so its lines fit a task; files spread over the cluster. Order is carried
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casita.functions.listing import BATH_WORDS, BED_WORDS, strip_bullet
-from casita.functions.text import squeeze
+from casita.functions.text import let, squeeze
 
 HEADER = r"^\s*#"
 
@@ -85,6 +85,126 @@ def freeform_score(line: Column, prefixes: tuple[str, ...] = ()) -> Column:
     return score + point(F.trim(line).rlike(r"^[A-ZÁÉÍÓÚÜÑ][A-ZÁÉÍÓÚÜÑ\s.]{3,}$")) + point(line.rlike(r"^\s*[A-ZÁÉÍÓÚÜÑ]"))
 
 
+# Cues by name.
+CUES = {"CUE:DOT": ".", "CUE:COMMA": ",", "CUE:SEMICOLON": ";", "CUE:COLON": ":"}
+
+
+def decode_cue(cue: str) -> str:
+    """G6d: a cue by its name, or itself."""
+    found = CUES.get((cue or "").strip().upper(), cue)
+    if found not in CUES.values():
+        raise ValueError(f"no cue {cue!r}")
+    return found
+
+
+def with_starts(lines: DataFrame, marker: str = "*", exceptions: tuple[str, ...] = ()) -> DataFrame:
+    """Lines with `start` by the mode that a marker names: CUE:*, NUMBERED (#NUM, #NUMDOT), UPPERCASE, else literal."""
+    name = marker.strip().upper()
+    line = F.col("line")
+    if name == "UPPERCASE":
+        return with_uppercase_starts(lines, exceptions)
+    if name.startswith("CUE:"):
+        cue = decode_cue(name)
+        return lines.withColumn("start", cue_start(line, cue) if cue in ":;" else comma_or_dot_start(line))
+    return lines.withColumn("start", numbered_start(line) if name in ("NUMBERED", "#NUM", "#NUMDOT") else literal_start(line, marker.strip() or "*"))
+
+
+# A price, and heads that end in a colon or a dot.
+_PRICE = r"(?:\$|Lps\.?|L)\s*\d{1,3}(?:[.,]\d{3})*(?:[.,]\d+)?"
+_COLON_HEAD = r"(?:(?:Col\.|Res\.|Bo\.|Urb\.)\s+[A-ZÁÉÍÓÚÑ][^:]{1,50}|[A-ZÁÉÍÓÚÑ][^:]{2,50})\s*:"
+_DOT_TITLE = r"(?<![\p{L}\p{N}_])[A-ZÁÉÍÓÚÜÑ]+(?:\s+[A-ZÁÉÍÓÚÜÑ]+)*\."
+
+
+def _cut_before(text: Column, pattern: str, when) -> Column:
+    """The text cut before the matches of a pattern for which when(what stands since the last cut, match, number) holds."""
+
+    def walk(x: Column) -> Column:
+        def step(state: Column, head: Column) -> Column:
+            now = F.concat(state.now, F.get(x.gaps, state.i))
+            cut = when(now, head, state.i)
+            return F.struct((state.i + 1).alias("i"), F.when(cut, head).otherwise(F.concat(now, head)).alias("now"), F.when(cut, F.array_append(state.out, now)).otherwise(state.out).alias("out"))
+
+        zero = F.struct(F.lit(0).alias("i"), F.lit("").alias("now"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(x.heads, zero, step, lambda s: F.array_append(s.out, F.concat(s.now, F.get(x.gaps, s.i))))
+
+    parts = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("heads"))
+    return F.filter(F.transform(let(parts, walk), lambda p: F.trim(p)), lambda p: p != "")
+
+
+def split_after_price(line: Column, cue: str = ":") -> Column:
+    """A line cut before each later head with a colon that follows a price; other cues cut nothing."""
+    t = F.trim(F.coalesce(line, F.lit("")))
+    return _cut_before(t, _COLON_HEAD, lambda now, head, i: now.rlike(_PRICE)) if cue == ":" else F.array(t)
+
+
+def split_titles(line: Column, exceptions: tuple[str, ...] = ()) -> Column:
+    """A run-on line cut before each later title in upper case that ends in a dot, unless it is an exception."""
+    known = [squeeze(F.upper(F.lit(e))) for e in exceptions]
+    title = lambda head: squeeze(F.regexp_replace(F.upper(head), r"\.$", ""))
+    wanted = lambda now, head, i: (i > 0) & (~title(head).isin(*known) if known else F.lit(True))
+    return _cut_before(F.trim(F.coalesce(line, F.lit(""))), _DOT_TITLE, wanted)
+
+
+def explode_lines(lines: DataFrame, pieces: Column) -> DataFrame:
+    """lines with each line replaced by its pieces (an array), numbered anew within a file."""
+    each = lines.withColumn("__pieces", pieces).select(*[c for c in lines.columns if c != "line"], F.posexplode("__pieces").alias("__k", "line"))
+    number = F.row_number().over(Window.partitionBy("file").orderBy("line_no", "__k")) - 1
+    return each.withColumn("__n", number).withColumn("line_no", F.col("__n")).drop("__n", "__k").select(*lines.columns)
+
+
+# Ends and starts of lines that belong together.
+_CURRENCY_TAIL = r"(?iu)(?:US\$|USD|DOLARES|DÓLARES|\$|LPS?\.?|HNL)\s*(?:['\"”])?\s*$"
+_PRICE_ONLY = r"(?i)^\s*(?:US\$|\$|L\.|LPS\.?|USD|HNL)?\s*\d{1,3}(?:[.,]\d{3})*(?:[.,]\d{2})?\s*\.?\s*$"
+_AREA = r"\d{1,4}(?:[.,]\d{3})*(?:[.,]\d{1,2})?\s*(?:m2|m²|mt2|mts2|mts|vrs2|vrs²|vrs|vr2|vr|varas?)(?![\w²])"
+_NUMBERED = r"^(\s*)\d{1,3}[.\-_–—]{1,2}\s*(?=[A-Za-zÁÉÍÓÚÜÑ#])"
+_INLINE_NUMBER = r"(?<![\d,])\b\d{1,3}\.\s*(?=[A-Za-zÁÉÍÓÚÜÑ#])"
+
+
+def _glued(lines: DataFrame, joins: Column, shown: Column) -> DataFrame:
+    """lines where each one that joins is added to the one before it, with a space."""
+    rows = lines.withColumn("__join", joins).withColumn("__shown", shown)
+    rows = rows.withColumn("__block", F.sum(F.when(F.col("__join"), 0).otherwise(1)).over(_by_file()))
+    rows = rows.groupBy("file", "__block").agg(F.array_sort(F.collect_list(F.struct("line_no", "__shown"))).alias("__rows"))
+    text = F.array_join(F.transform("__rows", lambda r: F.trim(r["__shown"])), " ")
+    whole = F.when(F.size("__rows") == 1, F.get("__rows", 0)["__shown"]).otherwise(text)
+    return rows.select("file", F.get("__rows", 0).line_no.alias("line_no"), whole.alias("line"))
+
+
+def masquerade_numbered(lines: DataFrame) -> DataFrame:
+    """Numbers such as 12. at a line's start or inside it become "* "; a price goes to the line whose end is a
+    currency, a line to the area before it, and an area to any line before it."""
+    line, before = F.col("line"), F.lag("line").over(_by_file())
+    after = lambda pattern: F.coalesce(before.rlike(pattern), F.lit(False))
+    numbered = line.rlike(_NUMBERED)
+    joins = (after(_CURRENCY_TAIL) & line.rlike(_PRICE_ONLY)) | (after(rf"(?i){_AREA}\s*[.,;:]?\s*$") & ~numbered) | (before.isNotNull() & line.rlike(rf"(?i)^\s*{_AREA}"))
+    shown = F.regexp_replace(F.regexp_replace(line, _NUMBERED, "$1* "), _INLINE_NUMBER, "* ")
+    return _glued(lines, joins, F.when(joins, line).otherwise(shown))
+
+
+def masquerade_freeform(lines: DataFrame, prefixes: tuple[str, ...] = (), threshold: int = 3) -> DataFrame:
+    """Lines that score as starts get "* "; the others, lone page numbers, amounts after a currency and what follows
+    an area are added to the line before; headers stand alone."""
+    line, before = F.col("line"), F.lag("line").over(_by_file())
+    header = line.rlike(HEADER)
+    after = lambda pattern: F.coalesce(before.rlike(pattern), F.lit(False))
+    starts = freeform_score(line, prefixes) >= threshold
+    amount = after(r"(?:US\$|\$|USD|HNL|L\.|Lps\.|LPS\.)\s*$") & line.rlike(r"^\s*\d")
+    area = after(r"(?iu)(?:m2|m²|vrs2?|vr2?)\s*[.,;:]?$") & ~F.ltrim(line).startswith("*")
+    joins = before.isNotNull() & ~header & (line.rlike(r"^\s*\d{1,3}\s*[.)]?\s*$") | amount | area | ~starts)
+    return _glued(lines, joins, F.when(~header & ~joins & starts, F.concat(F.lit("* "), F.ltrim(line))).otherwise(line))
+
+
+def masquerade(lines: DataFrame, kind: str, prefixes: tuple[str, ...] = (), threshold: int = 3, min_hits: int = 5, min_percent: int = 1) -> DataFrame:
+    """The files with hits enough (five; numbered also in 1 % of lines) masqueraded, the others as they are, and `used`."""
+    line = F.col("line")
+    hit = (line.rlike(_NUMBERED) | line.rlike(_INLINE_NUMBER)) if kind == "numbered" else freeform_score(line, prefixes) >= threshold
+    share = min_percent if kind == "numbered" else 0
+    gate = lines.groupBy("file").agg(F.sum(hit.cast("int")).alias("hits"), F.count("*").alias("n")).select("file", ((F.col("hits") >= min_hits) & (F.col("hits") * 100 >= F.col("n") * share)).alias("used"))
+    own = lines.join(gate, "file")
+    done = masquerade_numbered(own.where("used")) if kind == "numbered" else masquerade_freeform(own.where("used"), prefixes, threshold)
+    return done.withColumn("used", F.lit(True)).unionByName(own.where("NOT used").select("file", "line_no", "line", "used"))
+
+
 def with_ocr_starts(lines: DataFrame) -> DataFrame:
     """A symbol, an upper-case title with a colon, or a long line (over 30) after a short one (under 20) starts a listing."""
     w = _by_file()

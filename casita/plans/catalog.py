@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casita.plans import issues, joins, stats, texts
+from casita.plans import fields, issues, joins, stats, texts
 
-MODULES = (stats, joins, texts, issues)
+MODULES = (stats, joins, texts, fields, issues)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
