@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,15 +70,33 @@ def shared_dir(spark: SparkSession) -> str:
     return told
 
 
+#: Folder, below the application's, of the scratch tables that are written now.
+_scope: ContextVar[str] = ContextVar("scope", default="main")
+
+
+@contextmanager
+def scratch_scope(name: str) -> Iterator[None]:
+    """Scratch tables written inside go to a folder of this name, so that they can be deleted together."""
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+
+
+def _scratch_root(spark: SparkSession, scope: str) -> str:
+    return f"{shared_dir(spark)}/casita/{spark.sparkContext.applicationId}/{scope}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/casita/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark, _scope.get())}/{name}-{uuid.uuid4().hex}"
 
 
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """df written once to a table in the shared folder and read back: this cuts lineage and survives a lost executor.
 
-    The tables stay under <shared folder>/casita until clear_scratch().
+    The tables stay under <shared folder>/casita/<application>/<scope> until clear_scratch().
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -84,9 +104,9 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Deletes all scratch tables; only when no DataFrame that reads one is still to run."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/casita")
+def clear_scratch(spark: SparkSession, scope: str = "main") -> None:
+    """Deletes this application's scratch tables of a scope; only when no DataFrame that reads one is still to run."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark, scope))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
