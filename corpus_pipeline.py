@@ -3,26 +3,48 @@
 Quality rules, near-duplicates, benchmark decontamination, mixing to target weights, token shards. All stages but the
 last return the columns of documents; a document that a stage rejects goes, a document that the mix takes twice comes
 twice. The last returns the index that it reads back from its shards.
+
+A stage's result is written before the next stage is called. So each stage begins by deleting the scratch tables of the
+stages before it: the shared folder holds those of one stage at a time. One pipeline runs at a time in an application.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casita.llm import decontamination, mixing, quality, simhash, token_shards
-from casita.llm.common import packed, scratch_path, table
+from casita.llm.common import clear_scratch, packed, scratch_path, scratch_scope, table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _alone(stage: Stage) -> Stage:
+    """The stage with the scratch tables of those before it deleted."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        clear_scratch(spark, "pipeline")
+        with scratch_scope("pipeline"):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
 
 
 def _unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(f"doc.`{c}`").alias(c) for c in columns])
 
 
+@_alone
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
     return _unpacked(quality.quality(docs).where("kept"), docs.columns)
 
 
+@_alone
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component: the smallest doc_id, nulls last, then the least digest of the whole row.
 
@@ -34,16 +56,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _unpacked(one, docs.columns)
 
 
+@_alone
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_alone
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The occurrences that the mix takes, range-sorted by training time."""
     return _unpacked(mixing.training_order(mixing.plan(docs)), docs.columns)
 
 
+@_alone
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each row, read back from the shards."""
     return token_shards.token_index(docs.select("doc_id", "text"), scratch_path(spark, "shards"))
