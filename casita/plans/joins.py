@@ -214,6 +214,12 @@ def oracle_sql() -> dict[str, str]:
             WITH a(ord, alias) AS (VALUES (0, 'PUBLIC LICENSE'), (1, 'THE OF'), (2, 'IN THAT'), (3, 'DE LA'), (4, 'DER'), (5, 'ET'), (6, 'THE')),
                  t AS (SELECT item_id, ' ' || array_to_string([x for x in string_split_regex(upper(text), '[^\\p{L}\\p{N}]+') if x <> ''], ' ') || ' ' AS w FROM benchmark)
             SELECT item_id, (SELECT min(ord) FROM a WHERE contains(w, ' ' || alias || ' '))::INTEGER AS alias_ord FROM t""",
+        "j7_match_cascade": """
+            WITH n AS (SELECT DISTINCT CASE n_nationkey % 4 WHEN 0 THEN n_name WHEN 1 THEN left(n_name, length(n_name) - 1) WHEN 2 THEN 'Col. ' || n_name ELSE 'old ' || n_name END AS name FROM nation),
+                 g AS (SELECT n_nationkey AS gid, n_name FROM nation)
+            SELECT name, coalesce(e.gid, c.gid, o.gid) AS gid, CASE WHEN e.gid IS NOT NULL OR c.gid IS NOT NULL THEN 1.0 WHEN o.gid IS NOT NULL THEN 0.98 ELSE 0.0 END::DOUBLE AS confidence,
+                   CASE WHEN e.gid IS NOT NULL THEN 'exact' WHEN o.gid IS NOT NULL THEN 'alias_exact' WHEN c.gid IS NOT NULL THEN 'token_jaccard' ELSE 'none' END AS method
+            FROM n LEFT JOIN g e ON name = e.n_name LEFT JOIN g c ON name = 'Col. ' || c.n_name LEFT JOIN g o ON name = 'old ' || o.n_name AND o.gid % 8 = 3""",
         "j8_token_match": f"""
             WITH c AS (SELECT DISTINCT p_name AS raw, {tokens.format("p_name")} AS toks FROM part WHERE p_partkey % 100 = 0),
                  g AS (SELECT p_partkey AS gid, {tokens.format("p_name")} AS g_toks FROM part WHERE p_partkey % 100 <> 0),

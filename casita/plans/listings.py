@@ -81,7 +81,7 @@ def deduplicate(df: DataFrame, c: Context) -> StepResult:
     ym = N.year_month(F.col("date"))
     key = dedup.listing_key({n: F.col(n) for n in ("title", "neighborhood", "bedrooms", "bathrooms", "area_m2", "AT", "price", "transaction")}, ym)
     rows = df.withColumn("year_month", ym).withColumn("dedup_key", key)
-    rows = dedup.with_roles(rows, "dedup_key", [F.col("date").asc_nulls_last(), F.col("source_file"), F.col("listing_id")]).withColumnsRenamed({"group_id": "dedup_group_id", "role": "dedup_role"})
+    rows = dedup.with_roles(rows, "dedup_key", [F.col("date"), F.col("source_file"), F.col("listing_id")]).withColumnsRenamed({"group_id": "dedup_group_id", "role": "dedup_role"})
     first = dedup.first_by(rows, ["dedup_key", "source_file", "ingestion_id"], ["dedup_role", "listing_id"])
     return StepResult(first.where("dedup_role = 'CANONICAL'"), {"duplicates": first.where("dedup_role = 'DUPLICATE'")})
 

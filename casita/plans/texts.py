@@ -151,9 +151,15 @@ def g4_uppercase(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def g11_freeform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of advertisement lines, and files whose lines are numbered."""
+    """Scores and starts of lines of several kinds."""
     a = _advert(spark, sf_dir)
-    return a.select("p_partkey", segment.freeform_score(F.col("text"), ("col", "res")).alias("score"), segment.numbered_start(F.concat(F.col("p_size").cast("string"), F.lit(". "), F.col("text"))).alias("numbered"), segment.cue_start(F.concat(F.col("p_name"), F.lit(": "), F.col("text"))).alias("cue"), segment.comma_or_dot_start(F.col("text")).alias("comma"))
+    pick = lambda *x: F.get(F.array(*[F.lit(o) if isinstance(o, str) else o for o in x]), (F.col("p_partkey") % len(x)).cast("int"))
+    line = pick(F.col("text"), "VENTA DE CASAS BONITAS", "casa de 3 hab", "Tel. 2232-1234", "y con patio")
+    number = F.concat(F.col("p_size").cast("string"), pick(". ", ") ", "- ", " "), F.lit("Lomas"))
+    return a.select(
+        "p_partkey", segment.freeform_score(line, ("col", "res")).alias("score"), segment.numbered_start(number).alias("numbered"), segment.cue_start(F.concat(pick(F.col("p_name"), "$ 5 casa", "una casa que tiene un nombre muy largo", "12 casas"), F.lit(": "), F.col("text"))).alias("cue"),
+        segment.comma_or_dot_start(pick("Las Uvas, casa $ 5", "Las Uvas. Casa", "Col. Casa", "Lomas 1,200")).alias("comma"),
+    )
 
 
 def f14_property_type(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,6 +325,8 @@ def oracle_sql() -> dict[str, str]:
                  c AS (SELECT *, sum(CASE WHEN joined THEN 0 ELSE 1 END) OVER (PARTITION BY file ORDER BY line_no) AS chain FROM j),
                  r AS (SELECT *, row_number() OVER (PARTITION BY file, chain ORDER BY line_no) AS place FROM c)
             SELECT file, line_no, k < 2 AND NOT (joined AND place % 2 = 0) AS upper_start, k = 2 AND coalesce(before < 2, true) AS ocr_start FROM r""",
+        "g11_freeform": """
+            SELECT p_partkey, [7, 2, 1, 2, 0][(p_partkey % 5 + 1)::INTEGER] AS score, p_partkey % 4 < 2 AS numbered, p_partkey % 4 = 0 AS cue, p_partkey % 4 < 2 AS comma FROM part""",
         "f14_property_type": _score_sql(),
         "f16_transaction": decision,
         "t1_explode": """
