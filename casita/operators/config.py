@@ -1,4 +1,4 @@
-"""Configuration: coercion, flattening, column selection, merges and overrides."""
+"""Configuration: coercion, flattening, column selection, merges and overrides."""
 
 from __future__ import annotations
 

@@ -251,14 +251,17 @@ def header_context(text: Column, headers: list[dict], marker: str = "#") -> Colu
 
 def with_context(blocks: DataFrame, headers: list[dict]) -> DataFrame:
     """Listings with transaction, type and category of the headers above, each carried on by itself."""
-    w = Window.partitionBy("file").orderBy("block_no").rowsBetween(Window.unboundedPreceding, 0)
-    context = F.when(F.col("kind") == "header", header_context(F.col("text"), headers))
-    rows = blocks.withColumn("__context", context)
-    for name in ("transaction", "type", "category"):
-        rows = rows.withColumn(name, F.last(F.col("__context")[name], ignorenulls=True).over(w))
+    rows = blocks.withColumn("__context", F.when(F.col("kind") == "header", header_context(F.col("text"), headers)))
+    rows = carried(rows, ["file"], ["block_no"], {name: F.col("__context")[name] for name in ("transaction", "type", "category")})
     return rows.where("kind = 'listing'").drop("__context", "kind")
 
 
+def carried(df: DataFrame, by: list[str], order: list[str], values: dict[str, Column]) -> DataFrame:
+    """Df with each value carried forward within a group: the last one so far that is not null."""
+    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumns({name: F.last(v, ignorenulls=True).over(w) for name, v in values.items()})
+
+
 def unique_lines(lines: DataFrame, start: Column) -> DataFrame:
     """Distinct marked lines under each header; headers, then lines in order of text, lines under no header last."""
     w = _by_file().rowsBetween(Window.unboundedPreceding, 0)

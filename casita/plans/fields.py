@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from casita.functions import listing as X
 from casita.functions import text as N
 from casita.operators import asof, candidates, dedup, explode, lookup, rules, sanitize, segment
-from casita.sources.tables import table
+from casita.sources import files
+from casita.sources.tables import new_path, table
 
 
 def _pick(*options, by: str = "p_partkey"):
@@ -178,8 +179,55 @@ def j14_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("o_orderkey", "std_price", "std_currency", "fx_rate_used", "fx_base_date", "fx_pair", "fx_method", "fx_source")
 
 
+def s1_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts written as CSV with quotes and line breaks, read back alone and united by name."""
+    p = _parts(spark, sf_dir)
+    rows = p.select("p_partkey", F.concat("p_name", F.lit(', "so"\nñ')).alias("name"), "p_size")
+    one, two = f"{new_path(spark, 'one')}.csv", f"{new_path(spark, 'two')}.csv"
+    files.write_csv(rows, one, ["p_partkey", "name"])
+    files.write_csv(rows.withColumnRenamed("p_size", "size"), two, ["size", "p_partkey"])
+    both = files.read_csv_folder(spark, [one, two])
+    return both.groupBy(F.col("p_partkey").cast("int").alias("p_partkey")).agg(F.max("name").alias("name"), F.max(F.col("size").cast("int")).alias("size"), F.count("*").alias("n"), F.first(F.lit(files.read_table(spark, one).columns[0])).alias("head"))
+
+
+def k4_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4, K5, K7, K9: parts split by conditions and by year, lines, a summary, all read back."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    split, years, lines = new_path(spark, "split"), new_path(spark, "years"), new_path(spark, "lines")
+    files.write_split(o, {"low": F.col("o_totalprice") < 1000, "high": F.col("o_totalprice") > 100_000}, split)
+    files.write_years(o, F.year("o_orderdate"), [1995, 1996], years)
+    files.write_lines(o, "o_orderkey", lines)
+    total = files.summary_json(spark.read.text(lines), {"n": F.count("*")})
+    by_part = spark.read.parquet(split).groupBy(F.col("part").cast("string").alias("of")).agg(F.count("*").alias("n"))
+    by_year = spark.read.parquet(years).groupBy(F.col("year").cast("string").alias("of")).agg(F.count("*").alias("n"))
+    return by_part.unionByName(by_year).withColumn("lines", F.get_json_object(F.lit(total), "$.n").cast("long"))
+
+
+def k8_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: a log that grows by a row for each region, read back."""
+    path = new_path(spark, "log")
+    for r in table(spark, sf_dir, "region").orderBy("r_regionkey").collect():
+        files.append_log(spark, path, [{"step": r.r_name, "n": r.r_regionkey}], "step string, n int")
+    return spark.read.parquet(path)
+
+
+def s14_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and aliases, a row each."""
+    p = _parts(spark, sf_dir)
+    return files.alias_rows(p.withColumn("aliases", F.when(F.col("p_partkey") % 3 > 0, F.concat("up", F.lit(" | x, y")))), "p_partkey", "p_name", "aliases")
+
+
+def s19_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hand-made table as listings."""
+    p = _parts(spark, sf_dir)
+    rows = p.select(F.col("p_partkey").cast("string").alias("No"), F.concat(F.lit(" “"), "p_name", F.lit("” ")).alias("Title"), F.concat(F.lit("$ "), F.format_number("p_size", 0)).alias("Asked"), F.lit("Lps.").alias("Money"), F.lit("5/1/2010").alias("Day"))
+    got = files.typed_ingest(rows, {"No": "Listing ID", "Title": "title", "Asked": "price", "Money": "currency", "Day": "date", "Beds": "bedrooms"}, "ocr_manual", "v1")
+    return got.select(F.col("Listing ID").alias("listing"), "title", "price", "currency", "date", "bedrooms", "source_type", "ingestion_id", "pipeline_version")
+
+
 EVERY = (
     n7_candidates, x11e_match, x3c_prices, n14_cells, n27_keys, l1_lines, x9_keywords, f6_flags, g2_modes, g6c_splits, g10_masquerade, g11_masquerade, n33_rates, n33_listings, a12_counters, t4_sequence_uid, j14_enrich,
+    s1_files, k4_splits, k8_log, s14_aliases, s19_ingest,
 )
 
 
@@ -253,6 +301,17 @@ def oracle_sql() -> dict[str, str]:
         "t4_sequence_uid": """
             SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE upper(substr(n_name, 1, CASE WHEN n_nationkey % 2 = 0 THEN 3 ELSE 4 END)) || '-20100105-' || c_custkey END AS listing_uid
             FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+        "s1_files": """SELECT p_partkey, p_name || ', "so"' || chr(10) || 'ñ' AS name, p_size AS size, 2 AS n, 'p_partkey' AS head FROM part""",
+        "k4_splits": """
+            WITH s AS (SELECT CASE WHEN o_totalprice < 1000 THEN 'low' WHEN o_totalprice > 100000 THEN 'high' ELSE 'other' END AS part, year(o_orderdate) AS y FROM orders),
+                 c AS (SELECT part AS of, count(*) AS n FROM s GROUP BY 1 UNION ALL SELECT y::VARCHAR, count(*) FROM s WHERE y IN (1995, 1996) GROUP BY 1)
+            SELECT *, (SELECT count(*) FROM orders) AS lines FROM c""",
+        "k8_log": "SELECT r_name AS step, r_regionkey AS n FROM region",
+        "s14_aliases": """
+            SELECT p_partkey, p_name, unnest(CASE WHEN p_partkey % 3 > 0 THEN [NULL, upper(p_name), 'x', 'y'] ELSE [NULL] END) AS alias FROM part""",
+        "s19_ingest": """
+            SELECT p_partkey::VARCHAR AS listing, '"' || p_name || '"' AS title, p_size::DOUBLE AS price, 'HNL' AS currency, DATE '2010-01-05' AS date, NULL::INTEGER AS bedrooms, 'ocr_manual' AS source_type,
+                   substr(md5(p_partkey || '| “' || p_name || '” |$ ' || p_size || '|Lps.|5/1/2010'), 1, 10) AS ingestion_id, 'v1' AS pipeline_version FROM part""",
         "j14_enrich": """
             WITH q AS (SELECT o_orderdate::DATE AS date, count(*) / 8 AS rate FROM orders WHERE o_orderdate >= TIMESTAMP '1993-01-01' GROUP BY 1),
                  r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 > 0 THEN floor(o_totalprice) END AS price, o_orderkey % 3 = 0 AS own, o_orderdate::DATE AS day FROM orders),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casita.functions.text import hash_of, label_tokens, slug
-from casita.operators import dedup, fuzzy, lookup
+from casita.operators import dedup, fuzzy, lookup, segment
 from casita.operators.asof import asof, resolve_rates
 from casita.operators.rules import listed, with_causes
 from casita.sources.tables import table
@@ -94,7 +94,7 @@ def j7_match_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def j10_link_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier and customer names."""
+    """Supplier and customer names."""
     a = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("idx"), F.regexp_replace("s_name", "#0*", " ").alias("name"))
     b = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("idx"), F.regexp_replace(F.regexp_replace("c_name", "#0*", " "), "Customer", "Supplier").alias("name"))
     return fuzzy.link_records(a, b)
@@ -124,7 +124,7 @@ def u3_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def w3_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents by a digest of their text; the least doc_id is canonical."""
+    """Documents by a digest of their text; the least doc_id is canonical."""
     docs = table(spark, sf_dir, "documents").select("doc_id", hash_of([F.lower(F.trim("text")), F.col("lang")]).alias("dedup_key"))
     return dedup.with_roles(docs, "dedup_key", [F.col("doc_id")]).select("doc_id", "dedup_key", F.col("group_id").cast("long").alias("group_id"), "role")
 
@@ -148,10 +148,9 @@ def w5_child_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def w7_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last user turn before each turn, and the role before it."""
-    c = table(spark, sf_dir, "conversations")
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    last = F.last(F.when(F.col("role") == "user", F.col("turn")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return c.select("conv_id", "turn", last.alias("user_turn"), F.lag("role").over(w).alias("role_before"))
+    c = segment.carried(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], {"user_turn": F.when(F.col("role") == "user", F.col("turn"))})
+    before = F.lag("role").over(Window.partitionBy("conv_id").orderBy("turn"))
+    return c.select("conv_id", "turn", "user_turn", before.alias("role_before"))
 
 
 EVERY = (

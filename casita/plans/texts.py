@@ -102,7 +102,7 @@ def x5_rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x7_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X7, X8, N22, N23."""
+    """X7, X8, N23, X17, X20."""
     a = _advert(spark, sf_dir)
     a = a.withColumn("areas", X.areas(F.col("text")))
     got, dual = F.col("areas"), X.dual_areas(F.col("text"))
@@ -117,7 +117,7 @@ def x11_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def l4_line_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Marks on conversation lines."""
+    """Marks on conversation lines."""
     c = table(spark, sf_dir, "conversations")
     line = F.regexp_replace("text", r"\s+", " ")
     return c.select("conv_id", "turn", F.md5(X.mark_colon(F.concat(F.col("role"), F.lit(": "), line))).alias("colon"), F.md5(X.mark_numbered(F.concat(F.col("turn").cast("string"), F.lit(". "), line))).alias("numbered"), F.md5(X.mark_any(F.concat(F.lit("-- "), line))).alias("any"), F.md5(X.dot_to_colon(line, prefix=True)).alias("dot"))
@@ -180,7 +180,7 @@ def f16_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def t1_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several offers of one advertisement."""
+    """Several offers of one advertisement."""
     p = table(spark, sf_dir, "part")
     a, b = (F.format_number((F.col("p_retailprice") * k).cast("int"), 0) for k in (1, 2))
     notes = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("Torre Alfa: $ "), a, F.lit(" / "), b, F.lit("; Torre Beta: $ "), b)).otherwise(F.concat(F.lit("2, 3 hab en residencial Alfa por "), a, F.lit(", "), b, F.lit(" usd")))

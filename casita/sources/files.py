@@ -1,4 +1,4 @@
-"""Files in and out."""
+"""Files in and out."""
 
 from __future__ import annotations
 
