@@ -234,6 +234,28 @@ def place_code(x: Column) -> Column:
     return F.concat(part(0), part(1))
 
 
+def zone_text(x: Column) -> Column:
+    """A zone on one line; null is empty."""
+    return F.translate(F.trim(F.coalesce(x.cast("string"), F.lit(""))), "\r\n", "  ")
+
+
+# Repairs of scanned lines, in order.
+SCAN_REPAIRS = (
+    (r"\$\.", r"\$ "), (r"(?i)(Lps?|L)\.(\d)", "$1. $2"), (r"(?i)US\$(\d)", r"US\$ $1"), (r"(?i)\bbafios\b", "baños"), (r"(?i)\bbanos\b", "baños"), (r"(?i)\bbano\b", "baño"),
+    (r"(?i)\b(mts?2|mt2|m2)\b", "m²"), (r"(?i)\b(vr2|vrs2|v2)\b", "vrs²"), (r"(\$)(\d)", "$1 $2"), (r"(?i)(Lps?\.?|US\$)(\s*)(\d)", "$1 $3"),
+    ("\u2022", "*"), ("\u00ad", ""), ("[\u2018\u2019]", "'"), ("[\u201c\u201d]", '"'),
+)
+
+
+def scanned(x: Column) -> Column:
+    """Usual misreadings repaired, words joined over a line's end, single blanks within lines."""
+    t = F.coalesce(x, F.lit(""))
+    for pattern, good in SCAN_REPAIRS:
+        t = F.regexp_replace(t, pattern, good)
+    t = F.regexp_replace(F.regexp_replace(t, r"-\s*\n\s*", ""), r"[ \t]+", " ")
+    return F.regexp_replace(F.regexp_replace(t, r"\r\n?", "\n"), r"^\n+|\n+$", "")
+
+
 def web_text(x: Column) -> Column:
     """Tags, entities for spaces and pictographs off, single spaces."""
     bare = F.regexp_replace(F.regexp_replace(x, r"<[^>]*>", " "), r"&nbsp;|&#160;", " ")

@@ -1,4 +1,4 @@
-"""Configuration: coercion, flattening, column selection, merges and overrides."""
+"""Configuration: coercion, flattening, column selection, merges and overrides."""
 
 from __future__ import annotations
 
@@ -89,6 +89,19 @@ def infer_schema(configs: list[dict]) -> dict[str, str]:
     return {k: "|".join(sorted(v)) for k, v in sorted(seen.items())}
 
 
+def joined_columns(row: dict[str, Any], name: str, sep: str = ",") -> str | None:
+    """The values of name[0], name[1], ... of a flattened configuration, in order; nothing where there is none."""
+    found = sorted((int(m[1]), v) for k, v in row.items() if (m := re.search(rf"(?i)(?:^|\.){re.escape(name)}\[(\d+)\]$", k)) and v is not None)
+    return sep.join(str(int(v)) if isinstance(v, float) and v.is_integer() else str(v) for _, v in found) or None
+
+
+def symbols(config: dict, agency: str | None) -> list[str]:
+    """The marks of an agency's listings: its own, else the general ones, else the usual ones."""
+    own = (config.get("agencies") or {}).get((agency or "").strip().upper(), {})
+    marked = (own.get("listing_markers") or {}).get("symbols") or own.get("symbols")
+    return list(marked or config.get("listing_symbols") or config.get("symbols") or ["*", "•", ">"])
+
+
 def column_list(spec: str | list[str], *, read: Callable[[str], str] | None = None) -> list[str]:
     """A list, "a, b", a text file of names, or json:file:key.path."""
     if isinstance(spec, list):

@@ -262,6 +262,14 @@ def carried(df: DataFrame, by: list[str], order: list[str], values: dict[str, Co
     return df.withColumns({name: F.last(v, ignorenulls=True).over(w) for name, v in values.items()})
 
 
+def unique_headers(lines: DataFrame) -> DataFrame:
+    """Distinct headers (file, header) in order of their first line, compared in upper case, with their place."""
+    head = F.trim(F.regexp_replace("line", HEADER, ""))
+    rows = lines.where(F.col("line").rlike(HEADER)).groupBy("file", F.upper(head).alias("__key")).agg(F.min(F.struct("line_no", head.alias("header"))).alias("x"))
+    place = F.row_number().over(Window.partitionBy("file").orderBy("x.line_no")).alias("place")
+    return rows.select("file", "x.header", place)
+
+
 def unique_lines(lines: DataFrame, start: Column) -> DataFrame:
     """Distinct marked lines under each header; headers, then lines in order of text, lines under no header last."""
     w = _by_file().rowsBetween(Window.unboundedPreceding, 0)

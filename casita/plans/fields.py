@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casita.functions import listing as X
 from casita.functions import text as N
-from casita.operators import asof, candidates, dedup, explode, lookup, rules, sanitize, segment
+from casita.operators import asof, candidates, dedup, explode, fuzzy, lookup, rules, sanitize, segment, unmarked
 from casita.sources import files
 from casita.sources.tables import new_path, table
 
@@ -225,9 +225,31 @@ def s19_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("Listing ID").alias("listing"), "title", "price", "currency", "date", "bedrooms", "source_type", "ingestion_id", "pipeline_version")
 
 
+def g12_unmarked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings without marks, by gates; those without a price go."""
+    line = _pick("Res. Las Uvas casa amplia", "con patio y $ 1,200.00", "# VENTA", "area de 300 vrs2", "El Hatillo Real lote Lps. 900", "300 m2 de patio", "10 de Septiembre, casa sin precio")
+    got = unmarked.unmarked_listings(_lines(spark, sf_dir, line).drop("p_partkey"))
+    return got.select("file", F.col("block_no").cast("long").alias("block_no"), "kind", "text", F.array_join(F.transform("line_numbers", lambda n: n.cast("string")), ",").alias("lines"), "change")
+
+
+def u5_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct headers of a file in order."""
+    lines = _lines(spark, sf_dir, F.concat(F.lit("# "), _pick("Venta", "VENTA", "Lotes", "alquiler"))).drop("p_partkey")
+    return segment.unique_headers(lines).select("file", "header", F.col("place").cast("long").alias("place"))
+
+
+def g21_scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G21, K11, M4, N37."""
+    p = _parts(spark, sf_dir)
+    text = F.concat(F.lit("Casa de 3 bafios, 200 vr2 y dos ba-\n  nos US$5 \u2022 "), "p_name", F.lit("\r\n"))
+    tokens = lambda *w: F.array(*[F.lit(x) for x in w])
+    score = fuzzy.fuzzy_token_score(tokens("OBELISCO", "NORTE"), F.when(F.col("p_size") % 2 == 0, tokens("OBELISCOS", "NORTE")).otherwise(tokens("SUR")))
+    return p.select("p_partkey", N.scanned(text).alias("scanned"), N.zone_text(F.concat(F.lit(" zona\n"), "p_name")).alias("zone"), files.agency_of(F.concat(F.lit("output/"), "p_name", F.lit("/2010/x.csv"))).alias("agency"), F.round(score, 9).alias("score"))
+
+
 EVERY = (
     n7_candidates, x11e_match, x3c_prices, n14_cells, n27_keys, l1_lines, x9_keywords, f6_flags, g2_modes, g6c_splits, g10_masquerade, g11_masquerade, n33_rates, n33_listings, a12_counters, t4_sequence_uid, j14_enrich,
-    s1_files, k4_splits, k8_log, s14_aliases, s19_ingest,
+    g12_unmarked, u5_headers, g21_scanned, s1_files, k4_splits, k8_log, s14_aliases, s19_ingest,
 )
 
 
@@ -301,6 +323,21 @@ def oracle_sql() -> dict[str, str]:
         "t4_sequence_uid": """
             SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE upper(substr(n_name, 1, CASE WHEN n_nationkey % 2 = 0 THEN 3 ELSE 4 END)) || '-20100105-' || c_custkey END AS listing_uid
             FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+        "g12_unmarked": """
+            WITH l AS (SELECT p_partkey // 16 AS file, (p_partkey % 16)::INTEGER AS n, p_partkey % 7 AS k,
+                              ['Res. Las Uvas casa amplia', 'con patio y $ 1,200.00', '# VENTA', 'area de 300 vrs2', 'El Hatillo Real lote Lps. 900', '300 m2 de patio', '10 de Septiembre, casa sin precio'][(p_partkey % 7 + 1)::INTEGER] AS line FROM part),
+                 h AS (SELECT *, sum((k = 2)::INTEGER) OVER (PARTITION BY file ORDER BY n) AS section FROM l),
+                 o AS (SELECT *, sum((k IN (0, 4, 6))::INTEGER) OVER (PARTITION BY file, section ORDER BY n) AS own FROM h),
+                 b AS (SELECT *, sum((k IN (0, 2, 4, 6))::INTEGER) OVER (PARTITION BY file ORDER BY n) AS block FROM o WHERE k = 2 OR own > 0),
+                 g AS (SELECT file, block, min(n) AS first, arg_min(k, n) AS k, bool_or(k IN (1, 4)) AS priced, string_agg(line, ' ' ORDER BY n) AS text, string_agg(n::VARCHAR, ',' ORDER BY n) AS lines, count(*) AS c FROM b GROUP BY 1, 2)
+            SELECT file, row_number() OVER (PARTITION BY file ORDER BY block) AS block_no, CASE WHEN k = 2 THEN 'header' ELSE 'listing' END AS kind, text, lines,
+                   CASE WHEN k = 2 THEN 'header_verbatim' WHEN c > 1 THEN 'glued_lines' ELSE 'whitespace_collapsed_only' END AS change FROM g WHERE k = 2 OR priced""",
+        "u5_headers": """
+            WITH l AS (SELECT p_partkey // 16 AS file, p_partkey AS n, ['Venta', 'VENTA', 'Lotes', 'alquiler'][(p_partkey % 4 + 1)::INTEGER] AS h FROM part),
+                 f AS (SELECT file, min(n) AS n, arg_min(h, n) AS header FROM l GROUP BY file, upper(h))
+            SELECT file, header, row_number() OVER (PARTITION BY file ORDER BY n) AS place FROM f""",
+        "g21_scanned": """
+            SELECT p_partkey, 'Casa de 3 baños, 200 vrs² y dos banos US$ 5 * ' || p_name AS scanned, 'zona ' || p_name AS zone, p_name AS agency, CASE WHEN p_size % 2 = 0 THEN round(2 / 2, 9) ELSE 0 END::DOUBLE AS score FROM part""",
         "s1_files": """SELECT p_partkey, p_name || ', "so"' || chr(10) || 'ñ' AS name, p_size AS size, 2 AS n, 'p_partkey' AS head FROM part""",
         "k4_splits": """
             WITH s AS (SELECT CASE WHEN o_totalprice < 1000 THEN 'low' WHEN o_totalprice > 100000 THEN 'high' ELSE 'other' END AS part, year(o_orderdate) AS y FROM orders),

@@ -1,4 +1,4 @@
-"""Files in and out."""
+"""Files in and out."""
 
 from __future__ import annotations
 
@@ -97,6 +97,28 @@ def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> Non
     (df.select(*columns) if columns else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+def write_pair(df: DataFrame, path: str) -> None:
+    """K3: the rows as Parquet and as CSV, path.parquet and path.csv; without rows both still have the columns."""
+    df.write.mode("overwrite").parquet(f"{path}.parquet")
+    write_csv(df.sparkSession.read.schema(df.schema).parquet(f"{path}.parquet"), f"{path}.csv")
+
+
+def output_path(root: str, year: str, month: str | None = None, day: str | None = None, agency: str | None = None) -> str:
+    """<root>/<year>/<agency or merged>_<yyyy[mm[dd]]>.csv."""
+    return f"{root}/{year}/{agency or 'merged'}_{year}{month or ''}{day or ''}.csv"
+
+
+def agency_of(path: Column) -> Column:
+    """The agency's folder in <agency>/<year>/<file>."""
+    return F.coalesce(F.get(F.reverse(F.split(F.translate(path, "\\", "/"), "/")), 2), F.lit(""))
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Web pages of a folder and those below it, as (url, html)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{html,htm}").load(path)
+    return files.select(F.col("path").alias("url"), decoded("content").alias("html"))
+
+
 def write_split(df: DataFrame, parts: dict[str, Column], path: str) -> None:
     """K4: one partitioned write: each row goes to the first part whose condition holds, under path/part=<name>."""
     name = F.coalesce(*[F.when(c, F.lit(n)) for n, c in parts.items()], F.lit("other"))
