@@ -6,6 +6,7 @@ read by a pandas function over Arrow batches with the standard library's parser.
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -71,6 +72,95 @@ def visible_text(html: pd.Series) -> pd.Series:
     return html.map(text_of)
 
 
+def _selector(text: str) -> list[tuple[str, str, frozenset[str]]]:
+    """Steps of a selector such as div.price span or #main a: (tag, id, classes), outermost first; any tag where none is named."""
+    steps = []
+    for step in text.split():
+        m = re.fullmatch(r"([\w-]*)((?:[.#][\w-]+)*)", step)
+        if not m:
+            raise ValueError(f"no selector {text!r}")
+        marks = re.findall(r"([.#])([\w-]+)", m[2])
+        steps.append((m[1].lower(), next((v for k, v in marks if k == "#"), ""), frozenset(v for k, v in marks if k == ".")))
+    return steps
+
+
+_VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
+
+
+class _Selected(HTMLParser):
+    """The text, or an attribute, of the first element that each selector finds."""
+
+    def __init__(self, fields: dict[str, str]) -> None:
+        super().__init__(convert_charrefs=True)
+        #: name: steps, attribute
+        self.fields = {name: (_selector(s.split("@")[0]), s.partition("@")[2]) for name, s in fields.items()}
+        self.open: list[tuple[str, str, frozenset[str]]] = []
+        self.reading: dict[str, int] = {}
+        self.found: dict[str, str] = {}
+
+    def _fits(self, steps: list, element: tuple) -> bool:
+        is_ = lambda want, have: want[0] in ("", have[0]) and want[1] in ("", have[1]) and want[2] <= have[2]
+        if not is_(steps[-1], element):
+            return False
+        left = len(steps) - 2
+        for outer in reversed(self.open):
+            if left >= 0 and is_(steps[left], outer):
+                left -= 1
+        return left < 0
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        own = dict(attrs)
+        element = (tag, own.get("id") or "", frozenset((own.get("class") or "").split()))
+        for name, (steps, attribute) in self.fields.items():
+            if name not in self.found and self._fits(steps, element):
+                self.found[name] = (own.get(attribute) or "") if attribute else ""
+                if not attribute and tag not in _VOID:
+                    self.reading[name] = len(self.open)
+        if tag not in _VOID:
+            self.open.append(element)
+
+    def handle_endtag(self, tag: str) -> None:
+        depth = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
+        if depth is not None:
+            del self.open[depth:]
+            self.reading = {n: d for n, d in self.reading.items() if d < depth}
+
+    def handle_data(self, data: str) -> None:
+        for name in self.reading:
+            self.found[name] += data
+
+
+def selected(html: Column, fields: dict[str, str]) -> Column:
+    """H1: a map of the fields found: by name, the text of the first element that a selector (tag, .class, #id, one inside
+    the other) finds, or with @ its attribute; single spaces; fields without a text are left out."""
+
+    @F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
+    def find(pages: pd.Series) -> pd.Series:
+        def one(page: str | None) -> dict[str, str]:
+            parser = _Selected(fields)
+            parser.feed(page or "")
+            parser.close()
+            return {n: x for n, v in parser.found.items() if (x := " ".join(v.split()))}
+
+        return pages.map(one)
+
+    return find(html)
+
+
+def page_line(html: Column, url: Column, fields: dict[str, str]) -> Column:
+    """H1: '* location: name: value, …' of the selected fields; the location is the field of that name; the number in the
+    address is the property's unless a field property_id finds one."""
+    number = F.nullif(F.regexp_extract(url, r"(\d{2,})(?!.*\d)", 1), F.lit(""))
+
+    def line(found: Column) -> Column:
+        said = [(n, F.try_element_at(found, F.lit(n))) for n in fields if n not in ("location", "property_id")]
+        parts = [("property_id", F.coalesce(F.try_element_at(found, F.lit("property_id")), number)), ("url", url), *said]
+        shown = F.concat_ws(", ", *[F.when(v.isNotNull(), F.concat(F.lit(f"{n}: "), v)) for n, v in parts])
+        return F.concat(F.lit("* "), F.coalesce(F.try_element_at(found, F.lit("location")), F.lit("Unknown location")), F.lit(": "), shown)
+
+    return line(selected(html, fields))
+
+
 def listing_line(html: Column, fields: dict[str, str]) -> Column:
     """H1: '* place: Label: value, …' from JSON-LD fields (label to JSON path), the title as the place."""
     block = F.get(json_ld(html), 0)

@@ -199,9 +199,17 @@ def h1_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def h1_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1: fields of pages by selectors."""
+    p = table(spark, sf_dir, "pages")
+    found = html.selected(F.col("html"), {"title": "article h1", "first": "nav ul a@href", "ad": "div.ad"})
+    got = p.withColumn("x", found)
+    return got.select("page_id", F.col("x")["title"].alias("title"), F.col("x")["first"].alias("first"), F.col("x")["ad"].alias("ad"))
+
+
 EVERY = (
     n1_fold, n4_join_key, n5_mojibake, n6_preclean, n11_tokens, n13_remove_words, n17_dates, n20_numbers, x3_price, x5_rooms, x7_areas, x11_places, l4_line_markers, g1_listings, g15_context, g4_uppercase,
-    g11_freeform, f14_property_type, f16_transaction, t1_explode, h1_pages, h1_visible_text,
+    g11_freeform, f14_property_type, f16_transaction, t1_explode, h1_pages, h1_fields, h1_visible_text,
 )
 
 
@@ -257,6 +265,7 @@ def oracle_sql() -> dict[str, str]:
     repaired = "replace(replace(text, 'ñ', 'Ã±'), 'ó', 'Ã³')"
     for bad, good in (("√±", "ñ"), ("√ë", "Ñ"), ("Ã±", "ñ"), ("Ã‘", "Ñ"), ("Ã¡", "á"), ("Ã©", "é"), ("Ãí", "í"), ("Ã³", "ó"), ("Ãú", "ú"), ("ÃÁ", "Á"), ("Ã‰", "É"), ("ÃÍ", "Í"), ("Ã“", "Ó"), ("Ãš", "Ú"), ("Â", "")):
         repaired = f"replace({repaired}, '{bad}', '{good}')"
+    plain = lambda x: f"nullif(trim(regexp_replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '\\s+', ' ', 'g')), '')"
     decision = """
         WITH l AS (SELECT l_orderkey, l_linenumber, ['HOUSE', 'APARTMENT', 'LAND'][(l_suppkey % 3 + 1)::INTEGER] AS k, CASE l_returnflag WHEN 'R' THEN 'SALE' WHEN 'A' THEN 'RENT' END AS said,
                           ['SALE', 'RENT', NULL, NULL, NULL][(l_partkey % 5 + 1)::INTEGER] AS noted, CASE WHEN l_linenumber <> 7 THEN l_extendedprice / 4 END AS price FROM lineitem),
@@ -339,6 +348,9 @@ def oracle_sql() -> dict[str, str]:
                  r AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY replace(replace(raw_price, ' ', ''), ',', ''), child_bedrooms, neighborhood)::INTEGER AS child_idx,
                               count(*) OVER (PARTITION BY p_partkey)::INTEGER AS children_count FROM c)
             SELECT p_partkey, child_idx, children_count, child_idx || '/' || children_count AS child_fraction, neighborhood, child_bedrooms, raw_price FROM r""",
+        "h1_fields": f"""
+            WITH p AS (SELECT page_id, regexp_extract(html, '(?s)<article>.*?<h1>(.*?)</h1>', 1) AS title, regexp_extract(html, '(?s)<nav>.*?<a href="([^"]*)"', 1) AS first, regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1) AS ad FROM pages)
+            SELECT page_id, {plain('title')} AS title, {plain('first')} AS first, {plain('ad')} AS ad FROM p""",
         "h1_pages": """
             SELECT page_id, nullif(trim(regexp_replace(replace(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]*>', ' ', 'g'), '&nbsp;|&#160;', ' ', 'g'), '&amp;', '&'), '\\s+', ' ', 'g')), '') AS title,
                    len(regexp_extract_all(html, '(?is)<script[^>]*application/ld\\+json[^>]*>'))::INTEGER AS n_json_ld, length(html) AS n_chars FROM pages""",
