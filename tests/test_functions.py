@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casita.functions import listing as X
 from casita.functions import text as N
-from casita.operators import aggregate, config, dedup, explode, rules, segment
+from casita.operators import aggregate, candidates, config, dedup, explode, fuzzy, lookup, rules, segment, unmarked
 
 
 def run(spark, f, values, kind="string"):
@@ -112,3 +112,57 @@ def test_config():
     assert config.column_list("a, b") == ["a", "b"]
     assert config.guess_header("＃ALQUILER DE CASAS")["transaction"] == "Rent"
     assert config.mnemonics([{"agency": "Acme", "nemonic": " acm"}]) == {"Acme": "acm"}
+
+
+def test_long_cells_do_not_recurse(spark):
+    """Cells of 100,000 characters pass every pattern that reads up to a mark."""
+    long = "Colonia " + "x y" * 33_000
+    df = spark.createDataFrame([(long,), (long + " $ 5 resto",)], "v string")
+    got = df.select(
+        F.length(N.preclean_place(F.col("v"))).alias("a"), F.length(X.before_currency(F.col("v"))).alias("b"), F.length(X.place(F.col("v"), "before_currency", span=200_000)).alias("c"),
+        F.length(X.colon_after_upper(F.upper("v"))).alias("d"), F.length(X.colon_before_currency(F.col("v"))).alias("e"),
+    ).collect()
+    assert [r.b for r in got] == [len(long)] * 2 and all(r.a > 90_000 for r in got) and got[1].e > got[0].e
+
+
+def test_numbers_by_their_separators(spark):
+    want = {"1,234.5": 1234.5, "1.234,5": 1234.5, "12,": 12.0, "1.234.56": 1234.56, "1.234.5678": 12345678.0, "12.500": 12500.0, "12.50": 12.5, "1,2,3": 123.0, "(5": -5.0, "(5)": None, "- 7": -7.0, "1 200,50": 1200.5, "x": None}
+    assert run(spark, X.parse_number, list(want)) == list(want.values())
+    other = {"1,234": 1234.0, "1,2,3": None, "12.50": 12.5, "1.234.567": 1234567.0, "5": 5.0, "": None}
+    assert run(spark, X.locale_number, list(other)) == list(other.values())
+    plain = {"45,000": 45.0, "45.000": 45.0, "45,000.50": 45000.5, "1.2.3": 123.0, None: None}
+    assert run(spark, X.price_number, list(plain)) == list(plain.values())
+
+
+def test_roles_of_equal_rows(spark):
+    """Of rows equal in all columns one is canonical; rows without a date come last."""
+    rows = [("k", None, 1), ("k", "2010", 2), ("k", "2010", 2), ("j", "2011", 3), (None, "2012", 4)]
+    df = spark.createDataFrame(rows, "key string, day string, n int")
+    got = sorted(((r.key or "", r.day or "", r.n, r.group_id, r.role) for r in dedup.with_roles(df, "key", [F.col("day"), F.col("n")]).collect()))
+    assert [(k, d, n, role) for k, d, n, _, role in got] == [("", "2012", 4, "CANONICAL"), ("j", "2011", 3, "CANONICAL"), ("k", "", 1, "DUPLICATE"), ("k", "2010", 2, "CANONICAL"), ("k", "2010", 2, "DUPLICATE")]
+    assert len({(k, g) for k, _, _, g, _ in got}) == 3
+
+
+def test_long_aliases_and_linkage_in_both_directions(spark):
+    texts = spark.createDataFrame([("casa en residencial las lomas del norte alto, piso 2",), ("nada",)], "t string")
+    aliases = spark.createDataFrame([(0, "las lomas del norte alto"), (1, "nada mas")], "ord int, alias string")
+    assert {r.t[:4]: r.alias_ord for r in lookup.contained_alias(texts, "t", aliases).collect()} == {"casa": 0, "nada": None}
+    a = spark.createDataFrame([(0, "LOMAS VERDES"), (1, "JARDIN CENTRAL")], "idx int, name string")
+    b = spark.createDataFrame([(0, "VERDES LOMAS"), (1, "CENTRAL JARDIN"), (2, "OTRA")], "idx int, name string")
+    got = {(r.a_name, r.b_name): r.decision for r in fuzzy.link_records(a, b).collect()}
+    assert got[("LOMAS VERDES", "VERDES LOMAS")] == "auto" and got[(None, "OTRA")] == "no_match"
+
+
+def test_places_by_strategy_catalog_and_heads(spark):
+    catalog = [("Lomas del Guijarro", ["guijarro"]), ("Palmira", [])]
+    f = lambda c: candidates.match_place(c, catalog)
+    assert run(spark, f, ["apto en El Guijarro, $ 5", "PALMIRA: casa", "bonita Col. Miramonte", "casa", None]) == ["LOMAS DEL GUIJARRO", "PALMIRA", "COL. MIRAMONTE", "", ""]
+
+
+def test_masquerade_and_unmarked_lines(spark):
+    lines = spark.createDataFrame([("f", i, x) for i, x in enumerate(["orphan", "# VENTA", "Res. Las Uvas, casa", "Lps. 5,000", "$ 7", "Palmira Norte sin precio", "# RENTA", "y lote a $ 5 en Miramar"])], "file string, line_no int, line string")
+    got = [(r.kind, r.text, r.line_numbers) for r in unmarked.unmarked_listings(lines).orderBy("block_no").collect()]
+    assert got == [("header", "# VENTA", [1]), ("listing", "Res. Las Uvas, casa Lps. 5,000 $ 7", [2, 3, 4]), ("header", "# RENTA", [6]), ("listing", "y lote a $ 5 en Miramar", [7])]
+    assert segment.decode_cue("cue:comma") == "," and segment.decode_cue(":") == ":"
+    with pytest.raises(ValueError):
+        segment.decode_cue("CUE:X")
