@@ -2,7 +2,8 @@
 
 A text is cut into sentences (after . ! ? and at line breaks; a sentence of over 40 words is cut further after words whose
 hash says so, wherever it begins, so that equal stretches are cut alike). From every sentence starts one run, and at every sentence ends one:
-at least `sentences` = 2 consecutive sentences, and as many more as it takes to reach `min_words` = 15 words. So every
+at least `sentences` = 2 consecutive sentences, and as many more as it takes to reach `min_words` = 38 words (about the 50
+tokens that are usual for exact substrings; shorter repeats are mostly stock phrases). So every
 sentence of a repeated passage of that size lies in a run inside the passage, up to its short last ones. A whole text of
 several sentences but fewer words is one run, which only such texts share. Runs are hashed (128 bits, white space made
 single) and joined over all documents. The first occurrence of a run is the one with the smallest doc_id, then
@@ -42,7 +43,7 @@ _NEXT_WORD = re.compile(r"\S+\s*")
 @dataclass(frozen=True)
 class Spans:
     sentences: int = 2
-    min_words: int = 15
+    min_words: int = 38
 
 
 def sentences(text: str) -> list[tuple[int, int, str, int]]:

@@ -7,6 +7,10 @@ from casita.llm.queries import op6_sentence_spans
 from casita.llm.sentence_spans import Spans, remove_repeats, sentences
 
 
+#: Short runs, so that small texts have some.
+SHORT = Spans(min_words=15)
+
+
 def plain_sentences(text):
     """Places between sentences found character by character; long ones cut after words whose checksum ends in four zero bits."""
     ends, n = [], len(text)
@@ -66,6 +70,9 @@ def test_query(spark, sf_dir):
     got = {r.doc_id: (r.n_sentences, r.n_removed, r.kept_text) for r in op6_sentence_spans(spark, sf_dir).collect()}
     want = brute(rows)
     assert got == want
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    short = {r.doc.doc_id: (r.n_sentences, r.n_removed, r.kept_text) for r in remove_repeats(docs, SHORT).collect()}
+    assert short == brute(rows, SHORT)
     assert sum(x[1] for x in want.values()) > 20
 
 
@@ -79,7 +86,7 @@ def test_planted_passages_go_and_the_rest_stays(make):
     for k in range(30):
         own = [" ".join(sentence(9) for _ in range(4)) for _ in range(3)]
         texts.append(f"{own[0]} {passage if k % 3 == 0 else ''} {own[1]} {endless if k % 5 == 0 else ''}\n{own[2]}")
-    got = {r.doc.doc_id: r for r in remove_repeats(make(texts)).collect()}
+    got = {r.doc.doc_id: r for r in remove_repeats(make(texts), SHORT).collect()}
     for k, t in enumerate(texts):
         left = got[k].kept_text
         assert (passage in left) == (k == 0 or False) or k % 3, k
@@ -100,7 +107,7 @@ def test_odd_inputs(make):
     same = "This sentence has some eight words in it. And this one that follows has just as many."
     texts = [None, "", "short. one.", same, same, "x " * 60_000, None]
     docs = make([*texts, *[(3, same, "en", "s")]], ("seen", "doc", "h1", "kept_text", "id"))
-    got = remove_repeats(docs).collect()
+    got = remove_repeats(docs, SHORT).collect()
     assert sorted((r.doc.doc_id, r.kept_text) for r in got if r.doc.doc_id in (3, 4)) == [(3, same), (3, same), (4, "")]
     assert [r.kept_text for r in got if r.doc.doc_id == 0] == [None]
     assert remove_repeats(make([])).count() == 0
@@ -115,7 +122,7 @@ def test_copies_and_short_endings_go_completely(make):
     passage = many(20, 5, 5)
     hosts = [f"{many(9, 8)} {passage} {many(7, 12)}" for _ in range(4)]
     texts = whole + hosts + whole
-    got = {r.doc.doc_id: r for r in remove_repeats(make(texts)).collect()}
+    got = {r.doc.doc_id: r for r in remove_repeats(make(texts), SHORT).collect()}
     for k, text in enumerate(texts[: len(whole) + 1]):
         assert got[k].kept_text == text, k
     for k in range(len(whole) + 1, len(whole) + 4):
@@ -128,7 +135,7 @@ def test_rows_without_an_id_come_last(make):
     """Copies among rows with and without an id: the first one with an id stays."""
     same = "This sentence has some eight words in it. And this one that follows has just as many."
     rows = [(None, same, "en", "s"), (5, same, "en", "s"), (7, same, "en", "s"), (None, same + " More here.", "en", "s")]
-    got = sorted(((r.doc.doc_id, r.kept_text) for r in remove_repeats(make(rows)).collect()), key=str)
+    got = sorted(((r.doc.doc_id, r.kept_text) for r in remove_repeats(make(rows), SHORT).collect()), key=str)
     assert got == sorted([(None, ""), (5, same), (7, ""), (None, "More here.")], key=str)
 
 
@@ -137,5 +144,5 @@ def test_shifted_copies_of_an_endless_sentence(make):
     rng = random.Random(11)
     words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(900)]
     texts = [" ".join(words), " ".join(["other", "words", "before"] + words[37:])]
-    got = {r.doc.doc_id: r for r in remove_repeats(make(texts)).collect()}
+    got = {r.doc.doc_id: r for r in remove_repeats(make(texts), SHORT).collect()}
     assert got[0].kept_text == texts[0] and sum(w in words for w in got[1].kept_text.split()) < 60
