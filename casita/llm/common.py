@@ -110,6 +110,15 @@ def clear_scratch(spark: SparkSession, scope: str = "main") -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def reads_scratch(df: DataFrame, scope: str) -> bool:
+    """Whether the plan of df still reads scratch tables of a scope."""
+    root = _scratch_root(df.sparkSession, scope).split(":", 1)[-1].lstrip("/")
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    files = [x for x in (leaves.apply(i) for i in range(leaves.size())) if x.getClass().getSimpleName() == "LogicalRelation"]
+    roots = [x.relation().location().rootPaths() for x in files if x.relation().getClass().getSimpleName() == "HadoopFsRelation"]
+    return any(root in r.apply(i).toString() for r in roots for i in range(r.size()))
+
+
 #: A side of a join is sent to all executors up to this size; beyond it the join shuffles.
 SENT_BYTES = 48_000_000
 

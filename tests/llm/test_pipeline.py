@@ -85,3 +85,24 @@ def test_null_and_shared_ids_pass_the_stages(spark, make, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:3]:
         docs = stage(spark, docs, str(tmp_path))
         assert sorted(r.text for r in docs.collect()) == sorted(texts), name
+
+
+def test_scratch_tables_of_written_stages_go(spark, make, tmp_path):
+    """Once a stage is written, the next one deletes what it left; a stage that is not written keeps it."""
+    from casita.llm.common import reads_scratch
+
+    text = " ".join(f"w{i % 97}x{i}" for i in range(60))
+    make([(i, f"{text} {i}", "en", "a") for i in range(5)]).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    first = corpus_pipeline.quality_rules(spark, docs, str(tmp_path))
+    assert reads_scratch(first, "pipeline") and not reads_scratch(docs, "pipeline")
+    second = corpus_pipeline.near_duplicates(spark, first, str(tmp_path))
+    assert second.count() >= 1
+    first.write.parquet(f"{tmp_path}/0")
+    third = corpus_pipeline.near_duplicates(spark, spark.read.parquet(f"{tmp_path}/0"), str(tmp_path))
+    assert third.count() >= 1
+    try:
+        gone = first.count() < 0
+    except Exception:
+        gone = True
+    assert gone
