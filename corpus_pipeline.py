@@ -5,7 +5,8 @@ last return the columns of documents; a document that a stage rejects goes, a do
 twice. The last returns the index that it reads back from its shards.
 
 A stage's result is written before the next stage is called. So each stage begins by deleting the scratch tables of the
-stages before it: the shared folder holds those of one stage at a time. One pipeline runs at a time in an application.
+stages before it, unless its input has not been written and still reads them: the shared folder holds those of one stage
+at a time. One pipeline runs at a time in an application.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casita.llm import decontamination, mixing, quality, simhash, token_shards
-from casita.llm.common import clear_scratch, packed, scratch_path, scratch_scope, table
+from casita.llm.common import clear_scratch, packed, reads_scratch, scratch_path, scratch_scope, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,7 +28,8 @@ def _alone(stage: Stage) -> Stage:
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        clear_scratch(spark, "pipeline")
+        if not reads_scratch(docs, "pipeline"):
+            clear_scratch(spark, "pipeline")
         with scratch_scope("pipeline"):
             return stage(spark, docs, sf_dir)
 
