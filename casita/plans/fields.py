@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casita.functions import listing as X
 from casita.functions import text as N
-from casita.operators import asof, candidates, dedup, explode, fuzzy, lookup, rules, sanitize, segment, unmarked
+from casita.operators import asof, candidates, dedup, explode, fuzzy, lookup, rules, sanitize, segment, simple, unmarked
 from casita.sources import files
 from casita.sources.tables import new_path, table
 
@@ -232,6 +232,14 @@ def g12_unmarked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("file", F.col("block_no").cast("long").alias("block_no"), "kind", "text", F.array_join(F.transform("line_numbers", lambda n: n.cast("string")), ",").alias("lines"), "change")
 
 
+def g17_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bullets with prices, areas and rooms, as listings."""
+    n = F.col("p_size").cast("string")
+    line = _pick("# Alquiler de casas", F.concat(F.lit("* C A S A LOMAS $ "), n, F.lit(",000.00 con 3 HAB 2 BAÑOS")), "sigue la nota", F.concat(F.lit("- APTO PALMIRA L. "), n, F.lit("00 LA V2, 1/2 MANZANA")))
+    got = simple.simple_rows(simple.simple_listings(_lines(spark, sf_dir, line).drop("p_partkey")), "a", "2010-01-05")
+    return got.withColumn("ListingID", F.col("ListingID").cast("long"))
+
+
 def u5_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct headers of a file in order."""
     lines = _lines(spark, sf_dir, F.concat(F.lit("# "), _pick("Venta", "VENTA", "Lotes", "alquiler"))).drop("p_partkey")
@@ -249,7 +257,7 @@ def g21_scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EVERY = (
     n7_candidates, x11e_match, x3c_prices, n14_cells, n27_keys, l1_lines, x9_keywords, f6_flags, g2_modes, g6c_splits, g10_masquerade, g11_masquerade, n33_rates, n33_listings, a12_counters, t4_sequence_uid, j14_enrich,
-    g12_unmarked, u5_headers, g21_scanned, s1_files, k4_splits, k8_log, s14_aliases, s19_ingest,
+    g12_unmarked, g17_simple, u5_headers, g21_scanned, s1_files, k4_splits, k8_log, s14_aliases, s19_ingest,
 )
 
 
@@ -332,6 +340,14 @@ def oracle_sql() -> dict[str, str]:
                  g AS (SELECT file, block, min(n) AS first, arg_min(k, n) AS k, bool_or(k IN (1, 4)) AS priced, string_agg(line, ' ' ORDER BY n) AS text, string_agg(n::VARCHAR, ',' ORDER BY n) AS lines, count(*) AS c FROM b GROUP BY 1, 2)
             SELECT file, row_number() OVER (PARTITION BY file ORDER BY block) AS block_no, CASE WHEN k = 2 THEN 'header' ELSE 'listing' END AS kind, text, lines,
                    CASE WHEN k = 2 THEN 'header_verbatim' WHEN c > 1 THEN 'glued_lines' ELSE 'whitespace_collapsed_only' END AS change FROM g WHERE k = 2 OR priced""",
+        "g17_simple": """
+            SELECT p_partkey // 16 AS file, row_number() OVER (PARTITION BY p_partkey // 16 ORDER BY p_partkey) AS ListingID, CASE WHEN k = 1 THEN 'CASALOMAS' ELSE 'APTO PALMIRA' END AS title, CASE WHEN k = 1 THEN 'CASALOMAS' ELSE 'PALMIRA' END AS neighborhood,
+                   CASE WHEN k = 1 THEN '3' END AS bedrooms, CASE WHEN k = 1 THEN '2' END AS bathrooms, CASE WHEN k = 3 THEN p_size * 100 END::DOUBLE AS AT, CASE WHEN k = 3 THEN 'V2' END AS AT_unit, CASE WHEN k = 3 THEN 0.5 END::DOUBLE AS area,
+                   CASE WHEN k = 3 THEN 'MANZANA' END AS area_unit, CASE WHEN k = 3 THEN 3493.5 END::DOUBLE AS area_m2, CASE WHEN k = 1 THEN p_size * 1000 ELSE p_size * 100 END::DOUBLE AS price, CASE WHEN k = 1 THEN 'USD' ELSE 'HNL' END AS currency, 'Rent' AS transaction,
+                   CASE WHEN k = 3 THEN 'Apartment' ELSE '' END AS property_type, 'a' AS agency, '2010-01-05' AS date,
+                   CASE WHEN k = 1 THEN 'CASALOMAS $ ' || p_size || ',000.00 con 3 HAB 2 BAÑOS' || CASE WHEN lead(p_partkey) OVER (PARTITION BY p_partkey // 16 ORDER BY p_partkey) IS NOT NULL OR last > p_partkey THEN ' sigue la nota' ELSE '' END
+                        ELSE 'APTO PALMIRA L. ' || p_size || '00 LA V2, 1/2 MANZANA' END AS notes
+            FROM (SELECT *, p_partkey % 4 AS k, max(p_partkey) OVER (PARTITION BY p_partkey // 16) AS last FROM part) WHERE k IN (1, 3)""",
         "u5_headers": """
             WITH l AS (SELECT p_partkey // 16 AS file, p_partkey AS n, ['Venta', 'VENTA', 'Lotes', 'alquiler'][(p_partkey % 4 + 1)::INTEGER] AS h FROM part),
                  f AS (SELECT file, min(n) AS n, arg_min(h, n) AS header FROM l GROUP BY file, upper(h))
