@@ -7,8 +7,8 @@ half of what the part scores against itself are retrieved. First, for all passag
 a passage's words are added up; blocks whose sum stays below the threshold cannot hold a result. Passages with a block
 left are run through block-max WAND. A retrieved item is a leak when, around the passage, at least 0.8 of its 5-word
 shingles are found, and at least half of those of the question and of those of the answer (the last sentence, or the last
-quarter of an item of one sentence). A side has at least ten shingles, reaching into the other, if the item has: one
-changed word breaks five, so it fails no side by itself.
+quarter of an item of one sentence). A side of few shingles also passes by ten, reaching into the other: one changed word
+breaks five, so it fails no side by itself.
 
 Scale: the parts are dealt by a hash of the item to slices of about `slice_parts` parts. A slice's index is built on an
 executor and written to the shared folder; the driver fetches one slice at a time, sends it (its size is bounded), writes
@@ -55,7 +55,7 @@ class Bm25:
     block: int = 4
     threshold: float = 0.5
     similarity: float = 0.8
-    #: Of the question's and the answer's own shingles, of which each side has so many if the item has.
+    #: Of the question's and the answer's shingles: their own, or so many.
     each_side: float = 0.5
     side_shingles: int = 10
     slice_parts: int = 1024
@@ -209,10 +209,11 @@ def leaks(text: str | None, index: Index, how: Bm25) -> list[tuple[int | None, i
             around = set(shingles(words[max(0, start - len(item)) : start + how.passage_words + len(item)]))
             found = [s in around for s in shingles(item)]
             edge = max(0, q - SHINGLE + 1)
-            question, answer = found[: max(edge, how.side_shingles)], found[max(0, min(edge, len(found) - how.side_shingles)) :]
-            share = lambda x: sum(x) / len(x)
-            if share(found) >= how.similarity and min(share(question), share(answer)) >= how.each_side:
-                out[item_id] = (item_id, start, score * how.threshold, share(question), share(answer))
+            share = lambda x: sum(x) / len(x) if x else 1.0
+            question = max(share(found[:edge]), share(found[: max(edge, how.side_shingles)]))
+            answer = max(share(found[edge:]), share(found[max(0, min(edge, len(found) - how.side_shingles)) :]))
+            if share(found) >= how.similarity and min(question, answer) >= how.each_side:
+                out[item_id] = (item_id, start, score * how.threshold, question, answer)
     return list(out.values())
 
 
