@@ -123,9 +123,12 @@ def reads_scratch(df: DataFrame, scope: str) -> bool:
 SENT_BYTES = 48_000_000
 
 
-def bounded(side: DataFrame, row_bytes: int) -> DataFrame:
-    """A written table, marked for broadcast if its rows, of row_bytes each at most on average, stay below SENT_BYTES."""
-    return F.broadcast(side) if side.count() * row_bytes <= SENT_BYTES else side
+def bounded(side: DataFrame, row_bytes: int, items: str | None = None, item_bytes: int = 0) -> DataFrame:
+    """A written table, marked for broadcast if its rows, of row_bytes each at most on average, stay below SENT_BYTES; the
+    elements of an array column `items` count by themselves."""
+    many = F.coalesce(F.sum(F.size(items).cast("long")), F.lit(0)) if items else F.lit(0)
+    n, k = side.agg(F.count("*"), many).first()
+    return F.broadcast(side) if n * row_bytes + k * item_bytes <= SENT_BYTES else side
 
 
 def packed(df: DataFrame, name: str = "doc") -> DataFrame:

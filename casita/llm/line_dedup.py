@@ -180,7 +180,7 @@ def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     common = edge.groupBy("edge").agg(F.count("*").alias("n")).where("n > 1").select("edge")
     wanted = scratch(edge.join(common, "edge").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("spot").alias("places")), "wanted")
     texts = docs.select(doc_key().alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(bounded(wanted, 200), F.col("doc_id") == F.col("id")).select("doc_id", "text", "places")
+    texts = texts.join(bounded(wanted, 100, "places", 8), F.col("doc_id") == F.col("id")).select("doc_id", "text", "places")
     lines = scratch(texts.mapInArrow(_emit_wanted, _WANTED).dropDuplicates(["h1", "h2"]), "wanted-lines")
     half = lines.select("h1", "h2", F.posexplode("halves").alias("k", "half"))
     common = half.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
@@ -236,5 +236,5 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def drop_lines(docs: DataFrame, how: Lines = Lines()) -> DataFrame:
     """doc (a struct of the input's columns), n_lines with a word, n_dropped, kept_text."""
     lost = scratch(duplicate_lines(docs, how).groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("lost")).withColumnRenamed("doc_id", "id"), "lost")
-    rows = packed(docs).withColumn("text", F.col("doc.text").cast("string")).join(bounded(lost, 200), doc_key("doc.doc_id") == F.col("id"), "left").select("doc", "text", "lost")
+    rows = packed(docs).withColumn("text", F.col("doc.text").cast("string")).join(bounded(lost, 100, "lost", 40), doc_key("doc.doc_id") == F.col("id"), "left").select("doc", "text", "lost")
     return rows.mapInArrow(_keep, f"doc {rows.schema['doc'].dataType.simpleString()}, n_lines long, n_dropped long, kept_text string")
