@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, doc_key, packed, scratch
+from .common import doc_key, packed, scratch
 
 _CUT = re.compile(r"(?<=[.!?])\s+|\n\s*")
 _LONG = 40
@@ -150,6 +150,6 @@ def repeated(docs: DataFrame, how: Spans = Spans()) -> DataFrame:
 def remove_repeats(docs: DataFrame, how: Spans = Spans()) -> DataFrame:
     """doc (a struct of the input's columns), n_sentences, n_removed, removed (spans of code points), kept_text."""
     seen = repeated(docs, how).groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("seen")).withColumnRenamed("doc_id", "id")
-    rows = packed(docs).withColumn("text", F.col("doc.text").cast("string")).join(bounded(scratch(seen, "seen"), 100, "seen", 40), doc_key("doc.doc_id") == F.col("id"), "left").select("doc", "text", "seen")
+    rows = packed(docs).withColumn("text", F.col("doc.text").cast("string")).join(seen, doc_key("doc.doc_id") == F.col("id"), "left").select("doc", "text", "seen")
     schema = f"doc {rows.schema['doc'].dataType.simpleString()}, n_sentences long, n_removed long, removed array<struct<start:long,end:long>>, kept_text string"
     return rows.mapInArrow(_remove(how), schema)
