@@ -4,7 +4,8 @@ Every text gets plain counts and a vector of four transformed statistics. Per la
 covariance determinant is estimated by concentration steps over all documents: in each step the 75 % of a group's
 documents that lie nearest to the current centre give the next centre and covariance. Four starts run side by side (around
 the coordinatewise median: scaled deviations, spatial signs, squashed deviations; and the classical estimate) for two
-steps; the one with the smallest determinant goes on until its determinant settles. A document is rejected when its
+steps; the one with the smallest determinant goes on until a step no longer lowers it, and keeps the lower one: documents
+that tie may swap, so that a determinant could rise and fall for ever. A document is rejected when its
 squared Mahalanobis distance from its group's estimate is above the chi-square quantile of `tail`.
 
 The estimate is a regularized one: `floors` are added to the variances, as without them a statistic that is 0 for most
@@ -64,10 +65,10 @@ class QualityRules:
     max_repeat_percent: int = 20
     min_docs: int = 50
     h: float = 0.75
-    #: Steps of all starts before the best one goes on by itself, and most steps in all (documents that tie could swap for ever).
+    #: Steps of all starts before the best one goes on by itself, and most steps in all.
     first_steps: int = 2
     max_steps: int = 100
-    #: A group has settled when the log of its determinant falls by less.
+    #: A group has settled when a step lowers the log of its determinant by no more, or makes it rise.
     settled: float = 1e-4
     #: Share of a normal sample that would be rejected.
     tail: float = 1e-6
@@ -238,21 +239,33 @@ def _step(judged: DataFrame, now: DataFrame, rules: QualityRules) -> DataFrame:
     binned = _distance(_meet(judged, scratch(est, "limits"), F.col("g") == F.col("now_g")))
     sums = binned.where(F.floor(F.log(F.col("d2") + 1e-6) * BINS_PER_E) <= F.col("last")).groupBy("g", "start").agg(*_moments(), F.first("logdet").alias("was"))
     found = _estimate(sums, rules, ["g", "start", "was"])
-    return scratch(found.withColumn("fall", F.col("was") - F.col("logdet")).drop("was"), "step")
+    return found.withColumn("fall", F.col("was") - F.col("logdet")).drop("was")
+
+
+def _lower(after: DataFrame, now: DataFrame) -> DataFrame:
+    """The estimates of a step, with the one before it where the determinant rose."""
+    kept = [c for c in now.columns if c not in ("g", "fall")]
+    was = now.select(F.col("g").alias("was_g"), *[F.col(c).alias(f"was_{c}") for c in kept])
+    return after.join(was, F.col("g") == F.col("was_g")).select("g", *[F.when(F.col("fall") < 0, F.col(f"was_{c}")).otherwise(F.col(c)).alias(c) for c in kept], "fall")
 
 
 def mcd(judged: DataFrame, rules: QualityRules, keep_det: bool = False) -> DataFrame:
     """The minimum-covariance-determinant estimate of each group g of judged (g, salt, x1 to x4), on request with logdet."""
     now = scratch(_starts(judged, rules), "starts")
     for _ in range(rules.first_steps):
-        now = _step(judged, now, rules)
+        now = scratch(_step(judged, now, rules), "step")
     best = Window.partitionBy("g").orderBy("logdet", "start")
     now = now.withColumn("rank", F.row_number().over(best)).where("rank = 1").drop("rank")
+    ended = []
     for _ in range(rules.max_steps - rules.first_steps):
-        now = _step(judged, now, rules)
-        if now.where(F.abs(F.col("fall")) > rules.settled).isEmpty():
+        after = scratch(_lower(_step(judged, now, rules), now), "step")
+        ended.append(after.where(F.col("fall") <= rules.settled))
+        now = after.where(F.col("fall") > rules.settled)
+        if now.isEmpty():
             break
-    return now.drop("start", "fall", *([] if keep_det else ["logdet"]))
+    else:
+        ended.append(now)
+    return reduce(DataFrame.unionByName, ended).drop("start", "fall", *([] if keep_det else ["logdet"]))
 
 
 def quality(docs: DataFrame, rules: QualityRules = QualityRules(), carry: list[str] | None = None) -> DataFrame:

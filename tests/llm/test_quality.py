@@ -119,3 +119,31 @@ def test_estimates_match_converged_runs_and_outliers_go(make):
     assert [i for i in ids if not got[i].kept and not got[i].base_failed] == list(range(len(clean), len(clean) + len(junk)))
     assert got[900].distance is None  # too few in its group, in its language and in the last pool: nobody is judged
     assert len(FEATURES) == 4
+
+
+def test_ends_where_two_documents_swap_for_ever(make, monkeypatch):
+    """Group a rises and falls by the same amount in turn, b falls twice; each ends with its lowest determinant."""
+    from casita.llm import quality as module
+    from pyspark.sql import functions as F
+
+    spark = make([]).sparkSession
+    rng = np.random.default_rng(3)
+    rows = [((k, None), i % 32, *map(float, v)) for k in "ab" for i, v in enumerate(rng.normal(0, 1, (30, 4)))]
+    df = spark.createDataFrame(rows, "g struct<g_lang:string,g_own:string>, salt int, x1 double, x2 double, x3 double, x4 double")
+    falls, calls = {"a": [0.0, 0.0, 0.04, -0.04] + [0.04, -0.04] * 10, "b": [0.0, 0.0, 0.5, 0.25] + [0.0] * 20}, []
+
+    def step(judged, now, rules):
+        fall = F.when(F.col("g.g_lang") == "a", falls["a"][len(calls)]).otherwise(falls["b"][len(calls)])
+        calls.append(1)
+        return now.withColumn("logdet", F.col("logdet") - fall).withColumn("fall", fall)
+
+    def det():
+        return {r.g.g_lang: r.logdet for r in mcd(df, QualityRules(min_docs=5, max_steps=20), keep_det=True).collect()}
+
+    monkeypatch.setattr(module, "_step", step)
+    got = det()
+    assert len(calls) == 5
+    falls["a"][2:], falls["b"][2:] = [0.0] * 20, [0.0] * 20
+    calls.clear()
+    start = det()
+    assert abs(start["a"] - got["a"] - 0.04) < 1e-9 and abs(start["b"] - got["b"] - 0.75) < 1e-9
