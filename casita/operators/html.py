@@ -84,6 +84,15 @@ def _selector(text: str) -> list[tuple[str, str, frozenset[str]]]:
     return steps
 
 
+#: Scripts, styles and comments, which hold no references, or an ampersand that begins none that a semicolon ends.
+_BARE = re.compile(r"(?is)(<!--.*?-->|<(script|style)\b.*?</\2\s*>)|&(?!(?:#[0-9]+|#x[0-9a-f]+|[a-z][a-z0-9]*);)")
+
+
+def _closed(page: str) -> str:
+    """page with only those references left that a semicolon ends; a parser would take &amp without one for a character too."""
+    return _BARE.sub(lambda m: m[1] or "&amp;", page)
+
+
 _VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
 
 
@@ -132,13 +141,14 @@ class _Selected(HTMLParser):
 
 def selected(html: Column, fields: dict[str, str]) -> Column:
     """H1: a map of the fields found: by name, the text of the first element that a selector (tag, .class, #id, one inside
-    the other) finds, or with @ its attribute; single spaces; fields without a text are left out."""
+    the other) finds, or with @ its attribute; single spaces; fields without a text are left out. A reference without its
+    semicolon, as where a page cuts a title short, stays as it is."""
 
     @F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
     def find(pages: pd.Series) -> pd.Series:
         def one(page: str | None) -> dict[str, str]:
             parser = _Selected(fields)
-            parser.feed(page or "")
+            parser.feed(_closed(page or ""))
             parser.close()
             return {n: x for n, v in parser.found.items() if (x := " ".join(v.split()))}
 

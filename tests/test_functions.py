@@ -166,3 +166,11 @@ def test_masquerade_and_unmarked_lines(spark):
     assert segment.decode_cue("cue:comma") == "," and segment.decode_cue(":") == ":"
     with pytest.raises(ValueError):
         segment.decode_cue("CUE:X")
+
+
+def test_fields_keep_references_without_a_semicolon(spark):
+    from casita.operators import html
+
+    page = '<!-- <script> & --><article><h1>a &amp;&lt; b&amp</h1><p id="x" title="?a=1&copy=2">&#233;&#xE9; &eacute; &copy 1 & 2</p></article><script>if (a && b) {}</script>'
+    got = run(spark, lambda c: html.selected(c, {"title": "h1", "p": "p", "at": "p@title", "code": "script"}), [page])[0]
+    assert got == {"title": "a &< b&amp", "p": "éé é &copy 1 & 2", "at": "?a=1&copy=2", "code": "if (a && b) {}"}
