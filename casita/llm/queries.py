@@ -46,7 +46,7 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = _sentences.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return got.select("doc.doc_id", "n_sentences", "n_removed", "removed", "kept_text")
+    return got.select("doc.doc_id", "n_sentences", "n_removed", "removed", "kept_text", "n_passage_words", "passages", "rest_text")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 import zlib
 
 from casita.llm.queries import op6_sentence_spans
-from casita.llm.sentence_spans import Spans, remove_repeats, sentences
+from casita.llm.sentence_spans import Spans, remove_repeats, sentences, word_spans
 
 
 #: Short runs, so that small texts have some.
@@ -146,3 +146,69 @@ def test_shifted_copies_of_an_endless_sentence(make):
     texts = [" ".join(words), " ".join(["other", "words", "before"] + words[37:])]
     got = {r.doc.doc_id: r for r in remove_repeats(make(texts), SHORT).collect()}
     assert got[0].kept_text == texts[0] and sum(w in words for w in got[1].kept_text.split()) < 60
+
+
+def earlier(rows, k):
+    """By document: the places of words that start k words in a row which an earlier document has."""
+    first, out = {}, {}
+    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+        words = (text or "").split()
+        keys = [tuple(words[i : i + k]) for i in range(len(words) - k + 1)]
+        out[doc] = {i for i, key in enumerate(keys) if key in first}
+        for key in keys:
+            first.setdefault(key, doc)
+    return out
+
+
+def hold_passages(rows, got, how=Spans()):
+    """All words of repeats but a few at their ends are in passages, and all words of passages are in repeats."""
+    texts, gap = dict(rows), how.passage - how.min_words
+    must, may = earlier(rows, how.passage), earlier(rows, how.min_words)
+    for doc, r in got.items():
+        text = texts[doc] or ""
+        inside = {i for s in r.passages for i in range(len(text[: s.start].split()), len(text[: s.end].split()))}
+        assert len(inside) == r.n_passage_words
+        assert inside <= {j for i in may[doc] for j in range(i, i + how.min_words)}, doc
+        assert inside >= {j for i in must[doc] for j in range(i + gap, i + how.min_words)}, doc
+        lost = {i for s in [*r.passages, *r.removed] for i in range(s.start, s.end)}
+        assert (r.rest_text or "") == "".join(c for i, c in enumerate(text) if i not in lost)
+        assert r.passages or r.rest_text == r.kept_text
+    return sum(bool(x) for x in must.values())
+
+
+def test_repeats_of_over_50_words_are_passages(spark, sf_dir):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    got = {r.doc_id: r for r in op6_sentence_spans(spark, sf_dir).collect()}
+    assert hold_passages(rows, got) >= 20
+    assert sum(not r.n_removed and r.n_passage_words > 0 for r in got.values()) >= 2
+
+
+def test_passages_that_begin_and_end_inside_sentences(make):
+    rng = random.Random(8)
+    words = lambda n: [rng.choice("abcdefghijklmnop") + str(rng.randrange(10**6)) for _ in range(n)]
+    texts = []
+    for k in range(40):
+        passage = words(51 + 3 * k)
+        for i in range(9, len(passage), rng.choice((9, 30, 10**6))):
+            passage[i] += rng.choice((".", "!", "\u00e9.", "\U0001f600?"))
+        for _ in range(2):
+            texts.append(" ".join([*words(rng.randrange(60)), *passage]) + rng.choice((" ", "\n", "\t ")) + " ".join(words(rng.randrange(1, 60))))
+    over = len(texts)
+    texts += ["and " * 200, "x and " + "and " * 90 + "y", " ".join(words(300)), "", None]
+    got = {r.doc.doc_id: r for r in remove_repeats(make(texts)).collect()}
+    hold_passages(list(enumerate(texts)), got)
+    assert [k for k in range(over) if got[k].n_passage_words] == list(range(1, over, 2))
+    assert any(not got[k].n_removed for k in range(1, over, 2))
+    assert got[over + 1].n_passage_words == 91 and got[over + 1].rest_text == "x y"
+    assert [got[over + k].n_passage_words for k in (0, 2, 3, 4)] == [0, 0, 0, 0] and got[over + 4].rest_text is None
+
+
+def test_chosen_spans_follow_from_the_words():
+    rng = random.Random(9)
+    how = Spans(min_words=5, passage=12)
+    words = [rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(400)]
+    chosen = dict(word_spans(words, how))
+    assert all(any(i in chosen for i in range(k, k + 8)) for k in range(len(words) - 11))
+    assert {i - 3: h for i, h in word_spans(["x", "y", "z", *words], how) if i >= 10}.items() <= chosen.items()
+    assert word_spans(words[:11], how) == [] and len(word_spans(words[:12], how)) >= 1
+    assert {i for i, _ in word_spans(words, Spans(min_words=5, passage=5))} == set(range(396))
