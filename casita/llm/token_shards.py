@@ -8,9 +8,11 @@ symbol that ends in id 0), so a document starts at a symbol.
 
 Pairs go in rounds. A round takes pairs from the most frequent one down, at most `pairs_a_round` of them, such that no
 symbol is on the right of one and on the left of another: such pairs never overlap, so replacing them together is
-replacing them one by one. Counts are exact and follow from round to round by what the replacements destroy and create.
-The grammar ends when the most frequent pair saves no more bits than its rule takes (two symbols and a length);
-`min_count` = 2 ends where no pair occurs twice, and one pair a round is the textbook order.
+replacing them one by one. Counts are exact: the places of each pair that can still become a rule are listed, and a round
+strikes out those that its replacements destroy and lists those that they create, so it costs what it changes.
+The grammar ends when the most frequent pair saves no more bits than its rule takes (two symbols and a length), also when
+the symbols have grown by a bit on the way; `min_count` = 2 ends where no pair occurs twice, and one pair a round is the
+textbook order.
 
 File format, a binary value per shard in a Parquet table (part, shard, n_ids, data), all little-endian: magic "RPG2";
 counts of documents, rules and symbols, base (the first nonterminal) and bits of a symbol as 5 unsigned 64-bit integers;
@@ -22,8 +24,9 @@ writes its shards through Spark's Parquet writer, so lost tasks are repeated wit
 over parts, shards and documents before it: running sums over one row a part, then one a shard.
 
 Encoding: a piece of text that begins at a space before a non-space is tokenized by itself, and so are its runs of letters
-and what follows them; pieces are encoded once by a worker and their ids kept in a table of at most `kept_pieces`; what
-does not fit is encoded anew in each block of text. Texts with special tokens' strings are encoded whole.
+(ASCII and U+00C0 to U+00FF) and what follows them; pieces are encoded once by a worker and their ids kept in a table of at
+most `kept_pieces`; what does not fit is encoded anew in each block of text. Pieces of up to 16 bytes are looked up and
+compared as two numbers, longer ones byte by byte. Texts with special tokens' strings are encoded whole.
 
 Defined results: a null text is empty, its only id the end; rows with one doc_id follow each other, ordered by the hash of
 their text; null doc_ids come first; an empty table gives an empty table; a text longer than a shard is a shard of its
@@ -83,20 +86,22 @@ def _gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.nda
 
 
 def _class_table() -> np.ndarray:
-    """What cuts need to know of a byte: 1 may follow the space that begins a piece, 2 an ASCII letter, 4 another ASCII character, 8 ASCII but no space."""
+    """What cuts need to know of a byte: 1 may follow the space that begins a piece, 2 an ASCII letter, 4 another ASCII character, 8 ASCII but no space, 16 ends a letter from U+00C0 to U+00FF if 0xC3 is before it."""
     out = np.zeros(256, np.uint8)
     out[0x21:0x7F] |= 1 | 8
     out[0xC3:0xE0] |= 1  # two-byte characters from U+00C0 on: none is a space
     letters = np.r_[65:91, 97:123]
     out[:128] |= 4
     out[letters] ^= 4 | 2
+    out[0x80:0xC0] |= 16
+    out[[0x97, 0xB7]] ^= 16  # the signs of multiplication and division
     return out
 
 
 _CLASS = _class_table()
-#: Bytes of a space and of ASCII letters.
-_WORD = np.zeros(256, np.uint8)
-_WORD[[32, *range(65, 91), *range(97, 123)]] = 1
+#: Bytes of letters up to U+00FF: no other character consists of them alone.
+_LETTER = (_CLASS & (2 | 16)) > 0
+_LETTER[0xC3] = True
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX_TOO = np.uint64(0xC2B2AE3D27D4EB4F)
 _POWER = np.multiply.accumulate(np.full(2**16, _MIX | np.uint64(1)), dtype=np.uint64)
@@ -105,8 +110,8 @@ _POWER = np.multiply.accumulate(np.full(2**16, _MIX | np.uint64(1)), dtype=np.ui
 def piece_starts(b: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Where pieces start in the bytes of texts that begin at `begins`: places where a token ends in any case.
 
-    At a space before a character that is no space; after an ASCII letter, before another ASCII character; and at an ASCII
-    letter after a single line break.
+    At a space before a character that is no space; after an ASCII letter or one from U+00C0 to U+00FF, before another ASCII
+    character; and at an ASCII letter after a single line break.
     """
     kind = _CLASS[b]
     cut = np.zeros(len(b), bool)
@@ -114,11 +119,34 @@ def piece_starts(b: np.ndarray, begins: np.ndarray) -> np.ndarray:
     ends = begins[1:] - 1
     cut[ends[ends >= 0]] = False  # what follows is another text
     cut[1:] |= ((kind[:-1] >> 1) & (kind[1:] >> 2) & 1).view(bool)
+    cut[2:] |= (b[:-2] == 0xC3) & ((kind[1:-1] >> 4) & (kind[2:] >> 2) & 1).view(bool)
     cut[2:] |= (b[1:-1] == 10) & ((kind[2:] >> 1) & (kind[:-2] >> 3) & 1).view(bool)
     cut[begins[begins < len(b)]] = True
     return np.flatnonzero(cut)
 
 
+def _alphabet() -> np.ndarray:
+    """How a byte-level vocabulary spells each byte: as its Latin-1 character, or from U+0100 on if that is none to be seen."""
+    out = np.arange(256, dtype="<u4")
+    unseen = np.r_[0:0x21, 0x7F:0xA1, 0xAD]
+    out[unseen] = 0x100 + np.arange(len(unseen))
+    return out
+
+
+_ALPHABET = _alphabet()
+#: Bytes of a piece that are looked at as two numbers, and which of a number's bytes belong to so many.
+SHORT = 16
+_FIRST = np.array([2 ** (8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _as_numbers(words: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first 8 bytes and the 8 after them of pieces, with zeros behind their ends; `words` are 8 bytes each, two more than the pieces need."""
+    at, shift = start >> 3, (start.astype(np.uint64) & np.uint64(7)) << np.uint64(3)
+    back, middle = np.uint64(63) - shift, words[at + 1]
+    low = (words[at] >> shift | middle << np.uint64(1) << back) & _FIRST[np.minimum(size, 8)]
+    return low, (middle >> shift | words[at + 2] << np.uint64(1) << back) & _FIRST[np.clip(size - 8, 0, 8)]
+
+
 class Encoder:
     """ids of texts as little-endian uint16 or uint32 arrays, by pieces that are kept.
 
@@ -137,7 +165,7 @@ class Encoder:
         told = json.loads(self.tokenizer.to_str())
         pre = told["pre_tokenizer"] or {}
         self.by_piece = told["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") is True and not pre.get("add_prefix_space")
-        #: The same merges for words of ASCII letters, spelled as the vocabulary does (a space is U+0120): they need no pattern.
+        #: The same merges for words of letters, spelled as the vocabulary does (a space is U+0120): they need no pattern.
         self.words = Tokenizer.from_str(json.dumps(told | {"pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": " "}, "added_tokens": [], "post_processor": None}))
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.base = max(vocab.values()) + 1
@@ -164,16 +192,17 @@ class Encoder:
         starts = ends - sizes
         second = np.where(sizes > 1, raw[np.minimum(starts + 1, len(raw) - 1)], 0)
         spaced = (raw[starts] == 32) & (_CLASS[second] & 1).view(bool)
-        word = spaced & (np.bitwise_and.reduceat(_WORD[raw], starts) > 0)  # a space and letters: one token before merges
-        data = raw.tobytes()
-        pieces = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        length, flat, order = np.zeros(len(pieces), np.int64), [np.empty(0, self.dtype)], []
-        for mask, tokenizer, spell in ((word, self.words, lambda x: x.decode().replace(" ", " \u0120")), (spaced & ~word, self.tokenizer, bytes.decode)):
+        letter = _LETTER[raw]
+        letter[starts] |= spaced
+        word = np.logical_and.reduceat(letter, starts)  # letters, maybe after a space: one token before merges
+        length, flat, order = np.zeros(len(sizes), np.int64), [np.empty(0, self.dtype)], []
+        for mask, tokenizer, spell in ((word, self.words, self._spelled), (spaced & ~word, self.tokenizer, lambda x, _: x.tobytes().decode())):
             own = np.flatnonzero(mask)
             for lo in range(0, len(own), self.TOGETHER):
                 some = own[lo : lo + self.TOGETHER]
-                ids = np.array(tokenizer.encode_batch_fast([spell(b"".join([pieces[i] for i in some.tolist()]))], add_special_tokens=False)[0].ids, dtype=self.dtype)
-                # pieces that begin with a space before a non-space do not change each other
+                text = spell(_gathered(raw, starts[some], sizes[some]), sizes[some])
+                ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
+                # words stand apart, and pieces that begin with a space before a non-space do not change each other
                 have, want = np.cumsum(self.width[ids]), np.cumsum(sizes[some])
                 at = np.searchsorted(have, want) + 1
                 if at[-1] != len(ids) or not (have[at - 1] == want).all():
@@ -181,16 +210,40 @@ class Encoder:
                 flat.append(ids)
                 length[some] = np.diff(at, prepend=0)
             order.append(own)
-        own = np.flatnonzero(~spaced)
-        for i, x in zip(own.tolist(), self.tokenizer.encode_batch_fast([pieces[i].decode() for i in own.tolist()], add_special_tokens=False), strict=True):
+        own = np.flatnonzero(~spaced & ~word)
+        data = raw.tobytes()
+        pieces = [data[a:b].decode() for a, b in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]
+        for i, x in zip(own.tolist(), self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
             flat.append(np.array(x.ids, dtype=self.dtype))
             length[i] = len(x.ids)
         # from the order in which they were encoded to that of the pieces
         order = np.concatenate([*order, own])
-        begin = np.empty(len(pieces), np.int64)
+        begin = np.empty(len(sizes), np.int64)
         begin[order] = np.cumsum(length[order]) - length[order]
         return _gathered(np.concatenate(flat), begin, length), length
 
+    @staticmethod
+    def _spelled(raw: np.ndarray, sizes: np.ndarray) -> str:
+        """Words as a byte-level vocabulary spells them, a space before each."""
+        at = np.arange(len(raw)) + np.repeat(np.arange(1, len(sizes) + 1), sizes)
+        out = np.full(len(raw) + len(sizes), ord(" "), _ALPHABET.dtype)
+        out[at] = _ALPHABET[raw]
+        return out.tobytes().decode("utf-32-le")
+
+    def _hashed(self, b: np.ndarray, starts: np.ndarray, size: np.ndarray, low: np.ndarray, high: np.ndarray, long: np.ndarray) -> np.ndarray:
+        """Hashes of pieces: of the two numbers of a short one, of all bytes of a long one."""
+        h = low * _POWER[0]
+        h += high * _POWER[1]
+        h += size.astype(np.uint64) * _POWER[2]
+        if len(long):
+            ends = np.cumsum(size[long])
+            place = np.arange(ends[-1]) - np.repeat(ends - size[long], size[long])
+            h[long] = np.add.reduceat(_POWER[place & 0xFFFF] * (b[np.repeat(starts[long], size[long]) + place] + np.uint64(1)), ends - size[long])
+        h ^= h >> np.uint64(29)
+        h *= _MIX
+        h |= np.uint64(1)  # 0 is no piece's hash
+        return h
+
     def _found(self, h: np.ndarray) -> np.ndarray:
         """Numbers of the pieces with these hashes, 0 where there is none."""
         number = self.table[h >> self.shift]
@@ -203,14 +256,11 @@ class Encoder:
         """(ids, ends of the texts in them, texts that are to be encoded whole) of the bytes of some texts."""
         starts = piece_starts(b, begins)
         size = np.diff(starts, append=len(b))
-        place = np.arange(len(b), dtype=np.int32)
-        place -= np.repeat(starts.astype(np.int32), size)
-        value = _POWER[place & 0xFFFF]
-        value *= b + np.uint64(1)
-        h = np.add.reduceat(value, starts) if len(starts) else np.empty(0, np.uint64)
-        h ^= h >> np.uint64(29)
-        h *= _MIX
-        h |= np.uint64(1)  # 0 is no piece's hash
+        words = np.zeros(len(b) // 8 + 3, "<u8")
+        words.view(np.uint8)[: len(b)] = b
+        low, high = _as_numbers(words, starts, size)
+        long = np.flatnonzero(size > SHORT)
+        h = self._hashed(b, starts, size, low, high, long)
         number = self._found(h)
         miss = np.flatnonzero(number == 0)
         new, where, inverse = np.unique(h[miss], return_index=True, return_inverse=True)
@@ -219,12 +269,15 @@ class Encoder:
             raw = _gathered(b, starts[at], size[at])
             number[miss] = self.known + inverse
             self._add(new, *self._tokenized(raw, size[at]), raw, size[at])
-        raw_start, raw_length = self.raw_ends[number - 1], self.raw_ends[number] - self.raw_ends[number - 1]
+        raw_start = self.raw_ends[number - 1]
         # the bytes of each piece against those in the table: a hash that two pieces share is found here
-        same = size == raw_length
-        if same.all():
-            place += np.repeat(raw_start, size)
-            same = np.bitwise_and.reduceat(self.raw[place] == b, starts) if len(starts) else same
+        same = size == self.raw_ends[number] - raw_start
+        held_low, held_high = _as_numbers(self.raw.view("<u8"), raw_start, size)
+        same &= (low == held_low) & (high == held_high)
+        long = long[same[long]]
+        if len(long):
+            ends = np.cumsum(size[long])
+            same[long] = np.logical_and.reduceat(_gathered(b, starts[long], size[long]) == _gathered(self.raw, raw_start[long].astype(np.int64), size[long]), ends - size[long])
         text = np.searchsorted(begins, starts[~same], side="right") - 1
         own = np.insert(number, first := np.searchsorted(starts, np.append(begins[1:], len(b))), 0)
         start = self.ends[own - 1] * (own > 0)
@@ -238,8 +291,8 @@ class Encoder:
 
         def put(name: str, values: np.ndarray, at: int) -> None:
             held = getattr(self, name)
-            if at + len(values) > len(held):
-                held = np.concatenate([held, np.zeros(at + len(values), held.dtype)])
+            if at + len(values) + SHORT + 8 > len(held):  # `raw` is read in numbers, beyond its end
+                held = np.concatenate([held, np.zeros(-(-(at + len(values)) // 8) * 8 + 64, held.dtype)])
                 setattr(self, name, held)
             held[at : at + len(values)] = values
 
@@ -313,54 +366,59 @@ def encoder(path: str, kept: int) -> Encoder:
 # --- grammar
 
 
-def _codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Pairs of symbols, each a number."""
-    return (left << 32 | right).view(np.uint64)
-
-
-def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes in order, and how often each occurs."""
-    ranked = np.sort(codes)
-    edge = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(ranked) else np.empty(0, np.int64)
-    return ranked[edge], np.diff(np.r_[edge, len(ranked)])
-
-
-def _every_other(at: np.ndarray) -> np.ndarray:
-    """Mask of ascending places: every other one of each stretch of neighbours, from its left end."""
-    n = np.arange(len(at))
-    begin = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, n, 0))
-    return (n - begin) % 2 == 0
-
+def _grouped(sym: np.ndarray, after: np.ndarray, ends: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that begin at ascending places: each as a number (left << 32 | right), how many places it has, and the places, ascending for each.
 
-def _twins(seq: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, counts) of pairs of one symbol with itself, which overlap in runs; counted anew in each round."""
-    at = np.flatnonzero(seq[1:] == seq[:-1])
-    at = at[~ends[seq[at]]]
-    twice = seq[at[_every_other(at)]]
-    return _counted(_codes(twice, twice))
-
-
-_LATE = 2**62
-#: Slots in which the pairs of a round are looked up.
-_SLOT_BITS = 17
+    Pairs with fewer places than `least` are left out, as are those that may not be: none begins with the end of a document.
+    """
+    bits, low = _bits(len(ends)), _bits(len(sym))
+    pair, right = sym[at].astype(np.int64), sym[after[at]]
+    if 2 * bits + low < 64:  # a number holds all three
+        pair <<= bits
+        pair |= right
+        pair <<= low
+        pair |= at
+        pair.sort()
+        at = pair & (1 << low) - 1
+        pair >>= low
+    else:
+        bits = 32
+        pair = pair << bits | right
+        order = np.argsort(pair, kind="stable")
+        pair, at = pair[order], at[order]
+    edge = np.flatnonzero(pair[1:] != pair[:-1]) + 1
+    edge = np.concatenate([np.zeros(min(1, len(pair)), np.int64), edge])
+    size = np.diff(edge, append=len(pair))
+    pair = pair[edge]
+    keep = (size >= least) & ~ends[pair >> bits]
+    at = at[np.repeat(keep, size)]
+    pair = pair[keep]
+    return (pair >> bits) << 32 | pair & (1 << bits) - 1, size[keep], at
+
+
+def _every_other(at: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Mask of the places of some pairs, ascending for each: every other one of each stretch of overlaps, from its left end."""
+    out = np.ones(len(at), bool)
+    joined = np.flatnonzero(after[at[:-1]] == at[1:]) + 1
+    n = np.arange(len(joined))
+    out[joined[(n - np.maximum.accumulate(np.where(np.diff(joined, prepend=-1) != 1, n, 0))) % 2 == 0]] = False
+    return out
 
 
-def _slot(codes: np.ndarray) -> np.ndarray:
-    return ((codes * _MIX) >> np.uint64(64 - _SLOT_BITS)).view(np.int64)
+_LATE = 2**31 - 1
 
 
 def _apart(codes: np.ndarray, first: np.ndarray, room: int) -> np.ndarray:
-    """Of codes in order of choice, those that can be replaced at once: no symbol is left of one and right of another.
+    """Of codes in order of choice, the numbers of those that can be replaced at once: no symbol is left of one and right of another.
 
-    A symbol goes to the side on which it comes first, so the first code always stays. Of two codes that fall in one slot
-    the second one waits for the next round. `first` (2, symbols) holds large numbers, before and after.
+    A symbol goes to the side on which it comes first, so the first code always stays. `first` (2, symbols) holds large
+    numbers, before and after.
     """
-    a, b, k = (codes >> np.uint64(32)).view(np.int64), (codes & np.uint64(0xFFFFFFFF)).view(np.int64), np.arange(len(codes))
+    a, b, k = codes >> 32, codes & 0xFFFFFFFF, np.arange(len(codes), dtype=first.dtype)
     first[0, a[::-1]], first[1, b[::-1]] = k[::-1], k[::-1]
     ok = (first[0, a] < first[1, a]) & (first[1, b] < first[0, b]) | (a == b) & (first[0, a] == k) & (first[1, a] == k)
     first[0, a], first[1, b] = _LATE, _LATE
-    codes = codes[ok]
-    return codes[np.sort(np.unique(_slot(codes), return_index=True)[1])][:room]
+    return np.flatnonzero(ok)[:room]
 
 
 def _bits(n: int) -> int:
@@ -368,79 +426,63 @@ def _bits(n: int) -> int:
     return max(1, (n - 1).bit_length())
 
 
+def _worth(n: int) -> int:
+    """Least count at which a rule saves bits when there are n symbols: it takes two and a length of 32 bits, and saves one in each place."""
+    return 2 + 32 // _bits(n) + 1
+
+
 def compress(ids: np.ndarray, base: int, how: Shards = Shards()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules (n, 2), expansion lengths (n,), symbols)."""
-    seq = ids.astype(np.int64)
-    ends = np.zeros(base + len(seq), bool)
+    n, end = base, len(ids)
+    ends = np.zeros(base + end + 1, bool)
     ends[END_ID] = True
-    side, n = np.zeros(len(ends), np.uint8), base  # of the chosen pairs: 1 left, 2 right, 3 both
-    first = np.full((2, len(ends)), _LATE)
-    slots = np.zeros(2**_SLOT_BITS, np.int64)  # number of the chosen pair of a slot, to be checked against the pair itself
+    # a symbol keeps the place of its first id; the places after and before it are those of its neighbours. One more symbol,
+    # that is found nowhere else, stands behind the last and before the first
+    sym, after, before = np.append(ids, len(ends) - 1).astype(np.int32), np.arange(1, end + 2, dtype=np.int32), np.arange(-1, end, dtype=np.int32)
+    alive, touched = np.ones(end + 1, bool), np.zeros(end + 1, bool)
+    alive[end] = False
+    first = np.full((2, len(ends)), _LATE, np.int32)
     rules: list[np.ndarray] = []
-    twin_bound = len(seq)  # no pair of a symbol with itself is more frequent
-    plain = (seq[:-1] != seq[1:]) & ~ends[seq[:-1]]
-    known, counts = _counted(_codes(seq[:-1], seq[1:])[plain])
-    while len(seq) > 1:
-        # a rule takes two symbols and a length of 32 bits, and saves a symbol in each place
-        least = how.min_count or 2 + 32 // _bits(n + 1) + 1
-        keep = counts >= least
-        known, counts = known[keep], counts[keep]
-        twin, twin_counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-        if twin_bound >= least:  # else none would be chosen
-            twin, twin_counts = _twins(seq, ends)
-            twin_bound = int(twin_counts.max(initial=0))
-        codes, many = np.concatenate([known, twin]), np.concatenate([counts, twin_counts])
-        if many.max(initial=0) < least:
+    floor = how.min_count or _worth(base + end)  # more symbols than these there cannot be
+    code, size, at = _grouped(sym, after, ends, np.arange(end), floor)
+    while len(code):
+        start = np.cumsum(size) - size
+        twin, many = code >> 32 == code & 0xFFFFFFFF, size
+        if twin.any():  # pairs of a symbol with itself overlap in runs
+            own = np.flatnonzero(twin)
+            many = size.copy()
+            many[own] = np.add.reduceat(_every_other(_gathered(at, start[own], size[own]), after), np.cumsum(size[own]) - size[own], dtype=np.int64)
+        often = np.flatnonzero(many >= (how.min_count or _worth(n + 1)))
+        if not len(often):
             break
-        often = np.flatnonzero(many >= least)
-        often = often[np.lexsort((codes[often], -many[often]))][: 4 * how.pairs_a_round]
-        chosen = np.sort(_apart(codes[often], first, how.pairs_a_round))
-        a, b = (chosen >> np.uint64(32)).astype(np.int64), (chosen & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        # places of the chosen pairs
-        side[a] |= 1
-        side[b] |= 2
-        flag = side.take(seq)
-        hit = np.flatnonzero((flag[:-1] & (flag[1:] >> 1)).view(bool))
-        side[a], side[b] = 0, 0
-        found = _codes(seq[hit], seq[hit + 1])
-        slots[at := _slot(chosen)] = np.arange(len(chosen))
-        which = slots.take(_slot(found))
-        slots[at] = 0
-        real = chosen[which] == found
-        hit, which = hit[real], which[real]
-        if (a == b).any():
-            real = _every_other(hit)
+        often = often[np.lexsort((code[often], -many[often]))][: 4 * how.pairs_a_round]
+        chosen = often[_apart(code[often], first, how.pairs_a_round)]
+        chosen = chosen[np.argsort(code[chosen])]
+        a, b = code[chosen] >> 32, code[chosen] & 0xFFFFFFFF
+        hit = _gathered(at, start[chosen], size[chosen]) << 32 | np.repeat(np.arange(n, n + len(chosen)), size[chosen])
+        hit.sort()  # by place
+        hit, which = hit >> 32, hit & 0xFFFFFFFF
+        if twin[chosen].any():
+            real = _every_other(hit, after)
             hit, which = hit[real], which[real]
-        # pairs that go: at the hits and on both sides of them, where two hits meet once
-        apart = np.diff(hit, prepend=0) != 2
-        apart[:1] = hit[:1] > 0
-        gone = np.concatenate([hit, hit[hit < len(seq) - 2] + 1, hit[apart] - 1])
-        lost, by = _counted(_codes(seq[gone], seq[gone + 1]))
-        if len(known):
-            at = np.minimum(np.searchsorted(known, lost), len(known) - 1)
-            real = known[at] == lost
-            counts[at[real]] -= by[real]
-        seq[hit] = n + which
-        stay = np.ones(len(seq), bool)
-        stay[hit + 1] = False
-        seq = seq[stay]
+        # pairs that go or change begin at the hits, at their right halves and before them
+        half = after[hit].astype(np.int64)
+        beyond = after[half]
+        touched[hit] = touched[half] = touched[before[hit]] = True
+        sym[hit], after[hit], before[beyond], alive[half] = which, beyond, hit, False
         rules.append(np.stack([a, b], axis=1))
         ends[n : n + len(a)] = ends[b]
-        # pairs that come: next to a new symbol
-        fresh = hit - np.arange(len(hit))
-        apart = np.diff(fresh, prepend=0) != 1
-        apart[:1] = fresh[:1] > 0
-        came = np.concatenate([fresh[fresh < len(seq) - 1], fresh[apart] - 1])
-        x, y = seq[came], seq[came + 1]
-        twin_bound = max(twin_bound, int((x == y).sum()))
-        real = (x != y) & ~ends[x]
-        more, by = _counted(_codes(x[real], y[real]))
-        keep = by >= (how.min_count or 2)
-        at = np.searchsorted(known, more[keep])
-        known, counts = np.insert(known, at, more[keep]), np.insert(counts, at, by[keep])
         n += len(a)
+        left = ~touched[at]
+        now = np.add.reduceat(left, start, dtype=np.int64)
+        keep = now >= floor
+        left &= np.repeat(keep, size)
+        # pairs that come have a new symbol, so all their places are here
+        more = _grouped(sym, after, ends, np.flatnonzero(touched & alive), floor)
+        code, size, at = (np.concatenate(x) for x in zip((code[keep], now[keep], at[left]), more, strict=True))
+        touched[:] = False
     out = np.concatenate(rules).astype(np.uint32) if rules else np.zeros((0, 2), np.uint32)
-    return out, _lengths(rules, base), seq.astype(np.uint32)
+    return out, _lengths(rules, base), sym[alive].view(np.uint32)
 
 
 def _lengths(rounds: list[np.ndarray], base: int) -> np.ndarray:

@@ -53,6 +53,28 @@ def test_shared_hashes(monkeypatch):
     assert [x.tolist() for x in Encoder(PATH, 100).encode(pa.array(texts))] == [[*PLAIN.encode(t, add_special_tokens=False).ids, 0] for t in texts]
 
 
+def test_shared_hashes_of_long_pieces(monkeypatch):
+    """The same beyond the 16 bytes that are compared as numbers."""
+    monkeypatch.setattr(token_shards, "_POWER", np.zeros(2**16, np.uint64))
+    texts = [" abcdefghijklmnopqrstu", " abcdefghijklmnopqrsuu one", " abcdefghijklmno", " abcdefghijklmnp two"]
+    assert [x.tolist() for x in Encoder(PATH, 100).encode(pa.array(texts))] == [[*PLAIN.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+
+
+def test_words_need_no_pattern():
+    """Words of letters up to U+00FF go to the merges alone, at the begin of a text as well."""
+    texts = ["señor mañana", " où être", "Äpfel", " straße Ünü"]
+    own = Encoder(PATH, 100)
+    own.tokenizer = type("None", (), {"encode_batch_fast": lambda self, texts, **_: [1 / 0 for _ in texts]})()
+    assert [x.tolist() for x in own.encode(pa.array(texts))] == [[*PLAIN.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+
+
+def test_letters_end_pieces():
+    """A letter with an accent ends a piece before a comma, as a plain one does; signs do not."""
+    b = np.frombuffer("été, ça×. né!".encode(), np.uint8)
+    starts = token_shards.piece_starts(b, np.array([0]))
+    assert [bytes(x).decode() for x in np.split(b, starts[1:])] == ["été", ",", " ça×.", " né", "!"]
+
+
 def test_other_tokenizer():
     """Words in lower case with ends of their own: no piece of a text stands for itself there."""
     path = tokenizer_path("word_bpe_49k.json")
@@ -125,6 +147,27 @@ def textbook_left(seq, rules):
     return max(at.values(), default=0)
 
 
+def test_symbols_grow_by_a_bit():
+    """From 2**16 symbols on a rule pays at four places in place of five: pairs that had four before become rules then."""
+    base, flat = 65_530, np.append(np.random.default_rng(5).integers(1, 60, 12_000), 0).astype(np.uint32)
+    rules, lengths, seq = compress(flat, base)
+    assert base + len(rules) > 2**16 and expand(seq, rules, lengths, base).tolist() == flat.tolist()
+    at, last = {}, {}
+    for i, p in enumerate(zip(seq[:-2].tolist(), seq[1:-1].tolist(), strict=True)):
+        if last.get(p, -2) != i - 1:
+            at[p], last[p] = at.get(p, 0) + 1, i
+    assert max(at.values()) < 4
+
+
+def test_pairs_of_many_symbols():
+    """Pairs and places that do not fit a number are grouped the same."""
+    sym = np.random.default_rng(1).integers(0, 9, 1001).astype(np.int32)
+    after, few, many = np.arange(1, 1002, dtype=np.int32), np.zeros(100, bool), np.zeros(2**28, bool)
+    few[0] = many[0] = True
+    for x, y in zip(token_shards._grouped(sym, after, few, np.arange(1000), 9), token_shards._grouped(sym, after, many, np.arange(1000), 9), strict=True):
+        assert x.tolist() == y.tolist() and len(x)
+
+
 def test_rounds_keep_up_with_the_textbook():
     """Many pairs a round cost no more than a twentieth in size on skewed ids."""
     flat = np.random.default_rng(3).zipf(1.3, 6000).astype(np.uint32) % 300
